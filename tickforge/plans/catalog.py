@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import bars as B
 from ..sources import views as V
@@ -35,7 +36,24 @@ def register(name: str, sql: str | None = None):
 
 
 def round_sums(df: DataFrame, cols=SUM_COLUMNS, digits: int = 4) -> DataFrame:
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Check view: sums rounded, DATE and TIMESTAMP shown as TIMESTAMP_NTZ.
+
+    Dates are compared as midnight timestamps so that both engines hand the
+    same value type to any client (DuckDB turns DATE into datetime64 in pandas).
+    """
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if f.name in cols:
+            c = F.round(c, digits)
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType)):
+            c = c.cast("timestamp_ntz")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def check_view(df: DataFrame) -> DataFrame:
+    return round_sums(df, [])
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -49,7 +67,7 @@ EVENTS_TRADES_SQL = """
          value * CAST(1 + user_id % 10 AS DOUBLE) AS quote_qty,
          event_id % 2 = 0 AS is_buyer_maker,
          ts,
-         CAST(ts AS DATE) AS date
+         CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date
   FROM events"""
 
 LINEITEM_TRADES_SQL = """
@@ -60,7 +78,7 @@ LINEITEM_TRADES_SQL = """
          l_extendedprice AS quote_qty,
          l_linenumber % 2 = 0 AS is_buyer_maker,
          l_shipdate AS ts,
-         CAST(l_shipdate AS DATE) AS date
+         CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS date
   FROM lineitem"""
 
 
@@ -173,3 +191,151 @@ def q_bars_filled_ties_6h(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Gap-filled 1-hour bars with ``bucket``, the bars job's output."""
     return B.compute_bars(V.events_trades(spark, sf_dir), "1h", fill=True, unique_ids=True)
+
+
+# ---------------------------------------------------------------- preparation
+
+RAW_EVENTS_SQL = f"""
+  SELECT id, price, qty, quote_qty, epoch_us(ts) // 1000 AS time, is_buyer_maker,
+         'file:///raw/' || symbol || '-trades-' || strftime(date, '%Y-%m-%d') || '.csv' AS file_path
+  FROM ({EVENTS_TRADES_SQL}) e"""
+
+PREPARED_SQL = f"""
+  WITH r AS ({RAW_EVENTS_SQL}),
+  n AS (SELECT *, regexp_split_to_array(file_path, '[\\\\/]+')[-1] AS fname FROM r),
+  m AS (SELECT id, price, qty, quote_qty, time, is_buyer_maker,
+               CASE WHEN position('-trades-' IN fname) > 0 THEN fname[1:position('-trades-' IN fname) - 1] ELSE fname END AS symbol,
+               try_strptime(regexp_extract(fname, '-trades-([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), '%Y-%m-%d')::DATE::TIMESTAMP AS date,
+               make_timestamp(time * 1000) AS ts
+        FROM n),
+  k AS (SELECT *, CASE WHEN contains(upper(symbol), '_PERP') THEN 'cm' ELSE 'um' END AS market FROM m),
+  a AS (SELECT id, price, qty,
+               CASE WHEN market = 'cm' AND quote_qty <> 0 THEN qty * 100 / quote_qty ELSE quote_qty END AS quote_qty,
+               time, is_buyer_maker, symbol, date, ts, market
+        FROM k)
+  SELECT * FROM a
+  WHERE price > 0 AND NOT isnan(price) AND NOT isnan(qty) AND NOT isnan(quote_qty)
+    AND id IS NOT NULL AND price IS NOT NULL AND qty IS NOT NULL AND quote_qty IS NOT NULL
+    AND time IS NOT NULL AND is_buyer_maker IS NOT NULL AND symbol IS NOT NULL
+    AND date IS NOT NULL AND ts IS NOT NULL AND market IS NOT NULL"""
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return check_view(df)
+
+
+def _prepared_events(spark, sf_dir):
+    from ..operators.prepare import prepare_trades
+
+    return prepare_trades(V.events_raw_trades(spark, sf_dir))
+
+
+@register(
+    "file_metadata",
+    f"""WITH r AS ({RAW_EVENTS_SQL}),
+    n AS (SELECT id, file_path, regexp_split_to_array(file_path, '[\\\\/]+')[-1] AS fname FROM r)
+    SELECT id, file_path,
+           CASE WHEN position('-trades-' IN fname) > 0 THEN fname[1:position('-trades-' IN fname) - 1] ELSE fname END AS symbol,
+           try_strptime(regexp_extract(fname, '-trades-([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), '%Y-%m-%d')::DATE::TIMESTAMP AS date
+    FROM n""",
+)
+def q_file_metadata(spark, sf_dir):
+    from ..operators.prepare import parse_file_metadata
+
+    return check_view(parse_file_metadata(V.events_raw_trades(spark, sf_dir).select("id", "file_path")))
+
+
+@register("ts_from_millis", f"SELECT id, time, make_timestamp(time * 1000) AS ts FROM ({RAW_EVENTS_SQL}) r")
+def q_ts_from_millis(spark, sf_dir):
+    from ..operators.prepare import with_event_time
+
+    return _ntz(with_event_time(V.events_raw_trades(spark, sf_dir).select("id", "time")), "ts")
+
+
+@register(
+    "market_classify",
+    f"""SELECT symbol, CASE WHEN contains(upper(symbol), '_PERP') THEN 'cm' ELSE 'um' END AS market, count(*) AS trades
+    FROM ({EVENTS_TRADES_SQL}) t GROUP BY symbol""",
+)
+def q_market_classify(spark, sf_dir):
+    from ..operators.prepare import classify_market
+
+    return classify_market(V.events_trades(spark, sf_dir)).groupBy("symbol", "market").agg(F.count(F.lit(1)).alias("trades"))
+
+
+@register(
+    "adjust_quote_qty",
+    f"""SELECT id, market, {r4("CASE WHEN market = 'cm' AND quote_qty <> 0 THEN qty * 100 / quote_qty ELSE quote_qty END")} AS quote_qty
+    FROM (SELECT *, CASE WHEN contains(upper(symbol), '_PERP') THEN 'cm' ELSE 'um' END AS market FROM ({EVENTS_TRADES_SQL}) t) x""",
+)
+def q_adjust_quote_qty(spark, sf_dir):
+    from ..operators.prepare import adjust_quote_qty, classify_market
+
+    df = adjust_quote_qty(classify_market(V.events_trades(spark, sf_dir)), 100)
+    return round_sums(df.select("id", "market", "quote_qty"), ["quote_qty"])
+
+
+@register("valid_trades", f"SELECT * FROM ({PREPARED_SQL}) p")
+def q_valid_trades(spark, sf_dir):
+    return _ntz(_prepared_events(spark, sf_dir), "ts")
+
+
+@register(
+    "filter_symbols",
+    f"""SELECT symbol, date, count(*) AS trades FROM ({EVENTS_TRADES_SQL}) t
+    WHERE symbol IN ('CLICKUSDT', 'PURCHASEUSD_PERP') GROUP BY symbol, date""",
+)
+def q_filter_symbols(spark, sf_dir):
+    from ..operators.filters import filter_symbols
+
+    df = filter_symbols(V.events_trades(spark, sf_dir), ["CLICKUSDT", "PURCHASEUSD_PERP"])
+    return check_view(df.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("trades")))
+
+
+@register(
+    "filter_date_range",
+    f"""SELECT id, symbol, date FROM ({EVENTS_TRADES_SQL}) t
+    WHERE date >= TIMESTAMP '2024-01-05' AND date <= TIMESTAMP '2024-01-20'""",
+)
+def q_filter_date_range(spark, sf_dir):
+    from ..operators.filters import filter_date_range
+
+    return check_view(filter_date_range(V.events_trades(spark, sf_dir), "2024-01-05", "2024-01-20").select("id", "symbol", "date"))
+
+
+@register(
+    "raw_trades_scan",
+    f"""SELECT id, price, qty, quote_qty, time, is_buyer_maker,
+           regexp_replace(regexp_split_to_array(file_path, '[\\\\/]+')[-1], '\\.csv$', '') AS stem
+    FROM ({RAW_EVENTS_SQL}) r""",
+)
+def q_raw_trades_scan(spark, sf_dir):
+    """Lands the events trades as raw CSV files, then scans them back."""
+    from ..functions.names import file_name
+    from ..session import shared_dir
+    from ..sinks.files import write_trade_files
+    from ..sources.trades import read_trades
+
+    root = shared_dir(spark, "raw-trades")
+    write_trade_files(V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp"))), root).collect()
+    df = read_trades(spark, root)
+    # Task-numbered part suffix is a writer detail; the stem before it is the published name.
+    stem = F.regexp_replace(file_name(F.col("file_path")), r"-p[0-9]+\.csv$", "")
+    return df.select(*[c for c in df.columns if c != "file_path"], stem.alias("stem"))
+
+
+@register("trades_prepared", f"SELECT * FROM ({PREPARED_SQL}) p")
+def q_trades_prepared(spark, sf_dir):
+    """Whole trades job on landed files: scan -> prepare -> partitioned table -> load."""
+    from ..plans.jobs import preprocess
+    from ..session import shared_dir
+    from ..sinks.files import write_trade_files
+
+    raw_root = shared_dir(spark, "raw-trades")
+    write_trade_files(V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp"))), raw_root).collect()
+    table_root = shared_dir(spark, "trades")
+    preprocess(spark, raw_root, table_root, num_partitions=8)
+    back = spark.read.parquet(table_root)
+    from ..schema import PREPARED_TRADE_COLUMNS
+
+    return _ntz(back.select(*PREPARED_TRADE_COLUMNS), "ts")
