@@ -121,14 +121,27 @@ def _label_col(total: Column) -> Column:
 
 
 def timeframe_col(text: Column) -> Column:
-    """Column form of ``parse_timeframe``.
+    """Column form of ``parse_timeframe`` for one-off use.
 
     Returns ``struct<seconds int, label string, error string>``; rejected
-    inputs carry ``error`` and null seconds/label instead of raising.
+    inputs carry ``error`` and null seconds/label instead of raising.  For a
+    whole column of specs prefer ``parse_timeframes``, which stages the work
+    in separate projections.
     """
-    norm = F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
-    ok = norm.rlike(DURATION_PATTERN)
-    total = _part(norm, 1) * 3600 + _part(norm, 2) * 60 + _part(norm, 3)
+    norm = _norm(text)
+    total = _total(norm)
+    return _result(text, norm.rlike(DURATION_PATTERN), total)
+
+
+def _norm(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
+
+
+def _total(norm: Column) -> Column:
+    return _part(norm, 1) * 3600 + _part(norm, 2) * 60 + _part(norm, 3)
+
+
+def _result(text: Column, ok: Column, total: Column) -> Column:
     error = (
         F.when(text.isNull(), F.lit(ERR_NOT_TEXT))
         .when(~ok, F.lit(ERR_FORMAT))
@@ -137,5 +150,19 @@ def timeframe_col(text: Column) -> Column:
         .when(F.lit(DAY_SECONDS) % total != 0, F.lit(ERR_NOT_DIVISOR))
     )
     seconds = F.when(error.isNull(), F.least(total, F.lit(DAY_SECONDS)).cast("int"))
-    label = F.when(error.isNull(), F.when(total > DAY_SECONDS, F.lit(ONE_DAY_LABEL)).otherwise(_label_col(total.cast("long"))))
+    label = F.when(
+        error.isNull(),
+        F.when(total > DAY_SECONDS, F.lit(ONE_DAY_LABEL)).otherwise(_label_col(F.least(total, F.lit(DAY_SECONDS)).cast("long"))),
+    )
     return F.struct(seconds.alias("seconds"), label.alias("label"), error.alias("error"))
+
+
+def parse_timeframes(df, text_col: str, out: str = "tf"):
+    """Adds ``out`` = struct(seconds, label, error) for a table of duration texts.
+
+    Staged projections (normalised text -> total seconds -> result) keep each
+    generated method small and compute the regex work once per row.
+    """
+    staged = df.withColumn("_tf_norm", _norm(F.col(text_col)))
+    staged = staged.withColumn("_tf_ok", F.col("_tf_norm").rlike(DURATION_PATTERN)).withColumn("_tf_total", _total(F.col("_tf_norm")))
+    return staged.withColumn(out, _result(F.col(text_col), F.col("_tf_ok"), F.col("_tf_total"))).drop("_tf_norm", "_tf_ok", "_tf_total")

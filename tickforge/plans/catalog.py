@@ -82,12 +82,12 @@ LINEITEM_TRADES_SQL = """
   FROM lineitem"""
 
 
-def r4(expr: str) -> str:
-    """Round to 4 decimals the way Spark rounds a double: HALF_UP on its
-    shortest decimal text (DuckDB's own round works on the binary value)."""
+def r4(expr: str, digits: int = 4) -> str:
+    """Round the way Spark rounds a double: HALF_UP on its shortest decimal
+    text (DuckDB's own round works on the binary value)."""
     return (
         f"CASE WHEN isnan({expr}) OR isinf({expr}) THEN {expr} ELSE "
-        f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE) END"
+        f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE) END"
     )
 
 
@@ -120,8 +120,9 @@ def unfilled_select(step_us: int, src: str = "b") -> str:
   FROM {src}"""
 
 
-def filled_sql(trades_sql: str, step_us: int) -> str:
+def filled_sql(trades_sql: str, step_us: int, rounded: bool = True) -> str:
     """Reference-style fill: grid per (symbol, day) LEFT JOIN bars, carry last valid close per symbol."""
+    rr = r4 if rounded else (lambda e: e)
     return f"""
 WITH b AS ({bars_sql(trades_sql, step_us)}),
 days AS (SELECT DISTINCT symbol, bar_us - bar_us % 86400000000 AS day_us FROM b),
@@ -135,10 +136,10 @@ f AS (SELECT *, last_value(CASE WHEN close IS NOT NULL AND NOT isnan(close) THEN
 SELECT symbol, make_timestamp(slot_us) AS open_time, make_timestamp(slot_us + {step_us} - 1) AS close_time,
        coalesce(open, last_close) AS open, coalesce(high, last_close) AS high,
        coalesce(low, last_close) AS low, coalesce(close, last_close) AS close,
-       {r4("coalesce(volume, 0.0)")} AS volume, {r4("coalesce(vwap, 0.0)")} AS vwap,
-       {r4("coalesce(quote_volume, 0.0)")} AS quote_volume,
-       {r4("coalesce(taker_buy_volume, 0.0)")} AS taker_buy_volume,
-       {r4("coalesce(taker_buy_quote_volume, 0.0)")} AS taker_buy_quote_volume,
+       {rr("coalesce(volume, 0.0)")} AS volume, {rr("coalesce(vwap, 0.0)")} AS vwap,
+       {rr("coalesce(quote_volume, 0.0)")} AS quote_volume,
+       {rr("coalesce(taker_buy_volume, 0.0)")} AS taker_buy_volume,
+       {rr("coalesce(taker_buy_quote_volume, 0.0)")} AS taker_buy_quote_volume,
        coalesce("count", 0) AS "count"
 FROM f"""
 
@@ -339,3 +340,279 @@ def q_trades_prepared(spark, sf_dir):
     from ..schema import PREPARED_TRADE_COLUMNS
 
     return _ntz(back.select(*PREPARED_TRADE_COLUMNS), "ts")
+
+
+# ---------------------------------------------------------------- durations (T1) and more bars
+
+# Duration texts derived from each event row: valid, above a day, not dividing
+# the day, blanks inside, days, empty - one SQL expression both engines run.
+DURATION_TEXT_SQL = """CASE event_id % 8
+    WHEN 0 THEN CAST(user_id % 30 + 1 AS STRING) || 'm'
+    WHEN 1 THEN CAST(user_id % 5 AS STRING) || 'h' || CAST(user_id % 60 AS STRING) || 'm'
+    WHEN 2 THEN CAST(user_id % 100 AS STRING) || 's'
+    WHEN 3 THEN ' ' || upper(CAST(user_id % 48 AS STRING) || 'h') || ' '
+    WHEN 4 THEN CAST(user_id % 3 AS STRING) || 'h ' || CAST(user_id % 7 AS STRING) || 'm'
+    WHEN 5 THEN CAST(user_id % 4 AS STRING) || 'd'
+    WHEN 6 THEN CAST(user_id % 2 AS STRING) || 'h' || CAST(user_id % 2 AS STRING) || 'm' || CAST(user_id % 90 AS STRING) || 's'
+    ELSE '' END"""
+
+_PAT = r"^(?:(\d+)h)?(?:(\d+)m)?(?:(\d+)s)?$"
+
+
+def _sql_part(i: int) -> str:
+    return f"coalesce(CAST(nullif(regexp_extract(norm, '{_PAT}', {i}), '') AS BIGINT), 0)"
+
+
+def _sql_word(n: str, unit: str) -> str:
+    return f"CASE WHEN ({n}) > 0 THEN CAST({n} AS STRING) || ' {unit}' || CASE WHEN ({n}) > 1 THEN 's' ELSE '' END END"
+
+
+TIMEFRAME_SQL = f"""
+WITH s AS (SELECT event_id AS id, {DURATION_TEXT_SQL} AS text FROM events),
+n AS (SELECT id, text, lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS norm FROM s),
+p AS (SELECT id, text, regexp_full_match(norm, '{_PAT}') AS ok,
+             {_sql_part(1)} * 3600 + {_sql_part(2)} * 60 + {_sql_part(3)} AS total FROM n),
+e AS (SELECT *, CASE WHEN text IS NULL THEN 'duration must be text such as ''60s'' or ''1m30s'''
+                     WHEN NOT ok THEN 'invalid duration format; use e.g. ''30s'', ''5m'', ''2h'' or ''1m30s'''
+                     WHEN total < 1 THEN 'duration must be at least 1 second'
+                     WHEN total > 86400 THEN NULL
+                     WHEN 86400 % total <> 0 THEN 'duration must divide 24 hours (86400 seconds)' END AS error
+      FROM p)
+SELECT id, text,
+       CASE WHEN error IS NULL THEN CAST(least(total, 86400) AS DOUBLE) END AS seconds,
+       CASE WHEN error IS NULL THEN
+         CASE WHEN total > 86400 THEN '1 day'
+              WHEN total >= 3600 THEN concat_ws(' ', {_sql_word("total // 3600", "hour")}, {_sql_word("(total % 3600) // 60", "minute")}, {_sql_word("total % 60", "second")})
+              WHEN total >= 60 THEN concat_ws(' ', {_sql_word("total // 60", "minute")}, {_sql_word("total % 60", "second")})
+              ELSE {_sql_word("total", "second")} END
+       END AS label,
+       error
+FROM e"""
+
+
+@register("timeframe_parse", TIMEFRAME_SQL)
+def q_timeframe_parse(spark, sf_dir):
+    from ..functions.timeframe import parse_timeframes
+
+    ev = V.table(spark, sf_dir, "events")
+    specs = ev.select(F.col("event_id").alias("id"), F.expr(DURATION_TEXT_SQL).alias("text"))
+    parsed = parse_timeframes(specs, "text")
+    # seconds is null on rejected rows: shown as DOUBLE so any client keeps nulls apart from numbers.
+    return parsed.select("id", "text", F.col("tf.seconds").cast("double").alias("seconds"), "tf.label", "tf.error")
+
+
+MULTI_DURATIONS = [("1m30s", 90, "1 minute 30 seconds"), ("5m", 300, "5 minutes"), ("1h", 3600, "1 hour")]
+
+MULTI_SQL = " UNION ALL ".join(
+    f"""SELECT '{label}' AS timeframe, CAST({sec} AS INTEGER) AS seconds, x.*,
+           CAST(CAST(open_time AS DATE) AS TIMESTAMP) AS bucket
+    FROM ({_unfilled(EVENTS_TRADES_SQL, sec)}) x"""
+    for _, sec, label in MULTI_DURATIONS
+)
+
+
+@register("bars_multi", MULTI_SQL)
+def q_bars_multi(spark, sf_dir):
+    """Several durations in one job (T1 labels, one shuffle)."""
+    out = B.bars_for_durations(V.events_trades(spark, sf_dir), [t for t, _, _ in MULTI_DURATIONS], unique_ids=True)
+    return round_sums(out)
+
+
+@register(
+    "bar_grid_1h",
+    f"""WITH d AS (SELECT DISTINCT symbol, epoch_us(ts) - epoch_us(ts) % 86400000000 AS day_us
+                FROM ({EVENTS_TRADES_SQL}) t WHERE ts IS NOT NULL)
+    SELECT symbol, make_timestamp(unnest(range(day_us, day_us + 86400000000, 3600000000))) AS bar_time FROM d""",
+)
+def q_bar_grid_1h(spark, sf_dir):
+    return B.bar_grid(V.events_trades(spark, sf_dir), "1h")
+
+
+_FILLED_1M = filled_sql(EVENTS_TRADES_SQL, 60 * 1_000_000)
+
+
+@register(
+    "forward_fill_close",
+    f"SELECT symbol, open_time AS bar_time, close AS last_close FROM ({_FILLED_1M}) x",
+)
+def q_forward_fill_close(spark, sf_dir):
+    return B.forward_fill_close(V.events_trades(spark, sf_dir), "1m", unique_ids=True)
+
+
+@register(
+    "vwap_1m",
+    f"""WITH b AS ({bars_sql(EVENTS_TRADES_SQL, 60_000_000)})
+    SELECT symbol, make_timestamp(bar_us) AS open_time, {r4("vwap")} AS vwap, {r4("quote_volume")} AS quote_volume FROM b""",
+)
+def q_vwap_1m(spark, sf_dir):
+    bars = B.aggregate_bars(V.events_trades(spark, sf_dir), "1m", unique_ids=True)
+    return round_sums(bars.select("symbol", "open_time", "vwap", "quote_volume"))
+
+
+def _r5(c: str) -> str:
+    return r4(c, 5)
+
+
+CHECK_PROJECTION_SQL = f"""
+SELECT symbol, open_time,
+       {_r5("open")} AS open, {_r5("high")} AS high, {_r5("low")} AS low, {_r5("close")} AS close,
+       {_r5("volume")} AS volume, {_r5("quote_volume")} AS quote_volume, CAST("count" AS BIGINT) AS "count",
+       {_r5("taker_buy_volume")} AS taker_buy_volume, {_r5("taker_buy_quote_volume")} AS taker_buy_quote_volume,
+       CAST(row_number() OVER (PARTITION BY symbol ORDER BY open_time) - 1 AS BIGINT) AS idx
+FROM ({filled_sql(EVENTS_TRADES_SQL, 3600 * 1_000_000, rounded=False)}) f"""
+
+
+@register("check_projection", CHECK_PROJECTION_SQL)
+def q_check_projection(spark, sf_dir):
+    from ..operators.quality import comparison_projection
+
+    bars = B.fill_bars(V.events_trades(spark, sf_dir), "1h", unique_ids=True)
+    return comparison_projection(bars, keep=["symbol", "open_time"], index=True)
+
+
+@register(
+    "bar_index",
+    f"""SELECT symbol, open_time, CAST(row_number() OVER (PARTITION BY symbol ORDER BY open_time) - 1 AS BIGINT) AS idx
+    FROM ({_FILLED_1M}) x""",
+)
+def q_bar_index(spark, sf_dir):
+    from ..operators.quality import with_bar_index
+
+    bars = B.fill_bars(V.events_trades(spark, sf_dir), "1m", unique_ids=True)
+    return with_bar_index(bars.select("symbol", "open_time"))
+
+
+# ---------------------------------------------------------------- bar comparison
+
+# Reference bars for the checks: unfilled 1-hour bars of the same events with
+# another taker flag (user_id even), so taker columns differ and the filled
+# slots are missing on the reference side.
+EVENTS_REF_TRADES_SQL = EVENTS_TRADES_SQL.replace("event_id % 2 = 0 AS is_buyer_maker", "user_id % 2 = 0 AS is_buyer_maker")
+
+
+def _reference_bars(spark, sf_dir):
+    t = V.events_trades(spark, sf_dir).withColumn("is_buyer_maker", F.col("id") * 0 == 1)
+    ev = V.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), (F.col("user_id") % 2 == 0).alias("ibm"))
+    t = V.events_trades(spark, sf_dir).alias("t")
+    t = t.join(ev, "id").drop("is_buyer_maker").withColumnRenamed("ibm", "is_buyer_maker")
+    return B.aggregate_bars(t, "1h", unique_ids=True)
+
+
+def _generated_bars(spark, sf_dir):
+    return B.fill_bars(V.events_trades(spark, sf_dir), "1h", unique_ids=True)
+
+
+_GEN_SQL = filled_sql(EVENTS_TRADES_SQL, 3600 * 1_000_000, rounded=False)
+_REF_SQL = f"""WITH b AS ({bars_sql(EVENTS_REF_TRADES_SQL, 3600 * 1_000_000)})
+  SELECT symbol, make_timestamp(bar_us) AS open_time, open, high, low, close, volume, vwap, quote_volume,
+         taker_buy_volume, taker_buy_quote_volume, "count" FROM b"""
+_CMP_COLS = ["open", "high", "low", "close", "volume", "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume"]
+
+
+def _proj_sql(src: str, suffix: str) -> str:
+    cols = ", ".join(
+        (f'CAST("count" AS BIGINT) AS count_{suffix}' if c == "count" else f"{_r5(c)} AS {c}_{suffix}") for c in _CMP_COLS
+    )
+    return f"SELECT symbol, open_time, {cols}, TRUE AS in_{suffix} FROM ({src}) s"
+
+
+_JOINED_SQL = f"""
+  SELECT coalesce(g.symbol, r.symbol) AS symbol, coalesce(g.open_time, r.open_time) AS open_time, g.*, r.*
+  FROM ({_proj_sql(_GEN_SQL, 'gen')}) g FULL OUTER JOIN ({_proj_sql(_REF_SQL, 'ref')}) r
+    ON g.symbol = r.symbol AND g.open_time = r.open_time"""
+
+_LONG_SQL = " UNION ALL ".join(
+    f"""SELECT symbol, open_time, '{c}' AS "column", CAST({c}_gen AS DOUBLE) AS generated, CAST({c}_ref AS DOUBLE) AS reference
+    FROM j WHERE in_gen AND in_ref"""
+    for c in _CMP_COLS
+)
+
+_DIFFS_SQL = f"""WITH j AS (SELECT * EXCLUDE (symbol, open_time), symbol, open_time FROM ({_JOINED_SQL}) x),
+  l AS ({_LONG_SQL})
+  SELECT * FROM l WHERE generated IS NOT NULL AND reference IS NOT NULL AND abs(generated - reference) > 1e-5"""
+
+
+@register(
+    "check_full_outer",
+    f"""SELECT symbol, open_time,
+           {", ".join((f"CAST({c}_gen AS DOUBLE) AS {c}_gen" if c == "count" else f"{c}_gen") for c in _CMP_COLS)},
+           {", ".join((f"CAST({c}_ref AS DOUBLE) AS {c}_ref" if c == "count" else f"{c}_ref") for c in _CMP_COLS)}
+    FROM (SELECT * EXCLUDE (symbol, open_time), symbol, open_time FROM ({_JOINED_SQL}) x) y""",
+)
+def q_check_full_outer(spark, sf_dir):
+    from ..operators.quality import full_outer
+
+    out = full_outer(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
+    # Outer-join counts are nullable: DOUBLE in the check view (see timeframe_parse).
+    return out.withColumn("count_gen", F.col("count_gen").cast("double")).withColumn("count_ref", F.col("count_ref").cast("double"))
+
+
+@register(
+    "check_row_counts",
+    f"""WITH g AS (SELECT symbol, count(*) AS n FROM ({_GEN_SQL}) a GROUP BY symbol),
+         r AS (SELECT symbol, count(*) AS n FROM ({_REF_SQL}) b GROUP BY symbol)
+    SELECT coalesce(g.symbol, r.symbol) AS symbol, coalesce(g.n, 0) AS rows_generated, coalesce(r.n, 0) AS rows_reference,
+           coalesce(g.n, 0) = coalesce(r.n, 0) AS same_count
+    FROM g FULL OUTER JOIN r ON g.symbol = r.symbol""",
+)
+def q_check_row_counts(spark, sf_dir):
+    from ..operators.quality import row_counts
+
+    return row_counts(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
+
+
+@register(
+    "check_missing",
+    f"""WITH j AS (SELECT * EXCLUDE (symbol, open_time), symbol, open_time FROM ({_JOINED_SQL}) x)
+    SELECT 'generated' AS missing_in, symbol, open_time, open_ref AS open, close_ref AS close, volume_ref AS volume FROM j WHERE in_gen IS NULL
+    UNION ALL
+    SELECT 'reference' AS missing_in, symbol, open_time, open_gen AS open, close_gen AS close, volume_gen AS volume FROM j WHERE in_ref IS NULL""",
+)
+def q_check_missing(spark, sf_dir):
+    from ..operators.quality import missing_rows
+
+    return missing_rows(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
+
+
+@register("check_diffs", _DIFFS_SQL)
+def q_check_diffs(spark, sf_dir):
+    from ..operators.quality import value_diffs
+
+    return value_diffs(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
+
+
+@register(
+    "check_top10",
+    f"""WITH d AS ({_DIFFS_SQL}),
+    k AS (SELECT *, CAST(row_number() OVER (PARTITION BY symbol, "column" ORDER BY open_time) AS BIGINT) AS rank FROM d)
+    SELECT * FROM k WHERE rank <= 10""",
+)
+def q_check_top10(spark, sf_dir):
+    from ..operators.quality import first_diffs, value_diffs
+
+    return first_diffs(value_diffs(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir)))
+
+
+@register(
+    "check_verdict",
+    f"""WITH g AS (SELECT symbol, count(*) AS n FROM ({_GEN_SQL}) a GROUP BY symbol),
+         r AS (SELECT symbol, count(*) AS n FROM ({_REF_SQL}) b GROUP BY symbol),
+         c AS (SELECT coalesce(g.symbol, r.symbol) AS symbol, coalesce(g.n, 0) AS rows_generated, coalesce(r.n, 0) AS rows_reference
+               FROM g FULL OUTER JOIN r ON g.symbol = r.symbol),
+         j AS (SELECT * EXCLUDE (symbol, open_time), symbol, open_time FROM ({_JOINED_SQL}) x),
+         m AS (SELECT symbol, CAST(sum(CASE WHEN in_gen IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS mg,
+                      CAST(sum(CASE WHEN in_ref IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS mr
+               FROM j WHERE in_gen IS NULL OR in_ref IS NULL GROUP BY symbol),
+         d AS (SELECT symbol, count(*) AS nd FROM ({_DIFFS_SQL}) q GROUP BY symbol),
+         v AS (SELECT c.*, coalesce(m.mg, 0) AS missing_in_generated, coalesce(m.mr, 0) AS missing_in_reference,
+                      coalesce(d.nd, 0) AS differing_cells
+               FROM c LEFT JOIN m ON c.symbol = m.symbol LEFT JOIN d ON c.symbol = d.symbol)
+    SELECT symbol, rows_generated, rows_reference, missing_in_generated, missing_in_reference, differing_cells,
+           NOT (rows_generated <> rows_reference OR missing_in_generated > 0 OR missing_in_reference > 0 OR differing_cells > 0) AS equal,
+           CASE WHEN rows_generated <> rows_reference OR missing_in_generated > 0 OR missing_in_reference > 0 OR differing_cells > 0 THEN 1 ELSE 0 END AS status
+    FROM v""",
+)
+def q_check_verdict(spark, sf_dir):
+    from ..operators.quality import verdict
+
+    return verdict(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
