@@ -616,3 +616,114 @@ def q_check_verdict(spark, sf_dir):
     from ..operators.quality import verdict
 
     return verdict(_generated_bars(spark, sf_dir), _reference_bars(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- reports
+
+# The events tables span these days at every scale factor (fixed in the SQL only:
+# the Spark side discovers them).
+EVENT_DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
+
+_COUNTS_SQL = f"""SELECT symbol, strftime(date, '%Y-%m-%d') AS day, count(*) AS trade_count
+    FROM ({EVENTS_TRADES_SQL}) t GROUP BY 1, 2"""
+
+_CUBE_SQL = f"""SELECT CASE WHEN grouping(symbol) = 1 THEN 'Total' ELSE symbol END AS symbol,
+           CASE WHEN grouping(day) = 1 THEN 'Total' ELSE day END AS day,
+           CAST(sum(trade_count) AS BIGINT) AS trade_count
+    FROM ({_COUNTS_SQL}) c GROUP BY CUBE (symbol, day)"""
+
+
+def _counts(spark, sf_dir):
+    from ..operators.report import trade_counts
+
+    return trade_counts(V.events_trades(spark, sf_dir))
+
+
+@register(
+    "trade_counts",
+    f"""SELECT symbol, CAST(strptime(day, '%Y-%m-%d') AS TIMESTAMP) AS date, trade_count FROM ({_COUNTS_SQL}) c""",
+)
+def q_trade_counts(spark, sf_dir):
+    return check_view(_counts(spark, sf_dir))
+
+
+@register("trade_count_totals", _CUBE_SQL)
+def q_trade_count_totals(spark, sf_dir):
+    from ..operators.report import trade_count_totals
+
+    return trade_count_totals(_counts(spark, sf_dir))
+
+
+_PIVOT_COLS = ", ".join(
+    f"""CAST(coalesce(max(trade_count) FILTER (WHERE day = '{d}'), 0) AS BIGINT) AS "{d}\"""" for d in EVENT_DAYS + ["Total"]
+)
+
+
+@register("trade_count_pivot", f"SELECT symbol, {_PIVOT_COLS} FROM ({_CUBE_SQL}) l GROUP BY symbol")
+def q_trade_count_pivot(spark, sf_dir):
+    from ..operators.report import trade_count_matrix
+
+    return trade_count_matrix(_counts(spark, sf_dir))
+
+
+def _list(items) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in items) + "]"
+
+
+_REPORT_COLUMNS = ["symbol"] + EVENT_DAYS + ["Total"]
+REPORT_SQL = f"""
+WITH l AS ({_CUBE_SQL}),
+rk AS (SELECT DISTINCT symbol FROM l),
+cols AS (SELECT unnest({_list(EVENT_DAYS + ["Total"])}) AS day),
+g AS (SELECT rk.symbol, cols.day FROM rk, cols),
+cells AS (SELECT g.symbol, g.day, format('{{:,}}', coalesce(l.trade_count, 0)) AS text
+          FROM g LEFT JOIN l ON g.symbol = l.symbol AND g.day = l.day
+          UNION ALL SELECT symbol, 'symbol' AS day, symbol AS text FROM rk),
+w AS (SELECT day, greatest(max(length(text)), length(day)) + 2 AS w FROM cells GROUP BY day),
+pos AS (SELECT unnest({_list(_REPORT_COLUMNS)}) AS day, unnest(range(0, {len(_REPORT_COLUMNS)})) AS pos),
+padded AS (SELECT cells.symbol, pos.pos, lpad(cells.text, CAST(w.w AS INTEGER), ' ') AS cell
+           FROM cells JOIN w ON cells.day = w.day JOIN pos ON cells.day = pos.day),
+body AS (SELECT symbol, string_agg(cell, '' ORDER BY pos) AS line FROM padded GROUP BY symbol),
+hdr AS (SELECT string_agg(lpad(w.day, CAST(w.w AS INTEGER), ' '), '' ORDER BY pos.pos) AS line, sum(w.w) AS width
+        FROM w JOIN pos ON w.day = pos.day)
+SELECT 0 AS section, CAST(NULL AS VARCHAR) AS symbol, '  Asset Metrics - Trade Count per Symbol / Day' AS line
+UNION ALL SELECT 1, NULL, repeat('-', CAST(width AS INTEGER)) FROM hdr
+UNION ALL SELECT 2, NULL, line FROM hdr
+UNION ALL SELECT 3, NULL, repeat('-', CAST(width AS INTEGER)) FROM hdr
+UNION ALL SELECT CASE WHEN symbol = 'Total' THEN 6 ELSE 4 END, CASE WHEN symbol = 'Total' THEN NULL ELSE symbol END, line FROM body
+UNION ALL SELECT 5, NULL, repeat('-', CAST(width AS INTEGER)) FROM hdr
+UNION ALL SELECT 7, NULL, repeat('-', CAST(width AS INTEGER)) FROM hdr"""
+
+
+@register("trade_count_report", REPORT_SQL)
+def q_trade_count_report(spark, sf_dir):
+    from ..operators.report import trade_count_report
+
+    return trade_count_report(_counts(spark, sf_dir))
+
+
+_CHART_SYMBOLS = ["CLICKUSDT", "PURCHASEUSD_PERP", "VIEWUSDT"]
+_CHART_ARRAYS = ", ".join(
+    [f"list(strftime(open_time, '%Y-%m-%d %H:%M:%S.%f') ORDER BY open_time) AS open_time"]
+    + [f"list({c} ORDER BY open_time) AS {c}" for c in ["open", "high", "low", "close", "volume", "vwap"]]
+)
+CHART_SQL = f"""
+WITH b AS ({filled_sql(EVENTS_TRADES_SQL, 3600 * 1_000_000)}),
+f AS (SELECT *, CAST(open_time AS DATE) AS bucket FROM b
+      WHERE symbol IN ('CLICKUSDT', 'PURCHASEUSD_PERP', 'VIEWUSDT')
+        AND CAST(open_time AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-05')
+SELECT symbol, CAST(bucket AS TIMESTAMP) AS bucket,
+       symbol || ' OHLC - 1_hour Bars (2024-01-03 to 2024-01-05)' AS title,
+       lower(symbol) || '_ohlc_2024-01-03_to_2024-01-05' AS file_stem,
+       CASE WHEN position('USDT' IN symbol) > 0 THEN symbol[1:position('USDT' IN symbol) - 1] ELSE symbol END AS axis_symbol,
+       {_CHART_ARRAYS}
+FROM f GROUP BY symbol, bucket"""
+
+
+@register("chart_series", CHART_SQL)
+def q_chart_series(spark, sf_dir):
+    from ..operators.report import chart_series
+
+    bars = round_sums(B.compute_bars(V.events_trades(spark, sf_dir), "1h", fill=True, unique_ids=True))
+    bars = bars.withColumn("bucket", F.to_date("bucket"))
+    return check_view(chart_series(bars, _CHART_SYMBOLS, "1_hour", "2024-01-03", "2024-01-05"))
