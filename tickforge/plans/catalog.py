@@ -727,3 +727,150 @@ def q_chart_series(spark, sf_dir):
     bars = round_sums(B.compute_bars(V.events_trades(spark, sf_dir), "1h", fill=True, unique_ids=True))
     bars = bars.withColumn("bucket", F.to_date("bucket"))
     return check_view(chart_series(bars, _CHART_SYMBOLS, "1_hour", "2024-01-03", "2024-01-05"))
+
+
+# ---------------------------------------------------------------- manifests, archives, klines, jobs
+
+_BASES_SQL = "SELECT DISTINCT upper(event_type) || 'USD' AS symbol FROM events"
+_ROOT = "https://data.example/futures"
+MANIFEST_SQL = f"""
+SELECT strftime(d, '%Y-%m-%d') AS date, b.symbol || 'T' AS symbol,
+       '{_ROOT}/um/daily/trades/' || b.symbol || 'T/' || b.symbol || 'T-trades-' || strftime(d, '%Y-%m-%d') || '.zip' AS url,
+       'um' AS market
+FROM ({_BASES_SQL}) b, (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS d) g"""
+
+
+def _bases(spark, sf_dir):
+    ev = V.table(spark, sf_dir, "events")
+    return ev.select(F.concat(F.upper("event_type"), F.lit("USD")).alias("symbol")).distinct()
+
+
+def _manifest(spark, sf_dir):
+    from ..operators.manifest import file_manifest
+
+    return file_manifest(_bases(spark, sf_dir), EVENT_DAYS[0], EVENT_DAYS[-1], market="um", root=_ROOT)
+
+
+@register("manifest", MANIFEST_SQL)
+def q_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir)
+
+
+@register("manifest_document", f"SELECT market, date, symbol, url FROM ({MANIFEST_SQL}) m")
+def q_manifest_document(spark, sf_dir):
+    """Manifest written as a JSON document and read back."""
+    from ..operators.manifest import manifest_document, manifest_urls
+    from ..session import shared_dir
+    from ..sources.files import read_manifest, write_manifest
+
+    path = shared_dir(spark, "manifest")
+    write_manifest(manifest_document(_manifest(spark, sf_dir), EVENT_DAYS[0], EVENT_DAYS[-1]), path)
+    return manifest_urls(read_manifest(spark, path))
+
+
+def _landed_archives(spark, sf_dir) -> str:
+    """Lands the events trades as zipped daily files; returns the folder."""
+    from ..session import shared_dir
+    from ..sinks.files import write_trade_files
+
+    root = shared_dir(spark, "archives")
+    trades = V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp")))
+    write_trade_files(trades, root, archive=True).collect()
+    return root
+
+
+_LANDED_SQL = f"SELECT DISTINCT symbol, strftime(date, '%Y-%m-%d') AS date FROM ({EVENTS_TRADES_SQL}) t"
+
+
+@register(
+    "kline_manifest",
+    f"""WITH l AS ({_LANDED_SQL}),
+    k AS (SELECT DISTINCT CASE WHEN contains(symbol, 'USDT') THEN symbol
+                               WHEN suffix(symbol, '_PERP') THEN symbol
+                               ELSE split_part(symbol, 'USDT', 1) || 'USD_PERP' END AS symbol,
+                          CASE WHEN contains(symbol, 'USDT') THEN 'um' ELSE 'cm' END AS market, date FROM l)
+    SELECT date, symbol, '{_ROOT}/' || market || '/daily/klines/' || symbol || '/1m/' || symbol || '-1m-' || date || '.zip' AS url, market
+    FROM k""",
+)
+def q_kline_manifest(spark, sf_dir):
+    from ..operators.manifest import kline_manifest, landed_files
+    from ..sources.files import list_files
+
+    landed = landed_files(list_files(spark, _landed_archives(spark, sf_dir), "*.zip"))
+    return kline_manifest(landed, "1m", root=_ROOT)
+
+
+@register(
+    "manifest_missing",
+    f"""SELECT m.* FROM ({MANIFEST_SQL}) m
+    WHERE NOT EXISTS (SELECT 1 FROM ({_LANDED_SQL}) l WHERE l.symbol = m.symbol AND l.date = m.date)""",
+)
+def q_manifest_missing(spark, sf_dir):
+    from ..operators.manifest import landed_files, missing_files
+    from ..sources.files import list_files
+
+    landed = landed_files(list_files(spark, _landed_archives(spark, sf_dir), "*.zip"))
+    return missing_files(_manifest(spark, sf_dir), landed)
+
+
+@register("archive_ingest", f"SELECT * FROM ({PREPARED_SQL}) p")
+def q_archive_ingest(spark, sf_dir):
+    """Zipped daily trade files -> prepared trades (S9 + L1 transforms)."""
+    from ..operators.prepare import prepare_trades
+    from ..sources.files import ingest_archives
+
+    return check_view(prepare_trades(ingest_archives(spark, _landed_archives(spark, sf_dir))))
+
+
+_KLINE_COLS = ["open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "count",
+               "taker_buy_volume", "taker_buy_quote_volume", "ignore"]
+
+
+@register(
+    "kline_scan",
+    f"""SELECT symbol, open_time, open, high, low, close, {r4("volume")} AS volume, {r4("quote_volume")} AS quote_volume,
+           "count", {r4("taker_buy_volume")} AS taker_buy_volume, {r4("taker_buy_quote_volume")} AS taker_buy_quote_volume
+    FROM ({_REF_SQL}) r""",
+)
+def q_kline_scan(spark, sf_dir):
+    """Reference bars landed as exchange kline CSVs, read back."""
+    from ..session import shared_dir
+    from ..sinks.files import write_csv_files
+    from ..sources.files import read_klines
+
+    root = shared_dir(spark, "klines")
+    ref = _reference_bars(spark, sf_dir)
+    out = ref.select(
+        "symbol",
+        F.unix_millis(F.col("open_time").cast("timestamp")).alias("open_time"),
+        "open", "high", "low", "close", "volume",
+        F.unix_millis(F.col("close_time").cast("timestamp")).alias("close_time"),
+        "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume",
+        F.lit("0").alias("ignore"),
+        F.to_date("open_time").alias("day"),
+    )
+    stem = F.concat(F.col("symbol"), F.lit("-1h-"), F.date_format("day", "yyyy-MM-dd"))
+    write_csv_files(out, root, stem, _KLINE_COLS).collect()
+    k = read_klines(spark, root)
+    return round_sums(k.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")))
+
+
+@register(
+    "bars_job",
+    f"""SELECT *, CAST(CAST(open_time AS DATE) AS TIMESTAMP) AS bucket
+    FROM ({filled_sql(PREPARED_SQL, 3600 * 1_000_000)}) b""",
+)
+def q_bars_job(spark, sf_dir):
+    """Whole flow on files: raw CSVs -> trades table -> 1-hour bars table -> read back (L1, L2, K2)."""
+    from ..plans.jobs import bars_job, preprocess
+    from ..schema import BAR_COLUMNS_WITH_BUCKET
+    from ..session import shared_dir
+    from ..sinks.files import write_trade_files
+
+    raw_root = shared_dir(spark, "raw-trades")
+    write_trade_files(V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp"))), raw_root).collect()
+    trades_root, bars_root = shared_dir(spark, "trades"), shared_dir(spark, "bars")
+    preprocess(spark, raw_root, trades_root, num_partitions=8)
+    out = bars_job(spark, trades_root, bars_root, "1h")
+    bars = spark.read.parquet(out).select(*BAR_COLUMNS_WITH_BUCKET)
+    return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import zipfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import RAW_TRADE_COLUMNS
@@ -28,18 +28,20 @@ def _fs(root: str):
 
 def _csv_text(pdf, header: bool) -> str:
     out = pdf.copy()
-    out["is_buyer_maker"] = out["is_buyer_maker"].map({True: "true", False: "false"})
-    return out.to_csv(index=False, header=header, lineterminator="\n", float_format=None)
+    for c in out.columns:
+        if out[c].dtype == bool:
+            out[c] = out[c].map({True: "true", False: "false"})
+    return out.to_csv(index=False, header=header, lineterminator="\n")
 
 
-def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bool = False) -> DataFrame:
-    """Writes raw trade rows (``symbol``, ``date`` + raw columns) as files.
+def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str], header: bool = True, archive: bool = False) -> DataFrame:
+    """Writes ``columns`` of ``df`` as CSV files named ``{stem}-p{task}.csv``
+    (or ``.zip`` holding that CSV), one per stem value per task.
 
-    Rows are sorted by (symbol, date) inside each task, so one file is open
-    at a time.  Returns a DataFrame (file, rows) listing what was written;
-    the write runs when that DataFrame is evaluated.
+    Rows are sorted by stem inside each task, so one file is open at a time
+    and memory stays at one Arrow batch.  Returns a DataFrame (file, rows)
+    listing what was written; the write runs when that DataFrame is evaluated.
     """
-    cols = RAW_TRADE_COLUMNS
 
     def write(batches):
         import pandas as pd
@@ -60,24 +62,30 @@ def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bo
             state.update(key=None, raw=None, zip=None, member=None)
 
         for pdf in batches:
-            for (symbol, day), grp in pdf.groupby(["symbol", "date"], sort=False):
-                stem = f"{symbol}-trades-{day}-p{part:05d}"
-                first = state["key"] != stem
+            for key, grp in pdf.groupby("_stem", sort=False):
+                name_stem = f"{key}-p{part:05d}"
+                first = state["key"] != name_stem
                 if first:
                     close()
-                    name = f"{stem}.zip" if archive else f"{stem}.csv"
+                    name = f"{name_stem}.zip" if archive else f"{name_stem}.csv"
                     raw = filesystem.open_output_stream(f"{base}/{name}")
-                    state.update(key=stem, raw=raw)
+                    state.update(key=name_stem, raw=raw)
                     if archive:
                         zf = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
-                        state.update(zip=zf, member=zf.open(f"{stem}.csv", "w"))
+                        state.update(zip=zf, member=zf.open(f"{name_stem}.csv", "w"))
                     names.append(name)
                     rows.append(0)
-                text = _csv_text(grp[cols], header and first).encode()
+                text = _csv_text(grp[columns], header and first).encode()
                 (state["member"] or state["raw"]).write(text)
                 rows[-1] += len(grp)
         close()
         yield pd.DataFrame({"file": names, "rows": rows}, columns=["file", "rows"])
 
-    src = df.select(F.col("symbol"), F.date_format("date", "yyyy-MM-dd").alias("date"), *cols)
-    return src.sortWithinPartitions("symbol", "date").mapInPandas(write, FILE_SCHEMA)
+    src = df.select(stem.alias("_stem"), *columns).where(F.col("_stem").isNotNull())
+    return src.sortWithinPartitions("_stem").mapInPandas(write, FILE_SCHEMA)
+
+
+def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bool = False) -> DataFrame:
+    """Raw trade rows (``symbol``, ``date`` + raw columns) as ``{symbol}-trades-{date}`` files."""
+    stem = F.concat(F.col("symbol"), F.lit("-trades-"), F.date_format("date", "yyyy-MM-dd"))
+    return write_csv_files(df, root, stem, RAW_TRADE_COLUMNS, header, archive)
