@@ -20,8 +20,9 @@ MARKET_UM = "um"
 
 
 def file_name(path: Column) -> Column:
-    """Last segment of a path split on ``/`` or ``\\``."""
-    return F.element_at(F.split(path, PATH_SEPARATORS), -1)
+    """Last segment of a path split on ``/`` or ``\\`` (no regex: the last
+    segment of a split on separator runs is the text after the last separator)."""
+    return F.substring_index(F.translate(path, "\\", "/"), "/", -1)
 
 
 def symbol_from_name(name: Column) -> Column:
@@ -31,8 +32,9 @@ def symbol_from_name(name: Column) -> Column:
 
 def date_from_name(name: Column) -> Column:
     """Date after ``-trades-``; null when the name holds none."""
-    text = F.regexp_extract(name, DATE_IN_NAME, 1)
-    return F.when(text != "", F.try_to_date(text, "yyyy-MM-dd"))
+    # The regex admits only dddd-dd-dd, so a plain cast parses it exactly
+    # (no formatter); impossible dates and '' (no match) become null.
+    return F.regexp_extract(name, DATE_IN_NAME, 1).try_cast("date")
 
 
 def market_of(symbol: Column) -> Column:

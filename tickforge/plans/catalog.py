@@ -491,11 +491,7 @@ EVENTS_REF_TRADES_SQL = EVENTS_TRADES_SQL.replace("event_id % 2 = 0 AS is_buyer_
 
 
 def _reference_bars(spark, sf_dir):
-    t = V.events_trades(spark, sf_dir).withColumn("is_buyer_maker", F.col("id") * 0 == 1)
-    ev = V.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), (F.col("user_id") % 2 == 0).alias("ibm"))
-    t = V.events_trades(spark, sf_dir).alias("t")
-    t = t.join(ev, "id").drop("is_buyer_maker").withColumnRenamed("ibm", "is_buyer_maker")
-    return B.aggregate_bars(t, "1h", unique_ids=True)
+    return B.aggregate_bars(V.events_trades(spark, sf_dir, maker_from="user_id"), "1h", unique_ids=True)
 
 
 def _generated_bars(spark, sf_dir):

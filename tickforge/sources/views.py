@@ -37,8 +37,11 @@ def event_symbol(event_type: Column) -> Column:
     return F.when(event_type == CM_EVENT_TYPE, F.lit(CM_SYMBOL)).otherwise(F.concat(F.upper(event_type), F.lit(UM_SUFFIX)))
 
 
-def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades from ``events``: symbol, id, price, qty, quote_qty, is_buyer_maker, ts, date."""
+def events_trades(spark: SparkSession, sf_dir: str, maker_from: str = "event_id") -> DataFrame:
+    """Trades from ``events``: symbol, id, price, qty, quote_qty, is_buyer_maker, ts, date.
+
+    ``maker_from="user_id"`` flags makers by even user_id instead (used to
+    build a second, differing bar set for the comparison checks)."""
     ensure_utc(spark)
     ev = table(spark, sf_dir, "events")
     qty = (F.lit(1) + F.col("user_id") % 10).cast("double")
@@ -48,7 +51,7 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"),
         qty.alias("qty"),
         (F.col("value") * qty).alias("quote_qty"),
-        (F.col("event_id") % 2 == 0).alias("is_buyer_maker"),
+        (F.col(maker_from) % 2 == 0).alias("is_buyer_maker"),
         F.col("ts"),
         F.to_date("ts").alias("date"),
     )
