@@ -59,6 +59,31 @@ def preprocess(
     )
 
 
+def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fmt: str = "parquet") -> DataFrame | None:
+    """Last valid close per symbol from stored bars dated before ``before``.
+
+    Exact without reading the history: the latest stored ``bucket`` before
+    ``before`` is found per symbol from partition values, and only those
+    buckets are read (the join on the partition columns lets dynamic
+    partition pruning skip every other directory).
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators.filters import _as_date, filter_symbols
+
+    try:
+        stored = filter_symbols(spark.read.format(fmt).load(bars_path), symbols)
+    except AnalysisException as exc:
+        if _missing(exc):
+            return None
+        raise
+    valid = F.col("close").isNotNull() & ~F.isnan("close")
+    older = stored.where((F.col("bucket") < F.lit(_as_date(before))) & valid)
+    last_bucket = older.groupBy("symbol").agg(F.max("bucket").alias("bucket"))
+    last_rows = older.join(last_bucket, ["symbol", "bucket"])
+    return last_rows.groupBy("symbol").agg(F.max_by("close", "open_time").alias("close"))
+
+
 def bars_frame(
     spark: SparkSession,
     trades_path: str,
@@ -69,8 +94,12 @@ def bars_frame(
     start_date=None,
     end_date=None,
     unique_ids: bool = True,
+    seed_close: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Bars with ``bucket`` from a stored trades table (filters prune partitions)."""
+    """Bars with ``bucket`` from a stored trades table (filters prune partitions).
+
+    ``seed_close`` (symbol, close) carries a close from before the first
+    trade read, e.g. ``seed_from_bars`` when ``start_date`` cuts history."""
     ensure_utc(spark)
     try:
         trades = load_trades(spark, trades_path, fmt, symbols, start_date, end_date)
@@ -82,6 +111,12 @@ def bars_frame(
     if trades.isEmpty():
         log.warning("No data available for the requested filters")
         return None
+    if fill and seed_close is not None:
+        from ..operators.bars import fill_bars, with_bucket
+        from ..schema import BAR_COLUMNS_WITH_BUCKET
+
+        filled = fill_bars(trades, parse_timeframe(timeframe), unique_ids=unique_ids, seed_close=seed_close)
+        return with_bucket(filled).select(*BAR_COLUMNS_WITH_BUCKET)
     return compute_bars(trades, parse_timeframe(timeframe), fill=fill, unique_ids=unique_ids)
 
 
@@ -99,14 +134,21 @@ def bars_job(
     num_partitions: int | None = None,
     max_records: int | None = None,
     unique_ids: bool = True,
+    seed_from_stored: bool = True,
 ) -> str | None:
     """Stored trades -> bars table at ``{output_root}/{duration label}``.
 
     ``unique_ids`` (default) uses the hash-aggregate open/close, valid for
     exchange trade ids (unique per symbol); pass False for sources where
-    (symbol, ts, id) may repeat.
+    (symbol, ts, id) may repeat.  With ``start_date`` and stored bars of the
+    same duration, the fill starts from their last close instead of nulls.
     """
-    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, start_date, end_date, unique_ids)
+    from ..sinks.tables import bars_path
+
+    seed = None
+    if fill and start_date and seed_from_stored:
+        seed = seed_from_bars(spark, bars_path(output_root, timeframe), start_date, symbols, fmt)
+    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, start_date, end_date, unique_ids, seed)
     if bars is None:
         return None
     return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records)

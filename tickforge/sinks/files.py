@@ -89,3 +89,10 @@ def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bo
     """Raw trade rows (``symbol``, ``date`` + raw columns) as ``{symbol}-trades-{date}`` files."""
     stem = F.concat(F.col("symbol"), F.lit("-trades-"), F.date_format("date", "yyyy-MM-dd"))
     return write_csv_files(df, root, stem, RAW_TRADE_COLUMNS, header, archive)
+
+
+def write_chart_series(series: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Chart payloads as JSON, one directory per symbol (``symbol=...``), one
+    record per (symbol, day) with its title, file stem and arrays."""
+    series.write.mode(mode).partitionBy("symbol").json(path)
+    return path
