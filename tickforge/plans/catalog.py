@@ -870,3 +870,97 @@ def q_bars_job(spark, sf_dir):
     out = bars_job(spark, trades_root, bars_root, "1h")
     bars = spark.read.parquet(out).select(*BAR_COLUMNS_WITH_BUCKET)
     return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
+
+
+# ---------------------------------------------------------------- more sources and jobs (S3, S9 status, S10, M3 counts, Q20)
+
+
+def _prepared_table(spark, sf_dir) -> str:
+    """Prepared events trades written as the partitioned trades table; returns its folder."""
+    from ..operators.prepare import prepare_trades
+    from ..session import shared_dir
+    from ..sinks.tables import write_trades
+
+    root = shared_dir(spark, "trades")
+    write_trades(prepare_trades(V.events_raw_trades(spark, sf_dir)), root, num_partitions=8)
+    return root
+
+
+@register(
+    "trades_scan",
+    f"""SELECT symbol, ts, price, qty, quote_qty, is_buyer_maker, id, date FROM ({PREPARED_SQL}) p
+    WHERE symbol IN ('VIEWUSDT', 'PURCHASEUSD_PERP')
+      AND date >= TIMESTAMP '2024-01-10' AND date <= TIMESTAMP '2024-01-20'""",
+)
+def q_trades_scan(spark, sf_dir):
+    """Stored trades read back with symbol and date filters on the partition columns."""
+    from ..sources.trades import load_trades
+
+    df = load_trades(spark, _prepared_table(spark, sf_dir), symbols=["VIEWUSDT", "PURCHASEUSD_PERP"],
+                     start_date="2024-01-10", end_date="2024-01-20")
+    return check_view(df)
+
+
+@register(
+    "archive_status",
+    f"""SELECT symbol || '-trades-' || strftime(date, '%Y-%m-%d') AS stem, TRUE AS ok,
+           CAST(count(*) + 1 AS BIGINT) AS lines
+    FROM ({EVENTS_TRADES_SQL}) t GROUP BY symbol, date""",
+)
+def q_archive_status(spark, sf_dir):
+    """Per landed archive: readable, and lines read (header included) (S9 status)."""
+    from ..functions.names import file_name
+    from ..sources.files import archive_lines, archive_status
+
+    st = archive_status(archive_lines(spark, _landed_archives(spark, sf_dir)))
+    stem = F.regexp_replace(file_name(F.col("archive")), r"-p[0-9]+\.zip$", "")
+    # The writer emits one archive per (symbol, day) and task, each with a
+    # header line: fold a day's parts together and count its header once.
+    folded = st.groupBy(stem.alias("stem")).agg(
+        F.bool_and("ok").alias("ok"), F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("parts")
+    )
+    return folded.select("stem", "ok", (F.col("lines") - F.col("parts") + 1).cast("bigint").alias("lines"))
+
+
+@register("landed_files", f"SELECT DISTINCT symbol, date FROM ({_LANDED_SQL}) l")
+def q_landed_files(spark, sf_dir):
+    """Landed archive names parsed to (symbol, date)."""
+    from ..operators.manifest import landed_files
+    from ..sources.files import list_files
+
+    return landed_files(list_files(spark, _landed_archives(spark, sf_dir), "*.zip")).select("symbol", "date").distinct()
+
+
+@register(
+    "manifest_summary",
+    f"""WITH m AS ({MANIFEST_SQL}),
+    miss AS (SELECT m.* FROM m WHERE NOT EXISTS (SELECT 1 FROM ({_LANDED_SQL}) l WHERE l.symbol = m.symbol AND l.date = m.date))
+    SELECT m.market, count(*) AS expected, count(*) - (SELECT count(*) FROM miss) AS landed, (SELECT count(*) FROM miss) AS missing
+    FROM m GROUP BY m.market""",
+)
+def q_manifest_summary(spark, sf_dir):
+    """Expected / landed / missing archive counts per market (M3)."""
+    from ..operators.manifest import landed_files, missing_summary
+    from ..sources.files import list_files
+
+    landed = landed_files(list_files(spark, _landed_archives(spark, sf_dir), "*.zip"))
+    return missing_summary(_manifest(spark, sf_dir), landed)
+
+
+@register(
+    "bars_job_rerun",
+    f"""SELECT *, CAST(CAST(open_time AS DATE) AS TIMESTAMP) AS bucket
+    FROM ({filled_sql(PREPARED_SQL, 3600 * 1_000_000)}) b""",
+)
+def q_bars_job_rerun(spark, sf_dir):
+    """Bars job over all days, then rerun from 2024-01-15 only: the rerun's first
+    slots take the close of the stored bars, so the table equals one full run (Q20)."""
+    from ..plans.jobs import bars_job
+    from ..schema import BAR_COLUMNS_WITH_BUCKET
+    from ..session import shared_dir
+
+    trades_root, bars_root = _prepared_table(spark, sf_dir), shared_dir(spark, "bars")
+    bars_job(spark, trades_root, bars_root, "1h")
+    out = bars_job(spark, trades_root, bars_root, "1h", start_date="2024-01-15")
+    bars = spark.read.parquet(out).select(*BAR_COLUMNS_WITH_BUCKET)
+    return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
