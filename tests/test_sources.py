@@ -73,3 +73,32 @@ def test_read_klines_by_header_name(spark, tmp_dir):
     r = read_klines(spark, tmp_dir).first()
     assert r["symbol"] == "BTCUSDT" and r["close"] == 2.5 and r["count"] == 7
     assert r["open_time"].isoformat().startswith("2024-01-01T00:00")
+
+
+def test_table_sink_layout_options(spark, tmp_dir):
+    from tickforge.sinks.tables import write_trades
+
+    df = spark.createDataFrame(
+        [("A", i, 1.0, 1.0, 1.0, False, None, __import__("datetime").date(2024, 1, 1 + i % 2)) for i in range(20)],
+        "symbol string, id long, price double, qty double, quote_qty double, is_buyer_maker boolean, ts timestamp, date date",
+    )
+    write_trades(df, f"{tmp_dir}/t", num_partitions=2, max_records=3)
+    files = [f for f in os.listdir(f"{tmp_dir}/t/symbol=A/date=2024-01-01") if f.endswith(".parquet")]
+    assert len(files) >= 4  # 10 rows, at most 3 per file
+    write_trades(df, f"{tmp_dir}/h", num_partitions=2, layout="hash")
+    assert spark.read.parquet(f"{tmp_dir}/h").count() == 20
+
+
+def test_csv_file_writer_names_and_no_temp_left(spark, tmp_dir):
+    from tickforge.sinks.files import write_trade_files
+
+    df = spark.createDataFrame(
+        [("A", __import__("datetime").date(2024, 1, 1), 1, 1.0, 1.0, 1.0, 1704067200000, True)],
+        "symbol string, date date, id long, price double, qty double, quote_qty double, time long, is_buyer_maker boolean",
+    )
+    written = write_trade_files(df, tmp_dir).collect()
+    assert [r["rows"] for r in written] == [1]
+    names = os.listdir(tmp_dir)
+    assert len(names) == 1 and names[0].startswith("A-trades-2024-01-01-p") and names[0].endswith(".csv")
+    with open(f"{tmp_dir}/{names[0]}") as fh:
+        assert fh.read() == "id,price,qty,quote_qty,time,is_buyer_maker\n1,1.0,1.0,1.0,1704067200000,true\n"

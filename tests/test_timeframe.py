@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tickforge.functions.timeframe import parse_timeframe, parse_timeframes, valid_durations
 

@@ -2,9 +2,11 @@
 (optionally zipped).  Used to land test fixtures derived from tables.
 
 Each task streams its Arrow batches into one file per (symbol, date) it sees,
-named with the task's partition id, so memory stays at one batch and a
-retried task rewrites the same files.  Paths go through ``pyarrow.fs`` so a
-shared filesystem URI works as well as a local folder.
+named with the task's partition id, so memory stays at one batch.  A file is
+written under an attempt-specific temporary name and moved into place when
+complete, so a retried or speculative attempt never leaves a torn file and
+the last finished attempt wins.  Paths go through ``pyarrow.fs`` so a shared
+filesystem URI works as well as a local folder.
 """
 
 from __future__ import annotations
@@ -47,11 +49,12 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
         import pandas as pd
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        part, attempt = ctx.partitionId(), ctx.attemptNumber()
         filesystem, base = _fs(root)
         filesystem.create_dir(base, recursive=True)
         names, rows = [], []
-        state = {"key": None, "raw": None, "zip": None, "member": None}
+        state = {"key": None, "raw": None, "zip": None, "member": None, "tmp": None, "final": None}
 
         def close():
             if state["member"] is not None:
@@ -59,7 +62,8 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
                 state["zip"].close()
             if state["raw"] is not None:
                 state["raw"].close()
-            state.update(key=None, raw=None, zip=None, member=None)
+                filesystem.move(state["tmp"], state["final"])
+            state.update(key=None, raw=None, zip=None, member=None, tmp=None, final=None)
 
         for pdf in batches:
             for key, grp in pdf.groupby("_stem", sort=False):
@@ -68,8 +72,10 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
                 if first:
                     close()
                     name = f"{name_stem}.zip" if archive else f"{name_stem}.csv"
-                    raw = filesystem.open_output_stream(f"{base}/{name}")
-                    state.update(key=name_stem, raw=raw)
+                    final = f"{base}/{name}"
+                    tmp = f"{base}/.{name}.attempt-{attempt}.tmp"
+                    raw = filesystem.open_output_stream(tmp)
+                    state.update(key=name_stem, raw=raw, tmp=tmp, final=final)
                     if archive:
                         zf = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
                         state.update(zip=zf, member=zf.open(f"{name_stem}.csv", "w"))
@@ -79,7 +85,8 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
                 (state["member"] or state["raw"]).write(text)
                 rows[-1] += len(grp)
         close()
-        yield pd.DataFrame({"file": names, "rows": rows}, columns=["file", "rows"])
+        if names:  # an empty task writes nothing and reports nothing
+            yield pd.DataFrame({"file": pd.Series(names, dtype="object"), "rows": pd.Series(rows, dtype="int64")})
 
     src = df.select(stem.alias("_stem"), *columns).where(F.col("_stem").isNotNull())
     return src.sortWithinPartitions("_stem").mapInPandas(write, FILE_SCHEMA)
