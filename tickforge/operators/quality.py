@@ -135,32 +135,56 @@ def null_mismatches(generated: DataFrame, reference: DataFrame, align: str = "ti
 
 
 def first_diffs(diffs: DataFrame, n: int = 10, order: str = "open_time") -> DataFrame:
-    """First ``n`` differences per (symbol, column) - a report limit by design."""
+    """First ``n`` differences per (symbol, column) - a report limit by design.
+
+    Two phases so no window holds a symbol's whole history: the first ``n``
+    per (symbol, column, day) survive a window bounded by one day of bars,
+    then the first ``n`` of those survivors per (symbol, column) are kept.
+    Both orders are the same, so the result equals a single ranking.
+    """
+    is_time = dict(diffs.dtypes)[order].startswith("timestamp")
+    chunk = F.to_date(F.col(order)) if is_time else F.floor(F.col(order) / F.lit(86_400))
+    local = Window.partitionBy("symbol", "column", "_chunk").orderBy(order)
+    survivors = diffs.withColumn("_chunk", chunk).withColumn("_r", F.row_number().over(local)).where(F.col("_r") <= n)
     w = Window.partitionBy("symbol", "column").orderBy(order)
-    return diffs.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
+    ranked = survivors.drop("_chunk", "_r").withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return ranked.where(F.col("rank") <= n)
 
 
 def verdict(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> DataFrame:
-    """Per symbol: counts of missing rows either side and of differing cells,
-    ``equal`` when all are zero, and ``status`` 0 (pass) / 1 (fail)."""
-    counts = row_counts(generated, reference)
-    miss = missing_rows(generated, reference, align).groupBy("symbol").agg(
-        F.sum(F.when(F.col("missing_in") == "generated", 1).otherwise(0)).cast("bigint").alias("missing_in_generated"),
-        F.sum(F.when(F.col("missing_in") == "reference", 1).otherwise(0)).cast("bigint").alias("missing_in_reference"),
+    """Per symbol: rows on each side, rows missing on either side, differing
+    cells, ``equal`` when all agree and ``status`` 0 (pass) / 1 (fail).
+
+    One full outer join and one aggregate: every count is a conditional sum
+    over the aligned rows (bar keys are unique on each side).
+    """
+    joined, _ = _aligned(generated, reference, align)
+    in_gen, in_ref = F.col("_in_gen").isNotNull(), F.col("_in_ref").isNotNull()
+    cell_bad = [
+        F.when(
+            in_gen & in_ref & F.col(f"{c}_gen").isNotNull() & F.col(f"{c}_ref").isNotNull()
+            & (F.abs(F.col(f"{c}_gen").cast("double") - F.col(f"{c}_ref").cast("double")) > F.lit(tolerance)),
+            1,
+        ).otherwise(0)
+        for c in KLINE_VALUE_COLUMNS
+    ]
+    n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+    per = joined.groupBy("symbol").agg(
+        n(in_gen).alias("rows_generated"),
+        n(in_ref).alias("rows_reference"),
+        n(~in_gen).alias("missing_in_generated"),
+        n(~in_ref).alias("missing_in_reference"),
+        F.sum(sum(cell_bad[1:], cell_bad[0])).cast("bigint").alias("differing_cells"),
+    )
+    bad = (
+        (F.col("rows_generated") != F.col("rows_reference"))
+        | (F.col("missing_in_generated") > 0)
+        | (F.col("missing_in_reference") > 0)
+        | (F.col("differing_cells") > 0)
     )
-    diffs = value_diffs(generated, reference, tolerance, align).groupBy("symbol").agg(F.count(F.lit(1)).alias("differing_cells"))
-    out = counts.join(miss, "symbol", "left").join(diffs, "symbol", "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    bad = (~F.col("same_count")) | (z("missing_in_generated") > 0) | (z("missing_in_reference") > 0) | (z("differing_cells") > 0)
-    return out.select(
-        "symbol",
-        "rows_generated",
-        "rows_reference",
-        z("missing_in_generated").alias("missing_in_generated"),
-        z("missing_in_reference").alias("missing_in_reference"),
-        z("differing_cells").alias("differing_cells"),
-        (~bad).alias("equal"),
-        F.when(bad, 1).otherwise(0).alias("status"),
+    return per.select(
+        "symbol", "rows_generated", "rows_reference", "missing_in_generated", "missing_in_reference",
+        "differing_cells", (~bad).alias("equal"), F.when(bad, 1).otherwise(0).alias("status"),
     )
 
 
