@@ -60,7 +60,7 @@ def file_manifest(
     suffix = UM_SYMBOL_SUFFIX if market == "um" else CM_SYMBOL_SUFFIX
     days = F.sequence(F.lit(s), F.lit(e), F.expr(f"INTERVAL {int(day_step)} DAY"))
     rows = symbols.select(F.concat(F.col("symbol"), F.lit(suffix)).alias("symbol"), F.explode(days).alias("d"))
-    day = F.date_format("d", "yyyy-MM-dd")
+    day = F.col("d").cast("string")
     url = _template(layout, root=F.lit(root), market=F.lit(market), symbol=F.col("symbol"), d=day)
     return rows.select(day.alias("date"), "symbol", url.alias("url"), F.lit(market).alias("market"))
 

@@ -30,7 +30,7 @@ def trade_count_totals(counts: DataFrame) -> DataFrame:
     ``cube`` over the per-(symbol, date) counts gives per-symbol totals,
     per-date totals and the grand total in one aggregate.
     """
-    day = F.date_format("date", "yyyy-MM-dd")
+    day = F.col("date").cast("string")
     cubed = counts.select("symbol", day.alias("day"), "trade_count").cube("symbol", "day").agg(
         F.sum("trade_count").cast("bigint").alias("trade_count"),
         F.grouping("symbol").alias("_gs"),
@@ -45,7 +45,7 @@ def trade_count_totals(counts: DataFrame) -> DataFrame:
 
 def report_days(counts: DataFrame) -> list[str]:
     """Distinct dates as text, ascending (bounded by the calendar, not the data)."""
-    rows = counts.select(F.date_format("date", "yyyy-MM-dd").alias("d")).distinct().orderBy("d").collect()
+    rows = counts.select(F.col("date").cast("string").alias("d")).distinct().orderBy("d").collect()
     return [r["d"] for r in rows]
 
 

@@ -845,7 +845,7 @@ def q_kline_scan(spark, sf_dir):
         F.lit("0").alias("ignore"),
         F.to_date("open_time").alias("day"),
     )
-    stem = F.concat(F.col("symbol"), F.lit("-1h-"), F.date_format("day", "yyyy-MM-dd"))
+    stem = F.concat(F.col("symbol"), F.lit("-1h-"), F.col("day").cast("string"))
     write_csv_files(out, root, stem, _KLINE_COLS).collect()
     k = read_klines(spark, root)
     return round_sums(k.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")))

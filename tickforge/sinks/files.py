@@ -94,7 +94,7 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
 
 def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bool = False) -> DataFrame:
     """Raw trade rows (``symbol``, ``date`` + raw columns) as ``{symbol}-trades-{date}`` files."""
-    stem = F.concat(F.col("symbol"), F.lit("-trades-"), F.date_format("date", "yyyy-MM-dd"))
+    stem = F.concat(F.col("symbol"), F.lit("-trades-"), F.col("date").cast("string"))
     return write_csv_files(df, root, stem, RAW_TRADE_COLUMNS, header, archive)
 
 

@@ -69,7 +69,7 @@ def events_raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quote_qty",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
         "is_buyer_maker",
-        F.concat(F.lit("file:///raw/"), F.col("symbol"), F.lit("-trades-"), F.date_format("date", "yyyy-MM-dd"), F.lit(".csv")).alias("file_path"),
+        F.concat(F.lit("file:///raw/"), F.col("symbol"), F.lit("-trades-"), F.col("date").cast("string"), F.lit(".csv")).alias("file_path"),
     )
 
 
