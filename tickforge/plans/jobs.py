@@ -152,3 +152,37 @@ def bars_job(
     if bars is None:
         return None
     return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records)
+
+
+def check_flow(
+    spark: SparkSession,
+    archives_path: str,
+    klines_path: str,
+    work_root: str,
+    timeframe="1m",
+    ratio: float = DEFAULT_CM_RATIO,
+    tolerance: float = 1e-5,
+) -> dict[str, DataFrame] | None:
+    """Whole check flow: zipped trade files -> trades table -> bars table ->
+    comparison with exchange klines.  Returns the comparison frames
+    (``counts``, ``missing``, ``diffs``, ``nulls``, ``first_diffs``,
+    ``verdict``) or ``None`` when there is nothing to compare.
+
+    Each stage writes its table under ``work_root``, which cuts lineage and
+    lets any stage be rerun alone.
+    """
+    from ..operators.quality import compare_bars
+    from ..sources.files import ingest_archives, read_klines
+
+    ensure_utc(spark)
+    trades_root, bars_root = f"{work_root.rstrip('/')}/trades", f"{work_root.rstrip('/')}/bars"
+    raw = ingest_archives(spark, archives_path)
+    if raw.isEmpty():
+        log.warning("No archive rows under %s", archives_path)
+        return None
+    write_trades(prepare_trades(raw, ratio), trades_root)
+    out = bars_job(spark, trades_root, bars_root, timeframe)
+    if out is None:
+        return None
+    generated = spark.read.parquet(out)
+    return compare_bars(generated, read_klines(spark, klines_path), tolerance)
