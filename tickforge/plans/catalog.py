@@ -120,10 +120,14 @@ def unfilled_select(step_us: int, src: str = "b") -> str:
   FROM {src}"""
 
 
-def filled_sql(trades_sql: str, step_us: int, rounded: bool = True) -> str:
-    """Reference-style fill: grid per (symbol, day) LEFT JOIN bars, carry last valid close per symbol."""
+def filled_sql(trades_sql: str, step_us: int, rounded: bool = True, seed_sql: str | None = None) -> str:
+    """Reference-style fill: grid per (symbol, day) LEFT JOIN bars, carry last valid close per symbol.
+
+    ``seed_sql`` (symbol, seed) supplies a close for slots before a symbol's first trade."""
     rr = r4 if rounded else (lambda e: e)
-    return f"""
+    carried = "last_close" if seed_sql is None else "coalesce(last_close, (SELECT seed FROM s WHERE s.symbol = f.symbol))"
+    seed_cte = "" if seed_sql is None else f"s AS ({seed_sql}),"
+    body = f"""
 WITH b AS ({bars_sql(trades_sql, step_us)}),
 days AS (SELECT DISTINCT symbol, bar_us - bar_us % 86400000000 AS day_us FROM b),
 grid AS (SELECT symbol, unnest(range(day_us, day_us + 86400000000, {step_us})) AS slot_us FROM days),
@@ -142,6 +146,13 @@ SELECT symbol, make_timestamp(slot_us) AS open_time, make_timestamp(slot_us + {s
        {rr("coalesce(taker_buy_quote_volume, 0.0)")} AS taker_buy_quote_volume,
        coalesce("count", 0) AS "count"
 FROM f"""
+    if seed_sql is not None:
+        body = body.replace("WITH b AS (", f"WITH {seed_cte} b AS (", 1)
+        body = body.replace("coalesce(open, last_close)", f"coalesce(open, {carried})")
+        body = body.replace("coalesce(high, last_close)", f"coalesce(high, {carried})")
+        body = body.replace("coalesce(low, last_close)", f"coalesce(low, {carried})")
+        body = body.replace("coalesce(close, last_close)", f"coalesce(close, {carried})")
+    return body
 
 
 def _unfilled(trades_sql: str, seconds: int) -> str:
@@ -964,3 +975,29 @@ def q_bars_job_rerun(spark, sf_dir):
     out = bars_job(spark, trades_root, bars_root, "1h", start_date="2024-01-15")
     bars = spark.read.parquet(out).select(*BAR_COLUMNS_WITH_BUCKET)
     return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
+
+
+_SEED_SQL = f"SELECT symbol, first(price ORDER BY ts, id, price) AS seed FROM ({EVENTS_TRADES_SQL}) t GROUP BY symbol"
+_NULL_GEN = filled_sql(EVENTS_TRADES_SQL, 300 * 1_000_000, rounded=False)
+_NULL_REF = filled_sql(EVENTS_TRADES_SQL, 300 * 1_000_000, rounded=False, seed_sql=_SEED_SQL)
+_NULLS_JOINED = f"""
+  SELECT coalesce(g.symbol, r.symbol) AS symbol, coalesce(g.open_time, r.open_time) AS open_time, g.*, r.*
+  FROM ({_proj_sql(_NULL_GEN, 'gen')}) g FULL OUTER JOIN ({_proj_sql(_NULL_REF, 'ref')}) r
+    ON g.symbol = r.symbol AND g.open_time = r.open_time"""
+
+
+@register(
+    "check_nulls",
+    f"""WITH j AS (SELECT * EXCLUDE (symbol, open_time), symbol, open_time FROM ({_NULLS_JOINED}) x),
+    l AS ({_LONG_SQL})
+    SELECT * FROM l WHERE (generated IS NULL) <> (reference IS NULL)""",
+)
+def q_check_nulls(spark, sf_dir):
+    """Null versus value on aligned bars (Q14): unseeded fill vs fill seeded with each symbol's first price."""
+    from ..operators.quality import null_mismatches
+
+    t = V.events_trades(spark, sf_dir)
+    seed = t.groupBy("symbol").agg(F.min(F.struct("ts", "id", "price"))["price"].alias("close"))
+    gen = B.fill_bars(t, "5m", unique_ids=True)
+    ref = B.fill_bars(t, "5m", unique_ids=True, seed_close=seed)
+    return null_mismatches(gen, ref)
