@@ -44,3 +44,22 @@ def test_csv_scan_pushes_raw_checks(spark, tmp_dir):
         fh.write("id,price,qty,quote_qty,time,is_buyer_maker\n1,1.0,1,1,1704067200000,false\n")
     plan = prepare_trades(read_trades(spark, tmp_dir))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(price,0.0)" in plan and "IsNotNull(price)" in plan
+
+
+def test_seed_reads_only_the_latest_stored_day(spark, tmp_dir):
+    from tickforge.operators.bars import compute_bars
+    from tickforge.plans.jobs import seed_from_bars
+    from tickforge.sinks.tables import write_bars
+
+    path = write_bars(compute_bars(events_trades(spark, SF), "1h", unique_ids=True), tmp_dir, "1h")
+    seed = seed_from_bars(spark, path, "2024-01-15")
+    assert seed.count() == 5
+    seed.collect()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = seed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    data_scans = [s for s in scans if "ReadSchema: struct<>" not in s]
+    assert data_scans and all("dynamicpruningexpression" in s for s in data_scans)

@@ -62,10 +62,13 @@ def preprocess(
 def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fmt: str = "parquet") -> DataFrame | None:
     """Last valid close per symbol from stored bars dated before ``before``.
 
-    Exact without reading the history: the latest stored ``bucket`` before
-    ``before`` is found per symbol from partition values, and only those
-    buckets are read (the join on the partition columns lets dynamic
-    partition pruning skip every other directory).
+    Reads no history: each symbol's latest stored ``bucket`` before ``before``
+    comes from the partition values alone (no data column is touched), and
+    only those buckets are read.  The join on the partition columns lets
+    dynamic partition pruning skip every other directory.  In tables written
+    by the bars job every stored day after a symbol's first trade has a valid
+    close (filled slots carry it; prepared trades hold no NaN), so the latest
+    day is enough.
     """
     from pyspark.sql import functions as F
 
@@ -77,11 +80,11 @@ def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fm
         if _missing(exc):
             return None
         raise
-    valid = F.col("close").isNotNull() & ~F.isnan("close")
-    older = stored.where((F.col("bucket") < F.lit(_as_date(before))) & valid)
-    last_bucket = older.groupBy("symbol").agg(F.max("bucket").alias("bucket"))
+    older = stored.where(F.col("bucket") < F.lit(_as_date(before)))
+    last_bucket = older.select("symbol", "bucket").groupBy("symbol").agg(F.max("bucket").alias("bucket"))
     last_rows = older.join(last_bucket, ["symbol", "bucket"])
-    return last_rows.groupBy("symbol").agg(F.max_by("close", "open_time").alias("close"))
+    valid = F.col("close").isNotNull() & ~F.isnan("close")
+    return last_rows.groupBy("symbol").agg(F.max_by(F.when(valid, F.col("close")), F.when(valid, F.col("open_time"))).alias("close"))
 
 
 def bars_frame(
