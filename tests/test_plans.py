@@ -62,4 +62,4 @@ def test_seed_reads_only_the_latest_stored_day(spark, tmp_dir):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     data_scans = [s for s in scans if "ReadSchema: struct<>" not in s]
-    assert data_scans and all("dynamicpruningexpression" in s for s in data_scans)
+    assert data_scans and all("dynamicpruning" in s for s in data_scans)  # text may be cut after this
