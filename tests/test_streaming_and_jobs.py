@@ -40,6 +40,9 @@ def test_bars_job_seeds_close_from_stored_bars(spark, tmp_dir):
     day3 = {r["open_time"].hour: r for r in spark.read.parquet(out).where(F.col("bucket") == "2024-01-03").collect()}
     assert day3[0]["close"] == 10.0 and day3[12]["close"] == 20.0
     assert spark.read.parquet(out).count() == 8  # dynamic overwrite replaced the day, no duplicates
+    from tickforge.sources.trades import load_bars
+
+    assert load_bars(spark, f"{tmp_dir}/bars", "6h", symbols=["A"], start="2024-01-03").count() == 4
 
 
 def test_chart_sink(spark, tmp_dir):
