@@ -160,9 +160,14 @@ def _result(text: Column, ok: Column, total: Column) -> Column:
 def parse_timeframes(df, text_col: str, out: str = "tf"):
     """Adds ``out`` = struct(seconds, label, error) for a table of duration texts.
 
-    Staged projections (normalised text -> total seconds -> result) keep each
-    generated method small and compute the regex work once per row.
+    Each distinct text is parsed once (a partial-aggregated ``distinct``), in
+    staged projections that keep generated methods small, and the results are
+    attached with a null-safe equi-join.  The parsed side has one row per
+    distinct text; AQE broadcasts it only after measuring it.
     """
-    staged = df.withColumn("_tf_norm", _norm(F.col(text_col)))
+    texts = df.select(F.col(text_col).alias("_tf_text")).distinct()
+    staged = texts.withColumn("_tf_norm", _norm(F.col("_tf_text")))
     staged = staged.withColumn("_tf_ok", F.col("_tf_norm").rlike(DURATION_PATTERN)).withColumn("_tf_total", _total(F.col("_tf_norm")))
-    return staged.withColumn(out, _result(F.col(text_col), F.col("_tf_ok"), F.col("_tf_total"))).drop("_tf_norm", "_tf_ok", "_tf_total")
+    parsed = staged.select("_tf_text", _result(F.col("_tf_text"), F.col("_tf_ok"), F.col("_tf_total")).alias(out))
+    joined = df.join(parsed, df[text_col].eqNullSafe(parsed["_tf_text"]), "left")
+    return joined.drop("_tf_text")
