@@ -232,10 +232,6 @@ PREPARED_SQL = f"""
     AND date IS NOT NULL AND ts IS NOT NULL AND market IS NOT NULL"""
 
 
-def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return check_view(df)
-
-
 def _prepared_events(spark, sf_dir):
     from ..operators.prepare import prepare_trades
 
@@ -261,7 +257,7 @@ def q_file_metadata(spark, sf_dir):
 def q_ts_from_millis(spark, sf_dir):
     from ..operators.prepare import with_event_time
 
-    return _ntz(with_event_time(V.events_raw_trades(spark, sf_dir).select("id", "time")), "ts")
+    return check_view(with_event_time(V.events_raw_trades(spark, sf_dir).select("id", "time")))
 
 
 @register(
@@ -289,7 +285,7 @@ def q_adjust_quote_qty(spark, sf_dir):
 
 @register("valid_trades", f"SELECT * FROM ({PREPARED_SQL}) p")
 def q_valid_trades(spark, sf_dir):
-    return _ntz(_prepared_events(spark, sf_dir), "ts")
+    return check_view(_prepared_events(spark, sf_dir))
 
 
 @register(
@@ -350,7 +346,7 @@ def q_trades_prepared(spark, sf_dir):
     back = spark.read.parquet(table_root)
     from ..schema import PREPARED_TRADE_COLUMNS
 
-    return _ntz(back.select(*PREPARED_TRADE_COLUMNS), "ts")
+    return check_view(back.select(*PREPARED_TRADE_COLUMNS))
 
 
 # ---------------------------------------------------------------- durations (T1) and more bars
