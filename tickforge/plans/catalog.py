@@ -997,3 +997,28 @@ def q_check_nulls(spark, sf_dir):
     gen = B.fill_bars(t, "5m", unique_ids=True)
     ref = B.fill_bars(t, "5m", unique_ids=True, seed_close=seed)
     return null_mismatches(gen, ref)
+
+
+# ---------------------------------------------------------------- streaming (bars over a trade stream)
+
+
+@register(
+    "stream_bars_1h",
+    f"""WITH b AS ({bars_sql(EVENTS_TRADES_SQL, 3600 * 1_000_000)})
+    {unfilled_select(3600 * 1_000_000)}
+    WHERE bar_us + 3600000000 <= (SELECT max(epoch_us(ts)) FROM events)""",
+)
+def q_stream_bars_1h(spark, sf_dir):
+    """1-hour bars from a Structured Streaming run over the events trades
+    landed as parquet files: append mode, 0 s watermark, availableNow trigger.
+    Bars are emitted once the watermark (latest event time) passes their end;
+    the still-open last window is not part of the output."""
+    from ..session import shared_dir
+    from ..streaming.bars import run_to_table, stream_bars
+
+    root = shared_dir(spark, "stream")
+    trades = V.events_trades(spark, sf_dir)
+    trades.write.parquet(f"{root}/in")
+    source = spark.readStream.schema(trades.schema).parquet(f"{root}/in")
+    run_to_table(stream_bars(source, "1h", watermark="0 seconds"), f"{root}/checkpoint", f"{root}/out")
+    return round_sums(spark.read.parquet(f"{root}/out"))
