@@ -829,17 +829,10 @@ _KLINE_COLS = ["open_time", "open", "high", "low", "close", "volume", "close_tim
                "taker_buy_volume", "taker_buy_quote_volume", "ignore"]
 
 
-@register(
-    "kline_scan",
-    f"""SELECT symbol, open_time, open, high, low, close, {r4("volume")} AS volume, {r4("quote_volume")} AS quote_volume,
-           "count", {r4("taker_buy_volume")} AS taker_buy_volume, {r4("taker_buy_quote_volume")} AS taker_buy_quote_volume
-    FROM ({_REF_SQL}) r""",
-)
-def q_kline_scan(spark, sf_dir):
-    """Reference bars landed as exchange kline CSVs, read back."""
+def _landed_klines(spark, sf_dir) -> str:
+    """Reference bars landed as exchange kline CSVs (one file per symbol-day); returns the folder."""
     from ..session import shared_dir
     from ..sinks.files import write_csv_files
-    from ..sources.files import read_klines
 
     root = shared_dir(spark, "klines")
     ref = _reference_bars(spark, sf_dir)
@@ -854,8 +847,30 @@ def q_kline_scan(spark, sf_dir):
     )
     stem = F.concat(F.col("symbol"), F.lit("-1h-"), F.col("day").cast("string"))
     write_csv_files(out, root, stem, _KLINE_COLS).collect()
-    k = read_klines(spark, root)
-    return round_sums(k.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")))
+    return root
+
+
+@register(
+    "kline_scan",
+    f"""SELECT symbol, open_time, open, high, low, close, {r4("volume")} AS volume, {r4("quote_volume")} AS quote_volume,
+           "count", {r4("taker_buy_volume")} AS taker_buy_volume, {r4("taker_buy_quote_volume")} AS taker_buy_quote_volume
+    FROM ({_REF_SQL}) r""",
+)
+def q_kline_scan(spark, sf_dir):
+    """Reference bars landed as exchange kline CSVs, read back."""
+    from ..sources.files import read_klines
+
+    k = read_klines(spark, _landed_klines(spark, sf_dir))
+    return round_sums(k)
+
+
+@register("check_klines", ORACLE["check_verdict"])
+def q_check_klines(spark, sf_dir):
+    """The check as run against downloaded klines: generated bars vs kline CSVs read from files."""
+    from ..operators.quality import verdict
+    from ..sources.files import read_klines
+
+    return verdict(_generated_bars(spark, sf_dir), read_klines(spark, _landed_klines(spark, sf_dir)))
 
 
 @register(
