@@ -38,3 +38,24 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert digest(frame_rows(got)) == digest(frame_rows(want))
+
+
+def test_worker_code_ships_without_package_on_path(tmp_dir):
+    """Queries with Python on executors run when the driver starts elsewhere and
+    workers cannot import the package (its functions are pickled by value)."""
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+spec = importlib.util.spec_from_file_location("entry_mod", "{repo}/__spark_entry__.py")
+E = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(E)
+print("ROWS", E.queries()["archive_ingest"](spark, "{SF}").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
