@@ -5,7 +5,8 @@ x tilted exponentially in the odds: of all rates between 0 and cap that meet
 the token targets, these stay closest to one copy each in relative entropy.
 The dual is convex with one variable per source and is solved by distributed
 Newton iterations over the exact (source, size) histogram; the rates are then
-rounded into copies by systematic sampling along (size, hash of the document).
+rounded into copies by systematic sampling along (size, hash of the document),
+and the words that rounding leaves are made up from single documents.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ UNIT = 1_000_000
 SALTS = 1024
 TOLERANCE = 1e-9
 MAX_ITERATIONS = 60
+#: Steps that make up what rounding leaves.
+REPAIRS = 12
+#: Part of its target by which a source may still be off before another step.
+NEAR = 0.001
 
 
 def n_words(text: Column) -> Column:
@@ -114,13 +119,54 @@ def solve(spark: SparkSession, cells: DataFrame, sources: DataFrame, cap: float,
     return state.select("skey", F.col("lam").alias("lambda"))
 
 
+def _cell_copies(cells: DataFrame, path: str, cap: int) -> DataFrame:
+    """Adds ``copies`` per cell (skey, size, n, units, target, ...).
+
+    Systematic sampling along the sizes of a source: the k-th copy falls where the
+    running sum of rates passes k - 1/2.  The words this leaves over or under
+    the target, at most about one document, are then made up from the largest
+    cells that fit, in a few distributed steps of falling size.
+    """
+    by_size = Window.partitionBy("skey").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda x: F.expr(f"({x} + {UNIT // 2}) div {UNIT}")
+    cells = (
+        cells.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("units")).over(by_size), F.lit(0).cast("long")))
+        .withColumn("copies", upto("before + n * units") - upto("before"))
+        .drop("before")
+    )
+    cells = stored(cells, f"{path}/copies-0")
+    state = cells.groupBy("skey").agg(
+        (F.round(F.first("target")).cast("long") - F.sum(F.col("copies") * F.col("size"))).alias("left"), F.max("size").alias("last")
+    ).withColumn("last", F.col("last") + 1)
+    for i in range(1, REPAIRS + 1):
+        room = F.when(F.col("left") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies"))
+        fits = (F.col("size") > 0) & (F.col("size") < F.col("last")) & (F.col("size") <= F.abs("left")) & (room > 0)
+        pick = cells.join(state, "skey").where(fits).groupBy("skey").agg(F.max("size").alias("_size"))
+        change = F.when(F.col("size") == F.col("_size"), F.least(room, F.expr("abs(left) div size")) * F.signum("left").cast("long")).otherwise(F.lit(0).cast("long"))
+        joined = cells.join(state.join(pick, "skey", "left"), "skey").withColumn("_change", F.coalesce(change, F.lit(0).cast("long")))
+        cells = stored(
+            joined.select(*[c for c in cells.columns if c != "copies"], (F.col("copies") + F.col("_change")).alias("copies"), "left", "last", "_size"),
+            f"{path}/copies-{i}",
+        )
+        state = cells.groupBy("skey").agg(
+            (F.round(F.first("target")).cast("long") - F.sum(F.col("copies") * F.col("size"))).alias("left"),
+            F.coalesce(F.first("_size"), F.lit(0).cast("long")).alias("last"),
+        )
+        cells = cells.drop("left", "last", "_size")
+        goal = F.first("target").alias("goal")
+        off = cells.groupBy("skey").agg(goal, F.sum(F.col("copies") * F.col("size")).alias("words")).agg(F.max(F.abs(F.col("goal") - F.col("words")) / F.greatest("goal", F.lit(1.0)))).first()[0]
+        if off is None or off <= NEAR:
+            break
+    return cells
+
+
 def mix(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
     """One row per document: doc_id, text_key, source, size, source_size, target, rate, copies.
 
     ``copies`` is at most ``cap``.  Null text has size 0; documents of size 0
     keep one copy, which adds no words.  Null is a source of its own, sorted
-    last.  Equal rows share their copies in any order.  Within a source the
-    words taken differ from the target by about the size of one document.
+    last.  Equal rows share their copies in any order.  Reruns agree: all
+    order comes from hashes of the id and the text.
     """
     path = work_dir(spark, "mixing")
     text = whole_text()
@@ -137,36 +183,36 @@ def mix(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float
     sources = stored(targets(per_source, cap, weights), f"{path}/sources")
     lam = solve(spark, cells, sources, cap, path)
 
-    # Copies of a cell start where those of the smaller sizes of its source end.
     rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(
-        F.when(F.col("lambda") == float("inf"), F.lit(float(cap))).when(F.col("lambda") == float("-inf"), F.lit(0.0)).otherwise(_rate(F.col("lambda") * F.col("size") / F.col("scale"), cap))
+        F.when(F.col("lambda") == float("inf"), F.lit(float(cap)))
+        .when(F.col("lambda") == float("-inf"), F.lit(0.0))
+        .otherwise(_rate(F.col("lambda") * F.col("size") / F.col("scale"), cap))
     )
-    by_size = Window.partitionBy("skey").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     rated = (
         cells.drop("source")
         .join(sources.select("skey", "scale", "source_size", "target"), "skey")
         .join(lam, "skey")
-        .withColumn("units", F.round(rate * UNIT).cast("long"))
-        .withColumn("start", F.coalesce(F.sum(F.col("n") * F.col("units")).over(by_size), F.lit(0).cast("long")))
+        .select("skey", "size", "n", "source_size", "target", F.round(rate * UNIT).cast("long").alias("units"))
     )
-    rated = stored(rated.select("skey", "size", "source_size", "target", "units", "start"), f"{path}/rated")
+    rated = _cell_copies(rated, path, cap)
 
-    salted = sizes.withColumn("order", F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text_key"))).withColumn(
-        "salt", F.pmod(F.xxhash64(F.lit("salt"), F.col("doc_id"), F.col("text_key")), F.lit(SALTS))
-    )
+    # Within a cell the copies go round evenly in the order of salt and hash, so that
+    # a document has the cell's mean number, rounded up or down.
+    key = [F.col("doc_id"), F.col("text_key")]
+    salted = sizes.withColumn("order", F.xxhash64(F.lit("mix"), *key)).withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), *key), F.lit(SALTS)))
     in_cell = Window.partitionBy("skey", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         salted.groupBy("skey", "size", "salt")
         .agg(F.count("*").alias("m"))
         .withColumn("offset", F.coalesce(F.sum("m").over(in_cell), F.lit(0).cast("long")))
-        .join(rated, ["skey", "size"])
-        .select("skey", "size", "salt", "source_size", "target", "units", (F.col("start") + F.col("offset") * F.col("units")).alias("start"))
+        .join(rated.withColumnRenamed("copies", "in_cell"), ["skey", "size"])
+        .select("skey", "size", "salt", "source_size", "target", "units", "n", "in_cell", "offset")
     )
     offsets = stored(offsets, f"{path}/offsets")
     within = Window.partitionBy("skey", "size", "salt").orderBy("order", "doc_id", "text_key")
-    ranked = salted.withColumn("j", F.row_number().over(within)).join(offsets, ["skey", "size", "salt"])
-    # The k-th copy falls to the document whose rate carries the running sum past k - 1/2.
-    upto = lambda j: F.expr(f"(start + ({j}) * units + {UNIT // 2}) div {UNIT}")
+    ranked = salted.withColumn("j", F.row_number().over(within).cast("long")).join(offsets, ["skey", "size", "salt"])
+    # copies of the first k of n documents are k * q + (k * rest) div n, q and rest from in_cell / n.
+    upto = lambda k: F.expr(f"({k}) * (in_cell div n) + (cast(({k}) as decimal(38,0)) * (in_cell % n)) div n")
     return ranked.select(
         "doc_id",
         "text_key",
@@ -175,7 +221,7 @@ def mix(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float
         "source_size",
         "target",
         (F.col("units") / F.lit(float(UNIT))).alias("rate"),
-        (upto("j") - upto("j - 1")).alias("copies"),
+        (upto("offset + j") - upto("offset + j - 1")).cast("long").alias("copies"),
     )
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, minhash, mixing, secret_scan
+from . import bpe, exact_dedup, langid, minhash, mixing, secret_scan, warc
 
 QUERIES = {
+    "op2_warc_round_trip": warc.op2_warc_round_trip,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
+    "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_language_id": langid.op10_language_id,
 }
 
 ORACLE = {
+    "op2_warc_round_trip": warc.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op8_secret_scan": secret_scan.ORACLE,
 }
