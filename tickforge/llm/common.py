@@ -76,3 +76,28 @@ def worker_cache(key, build):
             store.values.clear()
         store.values[key] = build()
     return store.values[key]
+
+
+def key_runs(batches, names: list[str]):
+    """For Arrow batches sorted by the named columns: lists of tables, each all rows of
+    one key.  A run that spans batches is held until its end."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        held = t if held is None else pa.concat_tables([held, t])
+        if held.num_rows == 0:
+            continue
+        held = held.combine_chunks()
+        change = np.zeros(held.num_rows - 1, bool)
+        for c in names:
+            values = held.column(c).to_numpy(zero_copy_only=False)
+            change |= values[1:] != values[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        if len(cuts) > 1:
+            yield [held.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        held = held.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield [held]

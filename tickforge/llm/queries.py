@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, langid, minhash, mixing, secret_scan, warc
+from . import bpe, embeddings, exact_dedup, langid, licenses, minhash, mixing, secret_scan, token_counts, warc
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_warc_round_trip": warc.op2_warc_round_trip,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
+    "op5_embedding_near_dedup": embeddings.op5_embedding_near_dedup,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
