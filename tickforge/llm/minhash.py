@@ -31,6 +31,10 @@ MISS = 0.004
 BLOCK = 512
 #: A pair is verified unless its matching minhashes are so many standard errors below the threshold.
 ERRORS = 3.7
+#: Sets of at most so many shingles travel with their class in the last round.
+AT_HAND = 512
+#: Most slots of the filter that tells which documents to read again (16 MB of bits).
+FILTER_BITS = 1 << 27
 _U = np.uint64
 
 
@@ -137,15 +141,39 @@ def signatures(docs: DataFrame, words: int, rows: int, collections: int) -> Data
     return src.mapInArrow(run, "doc_id long, n_shingles long, class binary, groups array<long>, marks binary")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(class, shingles) per document with a non-empty set."""
+def slot_filter(ids: DataFrame, per_id: int = 16, most: int = FILTER_BITS):
+    """(slots, bitmap) of the ids' hashed slots, at least ``per_id`` slots each up to
+    ``most`` in all.  The bitmap is what is broadcast; its size is bounded by ``most`` / 8
+    bytes, and beyond ids only share slots: more rows pass, none is lost."""
+    slots = 1 << 16
+    wanted = per_id * ids.count()
+    while slots < min(wanted, most):
+        slots *= 2
+    slot = f"pmod(xxhash64(doc_id), {slots}L)"
+    words = ids.select(F.expr(f"{slot} div 64").alias("word"), F.expr(f"shiftleft(1L, cast({slot} % 64 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(slots // 64, np.int64)
+    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return slots, bitmap
+
+
+def shingle_sets(docs: DataFrame, words: int, ids: DataFrame) -> DataFrame:
+    """(class, shingles) of documents whose id may be among ``ids`` (or is null) and whose
+    set is not empty; others only pass by, so that no text is shuffled."""
+    slots, bitmap = slot_filter(ids.where(F.col("doc_id").isNotNull()))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
         import pyarrow as pa
 
         shingler, _ = _tools(words, 1, 1)
         for batch in batches:
-            data, offsets = text_buffers(batch.column("text"))
+            slot = batch.column("slot").to_numpy(zero_copy_only=False)
+            wanted = np.isnan(slot) if slot.dtype.kind == "f" else np.zeros(len(slot), bool)
+            at = np.where(wanted, 0, slot).astype(np.int64)
+            wanted |= (bitmap.value[at // 64] >> (at % 64)) & 1 == 1
+            column = batch.column("text").take(pa.array(np.flatnonzero(wanted)))
+            data, offsets = text_buffers(column)
             for a, b in row_chunks(offsets, 1 << 20):
                 sets = [s for s in shingler.sets(data, offsets[a : b + 1]) if len(s)]
                 yield pa.RecordBatch.from_arrays(
@@ -153,7 +181,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                     ["class", "shingles"],
                 )
 
-    return docs.select("text").mapInArrow(run, "class binary, shingles array<long>")
+    slot = F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(slots)))
+    return docs.select("text", slot.alias("slot")).mapInArrow(run, "class binary, shingles array<long>")
 
 
 def _routed(classes: DataFrame) -> DataFrame:
@@ -169,41 +198,57 @@ def _routed(classes: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_within(sizes):
+    """Index pairs (lesser, greater) within consecutive runs of the given sizes."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    after = sizes[run] - 1 - (np.arange(len(run)) - (np.cumsum(sizes) - sizes)[run])
+    left = np.repeat(np.arange(len(run)), after)
+    return left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+
+
+class _Forest:
+    """Union-find over a block, to leave out pairs whose ends are joined already."""
+
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, x):
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[y] = x
+        return x != y
+
+
 def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of classes from routed rows (value, low, high, own, class, n_shingles,
-    groups, marks, label), each at its first shared group and at most once.
+    """Pairs (a, b, sure) of classes from routed rows (value, low, high, own, class, n_shingles,
+    groups, marks, label, shingles), each at its first shared group and at most once.
 
     A pair needs two shared groups (a table key), different labels, sizes that allow
-    the threshold and enough equal minhashes.  With ``best_only`` each class
-    of a block gives its best pair only.
+    the threshold and enough equal minhashes.  With ``best_only`` each class of a
+    block gives its best pair only.  Without it, a pair whose sets are both at
+    hand (``shingles`` not null) is verified here, and only those that join
+    parts of the block not joined yet come out, as sure.
     """
-
-    def pairs_of(sizes):
-        """Index pairs within consecutive runs of the given sizes."""
-        small = np.repeat(np.arange(len(sizes)), sizes)
-        start = np.cumsum(sizes) - sizes
-        place = np.arange(len(small)) - start[small]
-        left = np.repeat(np.arange(len(small)), sizes[small] - 1 - place)
-        begin = np.cumsum(sizes[small] - 1 - place) - (sizes[small] - 1 - place)
-        right = left + 1 + np.arange(len(left)) - np.repeat(begin, sizes[small] - 1 - place)
-        return left, right
+    percent = round(threshold * 100, 6)
+    names = ["value", "low", "high"]
 
     def run(batches):
         import pyarrow as pa
 
-        def found(t):
-            value, low, high, own = (t.column(c).to_numpy() for c in ("value", "low", "high", "own"))
-            n, label = t.column("n_shingles").to_numpy(), np.array(t.column("label").to_pylist(), object)
-            cls = np.array(t.column("class").to_pylist(), object)
-            groups = np.array(t.column("groups").to_pylist(), np.int64)
+        def candidates(t):
+            value, low, high, own, n = (t.column(c).to_numpy() for c in ("value", "low", "high", "own", "n_shingles"))
+            label = np.array(t.column("label").to_pylist(), object)
+            groups = t.column("groups").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
             marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(len(n), -1)
             new = np.ones(len(n), bool)
             new[1:] = (value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            begin = np.flatnonzero(new)
-            left, right = pairs_of(np.diff(np.append(begin, len(n))))
+            left, right = _pairs_within(np.diff(np.append(np.flatnonzero(new), len(n))))
             width = marks.shape[1]
             least = width * (threshold - ERRORS * (threshold * (1 - threshold) / width) ** 0.5)
-            hits = []
             for s in range(0, len(left), 1 << 15):
                 i, j = left[s : s + (1 << 15)], right[s : s + (1 << 15)]
                 ok = (label[i] != label[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
@@ -215,53 +260,71 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
                 i, j = i[ok], j[ok]
                 same = (marks[i] == marks[j]).sum(axis=1)
                 ok = same >= least
-                hits.append((i[ok], j[ok], same[ok]))
-            i, j, same = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else ([], [], [])
-            if best_only and len(i):
-                order = np.lexsort((cls[j], cls[i], same))
-                rank = np.empty(len(order), np.int64)
-                rank[order] = np.arange(len(order))
-                top = np.full(len(n), -1, np.int64)
-                np.maximum.at(top, i, rank)
-                np.maximum.at(top, j, rank)
-                take = order[np.unique(top[top >= 0])]
-                i, j = i[take], j[take]
-            if len(i):
-                a, b = cls[i], cls[j]
-                swap = a > b
-                a[swap], b[swap] = b[swap], a[swap].copy()
-                return pa.RecordBatch.from_arrays([pa.array(a.tolist(), pa.binary()), pa.array(b.tolist(), pa.binary())], ["a", "b"])
-            return None
+                yield i[ok], j[ok], same[ok]
+
+        def best(t):
+            i, j, same = (np.concatenate(x) for x in zip(*candidates(t), strict=True))
+            cls = np.array(t.column("class").to_pylist(), object)
+            order = np.lexsort((cls[j], cls[i], same)) if len(i) else np.zeros(0, np.int64)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            top = np.full(len(cls), -1, np.int64)
+            np.maximum.at(top, i, rank)
+            np.maximum.at(top, j, rank)
+            take = order[np.unique(top[top >= 0])]
+            return [(cls[x], cls[y], False) for x, y in zip(i[take], j[take], strict=True)]
+
+        def rest(t):
+            cls, label = t.column("class").to_pylist(), t.column("label").to_pylist()
+            column = t.column("shingles").combine_chunks()
+            have = column.is_valid().to_numpy(zero_copy_only=False)
+            flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            forest, out = _Forest(), []
+            for i, j, same in candidates(t):
+                for k in np.argsort(-same, kind="stable").tolist():
+                    x, y = int(i[k]), int(j[k])
+                    if not (have[x] and have[y]):
+                        out.append((cls[x], cls[y], False))
+                    elif forest.root(label[x]) != forest.root(label[y]):
+                        p, q = flat[offsets[x] : offsets[x + 1]], flat[offsets[y] : offsets[y + 1]]
+                        shared = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
+                        if 100 * shared >= percent * (len(p) + len(q) - shared):
+                            forest.join(label[x], label[y])
+                            out.append((cls[x], cls[y], True))
+            return out
+
+        def emit(t):
+            if t.num_rows > 1 and (found := best(t) if best_only else rest(t)):
+                a, b, sure = zip(*[(min(x, y), max(x, y), z) for x, y, z in found], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(sure, pa.bool_())], ["a", "b", "sure"])
 
         held = None
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
-            keys = [t.column(c).to_numpy() for c in ("value", "low", "high")]
-            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-            cut = int(change[-1]) if len(change) else 0
-            if cut:
-                out = found(t.slice(0, cut))
-                if out is not None:
-                    yield out
-            held = t.slice(cut)
+            held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            change = np.zeros(max(0, held.num_rows - 1), bool)
+            for c in names:
+                keys = held.column(c).to_numpy()
+                change |= keys[1:] != keys[:-1]
+            cut = np.flatnonzero(change)
+            if len(cut):
+                yield from emit(held.slice(0, int(cut[-1]) + 1))
+                held = held.slice(int(cut[-1]) + 1)
         if held is not None and held.num_rows:
-            out = found(held)
-            if out is not None:
-                yield out
+            yield from emit(held)
 
-    dealt = rows.repartition(F.col("value"), F.col("low"), F.col("high")).sortWithinPartitions("value", "low", "high", "class")
-    return dealt.mapInArrow(run, "a binary, b binary")
+    dealt = rows.repartition(*[F.col(c) for c in names]).sortWithinPartitions(*names, "class")
+    return dealt.mapInArrow(run, "a binary, b binary, sure boolean")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold_percent: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("_sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("_sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.where(~F.col("sure")).join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_sa", "_sb"))
     union = F.size("_sa") + F.size("_sb") - shared
-    return both.where(100 * shared >= F.lit(float(threshold_percent)) * union).select("a", "b")
+    checked = both.where(100 * shared >= F.lit(float(percent)) * union)
+    return checked.select("a", "b").unionByName(pairs.where("sure").select("a", "b"))
 
 
 def near_duplicates(
@@ -291,25 +354,26 @@ def near_duplicates(
     meeting = stored(classes.join(meeting, "class"), f"{path}/meeting")
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    ids = meeting.select(F.col("doc_id").alias("_id"))
-    chosen = text.join(ids, text["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-    sets = stored(shingle_sets(chosen, words).join(meeting.select("class"), "class", "left_semi").dropDuplicates(["class"]), f"{path}/sets")
-
-    # Best pairs first: they join most of each group.  What is left to verify are
-    # pairs whose ends are still apart.
-    def round_of(labels: DataFrame | None, best_only: bool, name: str) -> DataFrame:
-        marked = meeting.withColumn("label", F.col("class")) if labels is None else (
-            meeting.join(labels.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("label", F.coalesce("component", "class")).drop("component")
-        )
-        carried = routes.join(marked.select("class", "n_shingles", "groups", "marks", "label"), "class")
-        pairs = stored(_candidates(carried, threshold, best_only), f"{path}/pairs-{name}")
-        return stored(_verified(pairs, sets, percent), f"{path}/links-{name}")
-
-    first = round_of(None, True, "best")
+    sets = shingle_sets(text, words, meeting.select("doc_id"))
+    sets = stored(sets.join(meeting.select("class"), "class", "left_semi").dropDuplicates(["class"]), f"{path}/sets")
+
+    # Best pairs first: they join most of each group.
+    about = meeting.select("class", "n_shingles", "groups", "marks")
+    carried = routes.join(about.withColumns({"label": F.col("class"), "shingles": F.lit(None).cast("array<long>")}), "class")
+    pairs = stored(_candidates(carried, threshold, True), f"{path}/pairs-best")
+    first = stored(_verified(pairs, sets, percent), f"{path}/links-best")
     labels = connected_components(first, f"{path}/graph-best")
-    rest = round_of(labels, False, "rest")
-    links = first.unionByName(rest)
-    labels = connected_components(links, f"{path}/graph-all")
+
+    # Then all pairs whose ends are still apart, where a group value holds any such.
+    # Sets of moderate size go along, so that these pairs are verified where they meet.
+    labelled = routes.join(labels.select(F.col("node").alias("class"), F.col("component").alias("label")), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    labelled = stored(labelled, f"{path}/labelled")
+    open_values = labelled.groupBy("value").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l != _h").select("value")
+    at_hand = sets.select("class", F.when(F.size("shingles") <= AT_HAND, F.col("shingles")).alias("shingles"))
+    carried = labelled.join(open_values, "value", "left_semi").join(about.join(at_hand, "class"), "class")
+    pairs = stored(_candidates(carried, threshold, False), f"{path}/pairs-rest")
+    rest = stored(_verified(pairs, sets, percent), f"{path}/links-rest")
+    labels = connected_components(first.unionByName(rest), f"{path}/graph-all")
 
     members = classes.select("class", "doc_id").join(labels.select(F.col("node").alias("class"), "component"), "class", "left")
     members = members.withColumn("component", F.coalesce("component", "class"))
