@@ -1,6 +1,6 @@
 import datetime as dt
 
-from tickforge.operators.quality import compare_bars, schema_mismatch, with_bar_index
+from tickforge.operators.quality import compare_bars, missing_rows, schema_mismatch, value_diffs, verdict, with_bar_index
 
 DDL = ("symbol string, open_time timestamp_ntz, open double, high double, low double, close double, volume double, "
        "quote_volume double, count long, taker_buy_volume double, taker_buy_quote_volume double")
@@ -48,3 +48,30 @@ def test_first_diffs_limit(spark):
     ref = spark.createDataFrame([bar("A", h, 2.0) for h in range(15)], DDL)
     top = compare_bars(gen, ref)["first_diffs"].collect()
     assert len(top) == 10 and max(r["rank"] for r in top) == 10
+
+
+def test_verdict_fails_null_cells_duplicates_and_missing_columns(spark):
+    whole = spark.createDataFrame([bar("A", 0, 1.0)], DDL)
+    nulls = spark.createDataFrame([bar("A", 0, None, open=None)], DDL)
+    v = verdict(nulls, whole).first()
+    assert (v["null_cells"], v["differing_cells"], v["equal"], v["exact"], v["status"]) == (2, 0, False, False, 1)
+    v = verdict(whole.unionByName(whole), whole).first()
+    assert (v["rows_generated"], v["rows_reference"], v["missing_in_reference"], v["status"]) == (2, 1, 1, 1)
+    v = verdict(whole.unionByName(whole), whole.unionByName(whole)).first()
+    assert v["equal"] and v["exact"]
+    close = spark.createDataFrame([bar("A", 0, 1.00001)], DDL)
+    v = verdict(close, whole).first()
+    assert v["equal"] == (v["differing_cells"] == 0) and not v["exact"]
+    v = verdict(whole.drop("volume"), whole).first()
+    assert not v["same_schema"] and v["status"] == 1
+    assert schema_mismatch(whole.drop("volume"), whole) == ["volume: missing in generated"]
+
+
+def test_comparison_joins_once(spark):
+    from test_plans import executed
+
+    a = spark.createDataFrame([bar("A", h, 1.0) for h in range(3)], DDL)
+    b = spark.createDataFrame([bar("A", h, 1.0) for h in range(1, 4)], DDL)
+    for frame in (missing_rows(a, b), verdict(a, b), value_diffs(a, b)):
+        plan = executed(frame).split("== Initial Plan ==")[0]
+        assert plan.count("Join") == 1

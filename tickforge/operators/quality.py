@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import KLINE_VALUE_COLUMNS
+from ..session import shared_dir
 
 DEFAULT_TOLERANCE = 1e-5
 ROUND_DIGITS = 5
@@ -21,13 +23,13 @@ DOUBLE_COLUMNS = [c for c in KLINE_VALUE_COLUMNS if c != "count"]
 
 
 def comparison_projection(df: DataFrame, keep=("symbol", "open_time"), index: bool = False) -> DataFrame:
-    """The compared columns: doubles rounded to 5 places, count as bigint."""
+    """The compared columns: doubles rounded to 5 places, count as bigint.  A column
+    that ``df`` lacks is null (``schema_mismatch`` names it)."""
+    have = set(df.columns)
     cols = [F.col(c) for c in keep]
     for c in KLINE_VALUE_COLUMNS:
-        if c == "count":
-            cols.append(F.col(c).cast("bigint").alias(c))
-        else:
-            cols.append(F.round(F.col(c).cast("double"), ROUND_DIGITS).alias(c))
+        value = F.col(c) if c in have else F.lit(None)
+        cols.append((value.cast("bigint") if c == "count" else F.round(value.cast("double"), ROUND_DIGITS)).alias(c))
     out = df.select(*cols)
     return with_bar_index(out) if index else out
 
@@ -52,34 +54,42 @@ def with_bar_index(df: DataFrame, series: str = "symbol", order: str = "open_tim
 
 
 def schema_mismatch(generated: DataFrame, reference: DataFrame) -> list[str]:
-    """Differences between the compared projections' schemas (driver-side, metadata only)."""
-    g = {f.name: f.dataType for f in comparison_projection(generated).schema.fields}
-    r = {f.name: f.dataType for f in comparison_projection(reference).schema.fields}
+    """Compared columns that a side lacks or holds in a type no number can be read from
+    (driver-side, metadata only)."""
     out = []
-    for name in sorted(set(g) | set(r)):
-        if g.get(name) != r.get(name):
-            out.append(f"{name}: generated={g.get(name)} reference={r.get(name)}")
+    for side, df in (("generated", generated), ("reference", reference)):
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        for c in KLINE_VALUE_COLUMNS:
+            if c not in kinds:
+                out.append(f"{c}: missing in {side}")
+            elif not isinstance(kinds[c], (T.NumericType, T.StringType)):
+                out.append(f"{c}: {kinds[c].simpleString()} in {side}")
     return out
 
 
 def _aligned(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, list[str]]:
-    if align == "position":
-        keys = ["symbol", "idx"]
-        g = comparison_projection(generated, index=True).drop("open_time")
-        r = comparison_projection(reference, index=True).drop("open_time")
-    else:
-        keys = ["symbol", "open_time"]
-        g = comparison_projection(generated)
-        r = comparison_projection(reference)
-    g = g.select(*keys, *[F.col(c).alias(f"{c}_gen") for c in KLINE_VALUE_COLUMNS], F.lit(True).alias("_in_gen"))
-    r = r.select(*keys, *[F.col(c).alias(f"{c}_ref") for c in KLINE_VALUE_COLUMNS], F.lit(True).alias("_in_ref"))
-    return g.join(r, keys, "full_outer"), keys
+    """(keys, gen, ref): rows of both sides as structs, null where a side has none.
+
+    Each side is grouped by key first, so a bar that a side holds twice meets
+    only as many rows as the other side has; the rest is missing there.
+    """
+    keys = ["symbol", "idx"] if align == "position" else ["symbol", "open_time"]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rows = comparison_projection(df, index=align == "position")
+        return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*KLINE_VALUE_COLUMNS))).alias(name))
+
+    joined = side(generated, "gen").join(side(reference, "ref"), keys, "full_outer")
+    none = F.array().cast(joined.schema["gen"].dataType)
+    pairs = F.arrays_zip(F.coalesce("gen", none).alias("gen"), F.coalesce("ref", none).alias("ref"))
+    return joined.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.gen", "p.ref"), keys
 
 
 def full_outer(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
     """Aligned rows, generated columns suffixed ``_gen`` and reference ``_ref``."""
     joined, keys = _aligned(generated, reference, align)
-    return joined.select(*keys, *[f"{c}_gen" for c in KLINE_VALUE_COLUMNS], *[f"{c}_ref" for c in KLINE_VALUE_COLUMNS])
+    values = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in ("gen", "ref") for c in KLINE_VALUE_COLUMNS]
+    return joined.select(*keys, *values)
 
 
 def row_counts(generated: DataFrame, reference: DataFrame) -> DataFrame:
@@ -91,47 +101,49 @@ def row_counts(generated: DataFrame, reference: DataFrame) -> DataFrame:
     return j.select("symbol", gen.alias("rows_generated"), ref.alias("rows_reference"), (gen == ref).alias("same_count"))
 
 
+def _missing_rows(joined: DataFrame, keys: list[str]) -> DataFrame:
+    row = F.coalesce("gen", "ref")
+    lacking = F.when(F.col("gen").isNull(), "generated").otherwise("reference")
+    one_sided = joined.where(F.col("gen").isNull() | F.col("ref").isNull())
+    return one_sided.select(lacking.alias("missing_in"), *keys, *[row.getField(c).alias(c) for c in ("open", "close", "volume")])
+
+
 def missing_rows(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
     """Rows present on one side only; ``missing_in`` names the side lacking them."""
-    joined, keys = _aligned(generated, reference, align)
-    only_ref = joined.where(F.col("_in_gen").isNull()).select(
-        F.lit("generated").alias("missing_in"), *keys, F.col("open_ref").alias("open"), F.col("close_ref").alias("close"), F.col("volume_ref").alias("volume")
-    )
-    only_gen = joined.where(F.col("_in_ref").isNull()).select(
-        F.lit("reference").alias("missing_in"), *keys, F.col("open_gen").alias("open"), F.col("close_gen").alias("close"), F.col("volume_gen").alias("volume")
+    return _missing_rows(*_aligned(generated, reference, align))
+
+
+def _cells(joined: DataFrame, keys: list[str], wanted) -> DataFrame:
+    """(keys, column, generated, reference) of aligned cells that ``wanted`` accepts; the
+    others are filtered out before rows are multiplied."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"), F.col(f"gen.{c}").cast("double").alias("generated"), F.col(f"ref.{c}").cast("double").alias("reference")
+            )
+            for c in KLINE_VALUE_COLUMNS
+        ]
     )
-    return only_ref.unionByName(only_gen)
+    both = joined.where(F.col("gen").isNotNull() & F.col("ref").isNotNull())
+    return both.select(*keys, F.explode(F.filter(cells, lambda x: wanted(x["generated"], x["reference"]))).alias("d")).select(*keys, "d.*")
 
 
-def _long(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, list[str]]:
-    joined, keys = _aligned(generated, reference, align)
-    both = joined.where(F.col("_in_gen") & F.col("_in_ref"))
-    stacked = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.col(f"{c}_gen").cast("double").alias("generated"),
-                    F.col(f"{c}_ref").cast("double").alias("reference"),
-                )
-                for c in KLINE_VALUE_COLUMNS
-            ]
-        )
-    )
-    return both.select(*keys, stacked.alias("d")).select(*keys, "d.column", "d.generated", "d.reference"), keys
+def _differs(tolerance: float):
+    return lambda g, r: g.isNotNull() & r.isNotNull() & (F.abs(g - r) > F.lit(tolerance))
+
+
+def _one_null(g, r):
+    return g.isNull() != r.isNull()
 
 
 def value_diffs(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> DataFrame:
     """(keys, column, generated, reference) where both are non-null and differ by more than ``tolerance``."""
-    long, _ = _long(generated, reference, align)
-    g, r = F.col("generated"), F.col("reference")
-    return long.where(g.isNotNull() & r.isNotNull() & (F.abs(g - r) > F.lit(tolerance)))
+    return _cells(*_aligned(generated, reference, align), _differs(tolerance))
 
 
 def null_mismatches(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
     """Aligned cells where exactly one side is null."""
-    long, _ = _long(generated, reference, align)
-    return long.where(F.col("generated").isNull() != F.col("reference").isNull())
+    return _cells(*_aligned(generated, reference, align), _one_null)
 
 
 def first_diffs(diffs: DataFrame, n: int = 10, order: str = "open_time") -> DataFrame:
@@ -151,50 +163,52 @@ def first_diffs(diffs: DataFrame, n: int = 10, order: str = "open_time") -> Data
     return ranked.where(F.col("rank") <= n)
 
 
+def _verdict(joined: DataFrame, same_schema: bool, tolerance: float) -> DataFrame:
+    has_gen, has_ref = F.col("gen").isNotNull(), F.col("ref").isNotNull()
+    pairs = [(F.col(f"gen.{c}").cast("double"), F.col(f"ref.{c}").cast("double")) for c in KLINE_VALUE_COLUMNS]
+    total = lambda cond: F.count_if(cond)
+    cells = lambda test: F.sum(F.when(has_gen & has_ref, sum((F.when(test(g, r), 1).otherwise(0) for g, r in pairs), F.lit(0))).otherwise(0)).cast("bigint")
+    per = joined.groupBy("symbol").agg(
+        total(has_gen).alias("rows_generated"),
+        total(has_ref).alias("rows_reference"),
+        total(~has_gen).alias("missing_in_generated"),
+        total(~has_ref).alias("missing_in_reference"),
+        cells(_differs(tolerance)).alias("differing_cells"),
+        cells(_one_null).alias("null_cells"),
+        F.lit(same_schema).alias("same_schema"),
+        (F.lit(same_schema) & F.bool_and(F.coalesce(F.col("gen").eqNullSafe(F.col("ref")), F.lit(False)))).alias("exact"),
+    )
+    faults = F.col("missing_in_generated") + F.col("missing_in_reference") + F.col("differing_cells") + F.col("null_cells")
+    equal = F.col("same_schema") & (faults == 0)
+    return per.select("*", equal.alias("equal"), F.when(equal, 0).otherwise(1).alias("status"))
+
+
 def verdict(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> DataFrame:
-    """Per symbol: rows on each side, rows missing on either side, differing
-    cells, ``equal`` when all agree and ``status`` 0 (pass) / 1 (fail).
+    """Per symbol: rows on each side, rows missing on either side, cells that differ,
+    cells null on one side only, ``same_schema``, ``exact`` (every compared value the
+    same, nulls included), ``equal`` (no fault within the tolerance) and
+    ``status`` 0 (pass) / 1 (fail).  A bar held twice is missing once on the other side.
 
-    One full outer join and one aggregate: every count is a conditional sum
-    over the aligned rows (bar keys are unique on each side).
+    One full outer join and one aggregate of conditional counts.
     """
     joined, _ = _aligned(generated, reference, align)
-    in_gen, in_ref = F.col("_in_gen").isNotNull(), F.col("_in_ref").isNotNull()
-    cell_bad = [
-        F.when(
-            in_gen & in_ref & F.col(f"{c}_gen").isNotNull() & F.col(f"{c}_ref").isNotNull()
-            & (F.abs(F.col(f"{c}_gen").cast("double") - F.col(f"{c}_ref").cast("double")) > F.lit(tolerance)),
-            1,
-        ).otherwise(0)
-        for c in KLINE_VALUE_COLUMNS
-    ]
-    n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
-    per = joined.groupBy("symbol").agg(
-        n(in_gen).alias("rows_generated"),
-        n(in_ref).alias("rows_reference"),
-        n(~in_gen).alias("missing_in_generated"),
-        n(~in_ref).alias("missing_in_reference"),
-        F.sum(sum(cell_bad[1:], cell_bad[0])).cast("bigint").alias("differing_cells"),
-    )
-    bad = (
-        (F.col("rows_generated") != F.col("rows_reference"))
-        | (F.col("missing_in_generated") > 0)
-        | (F.col("missing_in_reference") > 0)
-        | (F.col("differing_cells") > 0)
-    )
-    return per.select(
-        "symbol", "rows_generated", "rows_reference", "missing_in_generated", "missing_in_reference",
-        "differing_cells", (~bad).alias("equal"), F.when(bad, 1).otherwise(0).alias("status"),
-    )
+    return _verdict(joined, not schema_mismatch(generated, reference), tolerance)
 
 
 def compare_bars(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> dict[str, DataFrame]:
-    diffs = value_diffs(generated, reference, tolerance, align)
+    """All comparison frames.  The sides are joined once, the aligned rows are written to
+    the shared folder, and every frame derives from them."""
+    spark = generated.sparkSession
+    joined, keys = _aligned(generated, reference, align)
+    path = shared_dir(spark, "aligned")
+    joined.write.parquet(path)
+    joined = spark.read.schema(joined.schema).parquet(path)
+    diffs = _cells(joined, keys, _differs(tolerance))
     return {
         "counts": row_counts(generated, reference),
-        "missing": missing_rows(generated, reference, align),
+        "missing": _missing_rows(joined, keys),
         "diffs": diffs,
-        "nulls": null_mismatches(generated, reference, align),
-        "first_diffs": first_diffs(diffs, order="open_time" if align != "position" else "idx"),
-        "verdict": verdict(generated, reference, tolerance, align),
+        "nulls": _cells(joined, keys, _one_null),
+        "first_diffs": first_diffs(diffs, order=keys[1]),
+        "verdict": _verdict(joined, not schema_mismatch(generated, reference), tolerance),
     }

@@ -8,7 +8,8 @@ between TIMESTAMP and TIMESTAMP_NTZ and ``to_date`` agree with that.
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -49,17 +50,35 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is read from the session; a
-    local default is set only when nothing is configured (tests, local runs).
+    The folder named by ``spark.checkpoint.dir`` is read from the session.  Where
+    none is named, a local session gets a folder of its own; on a cluster that would
+    leave each executor's files on its own disk, so it is an error there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = os.path.join("/tmp", "tickforge-checkpoints")
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tickforge-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def remove_shared_dirs(spark: SparkSession) -> int:
+    """Deletes the directories that ``shared_dir`` has named in this process, once nothing
+    reads them any more; returns how many were there."""
+    removed = 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
