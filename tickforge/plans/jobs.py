@@ -44,11 +44,11 @@ def preprocess(
     try:
         raw = read_trades(spark, input_path, header=header)
         if raw.isEmpty():
-            log.warning("No CSV rows found under %s", input_path)
+            log.warning("no trade rows in the files of %s", input_path)
             return None
     except AnalysisException as exc:
         if _missing(exc):
-            log.warning("Input path %s does not exist", input_path)
+            log.warning("no folder %s", input_path)
             return None
         raise
     trades = prepare_trades(raw, ratio)
@@ -87,6 +87,15 @@ def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fm
     return last_rows.groupBy("symbol").agg(F.max_by(F.when(valid, F.col("close")), F.when(valid, F.col("open_time"))).alias("close"))
 
 
+def _touched_days(trades: DataFrame) -> tuple | None:
+    """First and last day of the trades' own times, None without any."""
+    from pyspark.sql import functions as F
+
+    day = F.to_date("ts")
+    lo, hi = trades.agg(F.min(day), F.max(day)).first()
+    return None if lo is None else (lo, hi)
+
+
 def bars_frame(
     spark: SparkSession,
     trades_path: str,
@@ -94,25 +103,33 @@ def bars_frame(
     fill: bool = True,
     fmt: str = "parquet",
     symbols=None,
-    start_date=None,
-    end_date=None,
-    unique_ids: bool = True,
+    days: tuple | None = None,
+    unique_ids: bool = False,
     seed_close: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Bars with ``bucket`` from a stored trades table (filters prune partitions).
+    """Bars with ``bucket`` from a stored trades table (the symbol filter prunes partitions).
 
+    ``days`` (first, last) limits the trades by their own time, whatever file date
+    they are stored under, so every bar of those days is complete.
     ``seed_close`` (symbol, close) carries a close from before the first
-    trade read, e.g. ``seed_from_bars`` when ``start_date`` cuts history."""
+    trade read, e.g. ``seed_from_bars`` when ``days`` cuts history."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
     ensure_utc(spark)
     try:
-        trades = load_trades(spark, trades_path, fmt, symbols, start_date, end_date)
+        trades = load_trades(spark, trades_path, fmt, symbols)
     except AnalysisException as exc:
         if _missing(exc):
-            log.warning("Input path %s does not exist", trades_path)
+            log.warning("nothing stored at %s", trades_path)
             return None
         raise
+    if days is not None:
+        lo, hi = days
+        trades = trades.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi + dt.timedelta(days=1)).cast("timestamp_ntz")))
     if trades.isEmpty():
-        log.warning("No data available for the requested filters")
+        log.warning("no trades match at %s", trades_path)
         return None
     if fill and seed_close is not None:
         from ..operators.bars import fill_bars, with_bucket
@@ -136,22 +153,37 @@ def bars_job(
     end_date=None,
     num_partitions: int | None = None,
     max_records: int | None = None,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
     seed_from_stored: bool = True,
 ) -> str | None:
     """Stored trades -> bars table at ``{output_root}/{duration label}``.
 
-    ``unique_ids`` (default) uses the hash-aggregate open/close, valid for
-    exchange trade ids (unique per symbol); pass False for sources where
-    (symbol, ts, id) may repeat.  With ``start_date`` and stored bars of the
-    same duration, the fill starts from their last close instead of nulls.
+    ``start_date`` and ``end_date`` pick trades by file date.  Bars belong to the
+    days of the trades' own times, which may differ, so the run recomputes all days
+    from the first to the last that the picked trades touch, from all trades of
+    those days: only complete days are overwritten.  With stored bars of the
+    same duration, the fill of the first day starts from their last close.
+
+    ``unique_ids=True`` uses the hash-aggregate open/close, which needs
+    (symbol, ts, id) to be unique; the default is exact for any data.
     """
     from ..sinks.tables import bars_path
 
-    seed = None
-    if fill and start_date and seed_from_stored:
-        seed = seed_from_bars(spark, bars_path(output_root, timeframe), start_date, symbols, fmt)
-    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, start_date, end_date, unique_ids, seed)
+    days = seed = None
+    if start_date or end_date:
+        try:
+            days = _touched_days(load_trades(spark, trades_path, fmt, symbols, start_date, end_date))
+        except AnalysisException as exc:
+            if _missing(exc):
+                log.warning("nothing stored at %s", trades_path)
+                return None
+            raise
+        if days is None:
+            log.warning("no trades match at %s", trades_path)
+            return None
+        if fill and seed_from_stored:
+            seed = seed_from_bars(spark, bars_path(output_root, timeframe), days[0], symbols, fmt)
+    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, days, unique_ids, seed)
     if bars is None:
         return None
     return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records)
@@ -169,23 +201,25 @@ def check_flow(
     """Whole check flow: zipped trade files -> trades table -> bars table ->
     comparison with exchange klines.  Returns the comparison frames
     (``counts``, ``missing``, ``diffs``, ``nulls``, ``first_diffs``,
-    ``verdict``) or ``None`` when there is nothing to compare.
+    ``verdict``) and ``archives``, the status of each archive, of which broken
+    ones give no trades; or ``None`` when there is nothing to compare.
 
     Each stage writes its table under ``work_root``, which cuts lineage and
     lets any stage be rerun alone.
     """
     from ..operators.quality import compare_bars
-    from ..sources.files import ingest_archives, read_klines
+    from ..sources.files import archive_lines, archive_status, ingest_archives, read_klines
 
     ensure_utc(spark)
     trades_root, bars_root = f"{work_root.rstrip('/')}/trades", f"{work_root.rstrip('/')}/bars"
     raw = ingest_archives(spark, archives_path)
     if raw.isEmpty():
-        log.warning("No archive rows under %s", archives_path)
+        log.warning("no trade rows in the archives of %s", archives_path)
         return None
     write_trades(prepare_trades(raw, ratio), trades_root)
     out = bars_job(spark, trades_root, bars_root, timeframe)
     if out is None:
         return None
     generated = spark.read.parquet(out)
-    return compare_bars(generated, read_klines(spark, klines_path), tolerance)
+    frames = compare_bars(generated, read_klines(spark, klines_path), tolerance)
+    return frames | {"archives": archive_status(archive_lines(spark, archives_path))}

@@ -54,24 +54,6 @@ KLINE_VALUE_COLUMNS = [
     "taker_buy_quote_volume",
 ]
 
-# Exchange kline CSV (header).  Files may carry more columns; these are the ones read.
-KLINE_SCHEMA = T.StructType(
-    [
-        T.StructField("open_time", T.LongType(), True),
-        T.StructField("open", T.DoubleType(), True),
-        T.StructField("high", T.DoubleType(), True),
-        T.StructField("low", T.DoubleType(), True),
-        T.StructField("close", T.DoubleType(), True),
-        T.StructField("volume", T.DoubleType(), True),
-        T.StructField("close_time", T.LongType(), True),
-        T.StructField("quote_volume", T.DoubleType(), True),
-        T.StructField("count", T.LongType(), True),
-        T.StructField("taker_buy_volume", T.DoubleType(), True),
-        T.StructField("taker_buy_quote_volume", T.DoubleType(), True),
-        T.StructField("ignore", T.StringType(), True),
-    ]
-)
-
 MANIFEST_ENTRY = T.StructType(
     [
         T.StructField("date", T.StringType(), True),

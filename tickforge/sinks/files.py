@@ -28,21 +28,15 @@ def _fs(root: str):
     return filesystem, base.rstrip("/")
 
 
-def _csv_text(pdf, header: bool) -> str:
-    out = pdf.copy()
-    for c in out.columns:
-        if out[c].dtype == bool:
-            out[c] = out[c].map({True: "true", False: "false"})
-    return out.to_csv(index=False, header=header, lineterminator="\n")
-
-
 def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str], header: bool = True, archive: bool = False) -> DataFrame:
     """Writes ``columns`` of ``df`` as CSV files named ``{stem}-p{task}.csv``
     (or ``.zip`` holding that CSV), one per stem value per task.
 
-    Rows are sorted by stem inside each task, so one file is open at a time
-    and memory stays at one Arrow batch.  Returns a DataFrame (file, rows)
-    listing what was written; the write runs when that DataFrame is evaluated.
+    Rows are clustered by stem (AQE splits a stem that is too large for one
+    task), so the number of files does not follow the number of input tasks, and
+    sorted by stem inside each task, so one file is open at a time and memory
+    stays at one Arrow batch.  Returns a DataFrame (file, rows) listing what was
+    written; the write runs when that DataFrame is evaluated (``land`` does).
     """
 
     def write(batches):
@@ -81,15 +75,20 @@ def write_csv_files(df: DataFrame, root: str, stem: Column, columns: list[str],
                         state.update(zip=zf, member=zf.open(f"{name_stem}.csv", "w"))
                     names.append(name)
                     rows.append(0)
-                text = _csv_text(grp[columns], header and first).encode()
+                text = grp[columns].to_csv(index=False, header=header and first, lineterminator="\n").encode()
                 (state["member"] or state["raw"]).write(text)
                 rows[-1] += len(grp)
         close()
         if names:  # an empty task writes nothing and reports nothing
             yield pd.DataFrame({"file": pd.Series(names, dtype="object"), "rows": pd.Series(rows, dtype="int64")})
 
-    src = df.select(stem.alias("_stem"), *columns).where(F.col("_stem").isNotNull())
-    return src.sortWithinPartitions("_stem").mapInPandas(write, FILE_SCHEMA)
+    src = df.select(stem.alias("_stem"), *[F.col(c).cast("string").alias(c) for c in columns]).where(F.col("_stem").isNotNull())
+    return src.hint("rebalance", "_stem").sortWithinPartitions("_stem").mapInPandas(write, FILE_SCHEMA)
+
+
+def land(written: DataFrame) -> None:
+    """Runs a file write without bringing its listing to the driver."""
+    written.write.format("noop").mode("overwrite").save()
 
 
 def write_trade_files(df: DataFrame, root: str, header: bool = True, archive: bool = False) -> DataFrame:

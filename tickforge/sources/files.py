@@ -29,71 +29,116 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(document: DataFrame, path: str, mode: str = "overwrite") -> str:
-    document.write.mode(mode).json(path)
+    """One file per document, as ``read_manifest`` expects them."""
+    document.write.mode(mode).option("maxRecordsPerFile", 1).json(path)
     return path
 
 
 def read_klines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Exchange kline CSVs (header).  Columns are matched by header name, so
-    extra or reordered columns do no harm; the symbol is the file name up to
-    the first '-', open_time the epoch-millisecond bar start."""
+    """Exchange kline CSVs (header).  Columns are matched by each file's own header
+    names, so files may order them differently or carry more; a file without a
+    header line or without a needed column is an error that names it.  The
+    symbol is the file name up to the first '-', open_time the epoch-millisecond
+    bar start.
+
+    Headers are one small row per file, joined to the lines by file.
+    """
     ensure_utc(spark)
-    raw = (
-        spark.read.option("header", True)
-        .option("recursiveFileLookup", True)
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .csv(path)
+        .text(path)
+        .select(F.translate("value", '"', "").alias("line"), F.col("_metadata.file_path").alias("file"))
+        .where(F.col("line") != "")
     )
-    name = N.file_name(F.col("_metadata.file_path"))
-    cols = [F.substring_index(name, "-", 1).alias("symbol"), F.timestamp_millis(F.col("open_time").cast("long")).alias("open_time")]
+    is_header = F.col("line").rlike(r"(^|,)\s*open_time\s*(,|$)")
+    names = F.transform(F.split("line", ","), F.trim)
+    places = []
+    for c in ["open_time", *KLINE_VALUE_COLUMNS]:
+        at = F.array_position(names, c).cast("int")
+        places.append(F.when(at > 0, at).otherwise(F.raise_error(F.concat(F.lit(f"no column {c} in "), F.col("file"))).cast("int")).alias(c))
+    headers = lines.where(is_header).groupBy("file").agg(F.first("line").alias("line")).select("file", F.struct(*places).alias("place"))
+    rows = lines.where(~is_header).join(headers, "file", "left")
+    place = F.coalesce("place", F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast(headers.schema["place"].dataType))
+    rows = rows.select("file", F.split("line", ",").alias("v"), place.alias("place"))
+    value = lambda c: F.trim(F.get("v", F.col(f"place.{c}") - 1))
+    cols = [F.substring_index(N.file_name(F.col("file")), "-", 1).alias("symbol"), F.timestamp_millis(value("open_time").cast("long")).alias("open_time")]
     for c in KLINE_VALUE_COLUMNS:
-        cols.append(F.col(c).cast("bigint" if c == "count" else "double").alias(c))
-    return raw.select(*cols)
+        cols.append(F.nullif(value(c), F.lit("")).cast("bigint" if c == "count" else "double").alias(c))
+    return rows.select(*cols)
 
 
 LINES_SCHEMA = "archive string, member string, line_no long, line string, error string"
 
 
-def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip", chunk_lines: int = 100_000) -> DataFrame:
+def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip", chunk_bytes: int = 4 << 20) -> DataFrame:
     """Text lines of every CSV member of the zip archives under ``path``.
 
     The listing runs in Spark; each task opens its archives through
-    ``pyarrow.fs`` (seekable, streamed) and emits lines in chunks, so neither
-    the JVM nor Python holds a whole archive.  A corrupt archive yields one
-    row with ``error`` set and no lines.  Non-zip files are ignored.
+    ``pyarrow.fs`` (seekable, streamed).  An archive is read to its end and
+    checked before anything of it is emitted, so a broken or truncated one
+    yields one row with ``error`` set and no lines.  Then its text is read in
+    chunks and split into lines by Arrow.  Errors of the storage itself are raised,
+    so that Spark tries the task again.  Non-zip files are ignored.
     """
     listing = list_files(spark, path, glob).select("path")
 
     def unzip(batches):
-        import io
         import zipfile
+        import zlib
 
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyarrow import fs as pafs
 
-        cols = ["archive", "member", "line_no", "line", "error"]
-        for pdf in batches:
-            for archive in pdf["path"]:
-                try:
-                    filesystem, p = pafs.FileSystem.from_uri(archive)
-                    with filesystem.open_input_file(p) as fh, zipfile.ZipFile(fh) as zf:
+        names = ["archive", "member", "line_no", "line", "error"]
+
+        def rows(archive, member, start, lines, error):
+            n = len(lines)
+            columns = [
+                pa.array([archive] * n, pa.string()),
+                pa.array([member] * n, pa.string()),
+                pa.array(range(start, start + n), pa.int64()) if error is None else pa.nulls(n, pa.int64()),
+                lines,
+                pa.array([error] * n, pa.string()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        def lines_of(raw):
+            """Arrow arrays of whole lines."""
+            rest = b""
+            while chunk := raw.read(chunk_bytes):
+                body, found, tail = (rest + chunk).rpartition(b"\n")
+                rest = tail if found else body + tail
+                if found:
+                    yield pc.utf8_rtrim(pc.list_flatten(pc.split_pattern(pa.array([body], pa.binary()).cast(pa.string()), "\n")), "\r")
+            if rest:
+                yield pc.utf8_rtrim(pa.array([rest], pa.binary()).cast(pa.string()), "\r")
+
+        for batch in batches:
+            for archive in batch.column("path").to_pylist():
+                filesystem, p = pafs.FileSystem.from_uri(archive)
+                with filesystem.open_input_file(p) as fh:
+                    try:
+                        with zipfile.ZipFile(fh) as zf:
+                            broken = zf.testzip()
+                        error = f"BadZipFile: {broken}" if broken else None
+                    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as exc:
+                        error = f"{type(exc).__name__}: {exc}"
+                    if error is not None:
+                        yield rows(archive, None, 0, pa.nulls(1, pa.string()), error)
+                        continue
+                    with zipfile.ZipFile(fh) as zf:
                         for member in zf.namelist():
                             if not member.lower().endswith(".csv"):
                                 continue
-                            buf, start = [], 0
+                            start = 0
                             with zf.open(member) as raw:
-                                for i, line in enumerate(io.TextIOWrapper(raw, encoding="utf-8", newline="")):
-                                    buf.append(line.rstrip("\r\n"))
-                                    if len(buf) >= chunk_lines:
-                                        yield pd.DataFrame({"archive": archive, "member": member, "line_no": range(start, start + len(buf)), "line": buf, "error": None}, columns=cols)
-                                        start += len(buf)
-                                        buf = []
-                            if buf:
-                                yield pd.DataFrame({"archive": archive, "member": member, "line_no": range(start, start + len(buf)), "line": buf, "error": None}, columns=cols)
-                except Exception as exc:  # noqa: BLE001 - reported per archive
-                    yield pd.DataFrame({"archive": [archive], "member": [None], "line_no": [None], "line": [None], "error": [f"{type(exc).__name__}: {exc}"]}, columns=cols)
+                                for lines in lines_of(raw):
+                                    yield rows(archive, member, start, lines, None)
+                                    start += len(lines)
 
-    return listing.mapInPandas(unzip, LINES_SCHEMA)
+    return listing.mapInArrow(unzip, LINES_SCHEMA)
 
 
 def archive_status(lines: DataFrame) -> DataFrame:
@@ -107,19 +152,20 @@ def archive_status(lines: DataFrame) -> DataFrame:
 def archive_trades(lines: DataFrame, header: bool = True) -> DataFrame:
     """Raw trade rows parsed JVM-side with ``from_csv`` from archive lines.
 
-    With ``header`` the first line of each member is skipped.  Unparsable
-    fields become null and are removed by trade validation, which drops any
-    row with a null.  ``file_path`` is ``archive/member`` so file-name parsing
-    sees the member's name.
+    With ``header`` the first line of each member is skipped.  A malformed line
+    (wrong number of fields, or a field of another type) is dropped, as the CSV
+    source does.  ``file_path`` is ``archive/member`` so file-name parsing sees
+    the member's name.
     """
     body = lines.where(F.col("line").isNotNull() & (F.col("line") != ""))
     if header:
         body = body.where(F.col("line_no") > 0)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRADE_SCHEMA.fields)
     parsed = body.select(
-        F.from_csv("line", TRADE_SCHEMA.simpleString().replace("struct<", "").rstrip(">").replace(":", " ")).alias("r"),
+        F.from_csv("line", f"{fields}, _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("r"),
         F.concat(F.col("archive"), F.lit("/"), F.col("member")).alias("file_path"),
     )
-    return parsed.select("r.*", "file_path")
+    return parsed.where(F.col("r._bad").isNull()).select("r.*", "file_path").drop("_bad")
 
 
 def ingest_archives(spark: SparkSession, path: str, header: bool = True) -> DataFrame:

@@ -37,11 +37,23 @@ def event_symbol(event_type: Column) -> Column:
     return F.when(event_type == CM_EVENT_TYPE, F.lit(CM_SYMBOL)).otherwise(F.concat(F.upper(event_type), F.lit(UM_SUFFIX)))
 
 
-def events_trades(spark: SparkSession, sf_dir: str, maker_from: str = "event_id") -> DataFrame:
+# Fixed rules of the unclean rows, by event_id: (divisor, remainder).
+NO_FLAG, NO_TIME, NO_QUOTE = (23, 6), (29, 8), (19, 4)
+NULL_PRICE, NAN_PRICE, ZERO_PRICE = (11, 3), (13, 5), (17, 7)
+
+
+def _when(rule: tuple[int, int]) -> Column:
+    return F.col("event_id") % rule[0] == rule[1]
+
+
+def events_trades(spark: SparkSession, sf_dir: str, maker_from: str = "event_id", gaps: bool = False, late_hours: int = 0) -> DataFrame:
     """Trades from ``events``: symbol, id, price, qty, quote_qty, is_buyer_maker, ts, date.
 
     ``maker_from="user_id"`` flags makers by even user_id instead (used to
-    build a second, differing bar set for the comparison checks)."""
+    build a second, differing bar set for the comparison checks).  With ``gaps``
+    some rows lack the maker flag or the time, or have quote quantity 0.
+    ``late_hours`` moves the file date ahead of the time, so that the last
+    hours of a day are in the next day's file."""
     ensure_utc(spark)
     ev = table(spark, sf_dir, "events")
     qty = (F.lit(1) + F.col("user_id") % 10).cast("double")
@@ -50,13 +62,27 @@ def events_trades(spark: SparkSession, sf_dir: str, maker_from: str = "event_id"
         F.col("event_id").alias("id"),
         F.col("value").alias("price"),
         qty.alias("qty"),
-        (F.col("value") * qty).alias("quote_qty"),
-        (F.col(maker_from) % 2 == 0).alias("is_buyer_maker"),
-        F.col("ts"),
-        F.to_date("ts").alias("date"),
+        (F.when(_when(NO_QUOTE), 0.0).otherwise(F.col("value") * qty) if gaps else F.col("value") * qty).alias("quote_qty"),
+        (F.when(~_when(NO_FLAG), F.col(maker_from) % 2 == 0) if gaps else F.col(maker_from) % 2 == 0).alias("is_buyer_maker"),
+        (F.when(~_when(NO_TIME), F.col("ts")) if gaps else F.col("ts")).alias("ts"),
+        F.to_date(F.col("ts") + F.expr(f"INTERVAL {int(late_hours)} HOURS")).alias("date"),
     )
 
 
+def events_unclean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events_trades`` with gaps and prices that are null, NaN or 0, and ``time`` in milliseconds."""
+    t = events_trades(spark, sf_dir, gaps=True)
+    bad = lambda rule: F.col("id") % rule[0] == rule[1]
+    price = F.when(bad(NULL_PRICE), None).when(bad(NAN_PRICE), float("nan")).when(bad(ZERO_PRICE), 0.0).otherwise(F.col("price"))
+    return t.withColumn("price", price).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp")))
+
+
+def raw_of(trades: DataFrame) -> DataFrame:
+    """Raw trade rows with the path of the file each would come from."""
+    path = F.concat(F.lit("file:///raw/"), F.col("symbol"), F.lit("-trades-"), F.col("date").cast("string"), F.lit(".csv"))
+    return trades.select("id", "price", "qty", "quote_qty", "time", "is_buyer_maker", path.alias("file_path"))
+
+
 def events_raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trade rows from ``events`` as a trade file would hold them, plus the
     file path each row would come from: ``file:///raw/{symbol}-trades-{date}.csv``.
