@@ -39,8 +39,3 @@ def date_from_name(name: Column) -> Column:
 
 def market_of(symbol: Column) -> Column:
     return F.when(F.upper(symbol).contains(CM_MARK), F.lit(MARKET_CM)).otherwise(F.lit(MARKET_UM))
-
-
-def base_before(text: Column, mark: str) -> Column:
-    """Text before the first ``mark`` (all of it when absent)."""
-    return F.substring_index(text, mark, 1)

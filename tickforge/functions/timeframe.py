@@ -7,7 +7,7 @@ one day.  The canonical label spells the duration out (``1 hour 30 minutes``)
 and names the output directory once blanks become underscores.
 
 Two forms share these rules: ``parse_timeframe`` for a literal argument on the
-driver, and ``timeframe_col`` as a column expression for a table of bar specs.
+driver, and ``parse_timeframes`` for a column of a table of bar specs.
 """
 
 from __future__ import annotations
@@ -43,12 +43,8 @@ class Timeframe:
 
     @property
     def directory(self) -> str:
-        return self.label.replace(" ", "_")
-
-    @property
-    def interval(self) -> str:
-        """SQL interval literal body, e.g. ``'5400' SECOND``."""
-        return f"INTERVAL {self.seconds} SECONDS"
+        """Output folder, named by the length alone: ``24h`` and ``25h`` are both one day."""
+        return (ONE_DAY_LABEL if self.seconds == DAY_SECONDS else _label(self.seconds)).replace(" ", "_")
 
 
 def _label(total: int) -> str:
@@ -120,19 +116,6 @@ def _label_col(total: Column) -> Column:
     )
 
 
-def timeframe_col(text: Column) -> Column:
-    """Column form of ``parse_timeframe`` for one-off use.
-
-    Returns ``struct<seconds int, label string, error string>``; rejected
-    inputs carry ``error`` and null seconds/label instead of raising.  For a
-    whole column of specs prefer ``parse_timeframes``, which stages the work
-    in separate projections.
-    """
-    norm = _norm(text)
-    total = _total(norm)
-    return _result(text, norm.rlike(DURATION_PATTERN), total)
-
-
 def _norm(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
 

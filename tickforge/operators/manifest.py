@@ -66,13 +66,13 @@ def file_manifest(
 
 
 def manifest_document(manifest: DataFrame, start, end) -> DataFrame:
-    """One JSON-shaped row per market: market, start, end, entries[date, symbol, url].
+    """One JSON-shaped row per market and date: market, start, end, entries[date, symbol, url].
 
-    The entries array holds days x symbols of the request (bounded by the
-    request, not by data volume); entries are sorted by (date, symbol).
+    ``start`` and ``end`` are those of the request; the entries array holds the
+    symbols of one day, sorted.
     """
     entry = F.struct("date", "symbol", "url")
-    return manifest.groupBy("market").agg(F.array_sort(F.collect_list(entry)).alias("entries")).select(
+    return manifest.groupBy("market", "date").agg(F.array_sort(F.collect_list(entry)).alias("entries")).select(
         "market", F.lit(str(_as_date(start))).alias("start"), F.lit(str(_as_date(end))).alias("end"), "entries"
     )
 

@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import filter_buckets, filter_date_range, filter_symbols
+from ..session import shared_dir
 
 TOTAL = "Total"
+#: Fixed value: the first line of the report.
 REPORT_TITLE = "  Asset Metrics - Trade Count per Symbol / Day"
 
 
 def trade_counts(trades: DataFrame, symbols=None, start=None, end=None) -> DataFrame:
-    """(symbol, date, trade_count), sorted by symbol then date."""
+    """(symbol, date, trade_count), one aggregate; sort by (symbol, date) to show it."""
     df = filter_date_range(filter_symbols(trades, symbols), start, end)
-    return df.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("trade_count")).orderBy("symbol", "date")
+    return df.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("trade_count"))
 
 
 def trade_count_totals(counts: DataFrame) -> DataFrame:
@@ -45,17 +47,28 @@ def trade_count_totals(counts: DataFrame) -> DataFrame:
 
 def report_days(counts: DataFrame) -> list[str]:
     """Distinct dates as text, ascending (bounded by the calendar, not the data)."""
-    rows = counts.select(F.col("date").cast("string").alias("d")).distinct().orderBy("d").collect()
-    return [r["d"] for r in rows]
+    rows = counts.select(F.col("date").cast("string").alias("d")).distinct().collect()
+    return sorted(r["d"] for r in rows)
+
+
+def _settled(counts: DataFrame, days: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """The counts and their dates.  Where the dates are not given, the counts, one row per
+    (symbol, date), are written once, so that the trades behind them are read once."""
+    if days is None:
+        path = shared_dir(counts.sparkSession, "trade-counts")
+        counts.write.parquet(path)
+        counts = counts.sparkSession.read.schema(counts.schema).parquet(path)
+        days = report_days(counts)
+    return counts, days
 
 
 def trade_count_matrix(counts: DataFrame, days: list[str] | None = None, zero_missing: bool = True) -> DataFrame:
     """Wide matrix: one row per symbol plus a 'Total' row; one column per
     date (ascending) plus 'Total'.  Missing cells are 0 when ``zero_missing``.
 
-    Passing ``days`` avoids the extra job that discovers pivot values.
+    Passing ``days`` saves the job that finds the pivot values.
     """
-    days = days if days is not None else report_days(counts)
+    counts, days = _settled(counts, days)
     long = trade_count_totals(counts)
     wide = long.groupBy("symbol").pivot("day", days + [TOTAL]).agg(F.first("trade_count"))
     cols = [F.col("symbol")]
@@ -77,7 +90,7 @@ def trade_count_report(counts: DataFrame, days: list[str] | None = None) -> Data
     widest value or header of their column plus two blanks; numbers carry
     thousands separators and missing counts print as 0.
     """
-    days = days if days is not None else report_days(counts)
+    counts, days = _settled(counts, days)
     columns = ["symbol"] + days + [TOTAL]
     order = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
 
