@@ -6,11 +6,9 @@ Each query is fully executed with the ``noop`` sink (whole plan, no driver
 collect).  After one warm-up pass, every query runs ``BENCH_RUNS`` times
 (default 3) and the median is reported.  Prints one JSON line.
 
-Besides the registered queries, two plan variants are timed for comparison:
-``fill_1m_join_window`` is the textbook gap-fill plan (grid LEFT JOIN bars,
-last value over a whole-symbol window, then a self join) and
-``bars_1m_struct`` the sort-aggregate open/close; they show what the
-library's join-free fill and hash-aggregate open/close save.
+The trade queries also run over ten times the trades (``x10_`` names), written
+as several files so that their scans run in parallel; ``bars_1m_struct`` shows
+the sort-aggregate open/close beside the hash-aggregate one.
 """
 
 from __future__ import annotations
@@ -23,48 +21,25 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tickforge.operators import bars as B  # noqa: E402
 from tickforge.operators.prepare import prepare_trades  # noqa: E402
 from tickforge.operators.quality import verdict  # noqa: E402
-from tickforge.operators.report import trade_count_report, trade_counts  # noqa: E402
 from tickforge.plans import catalog as C  # noqa: E402
 from tickforge.plans.jobs import bars_job, preprocess  # noqa: E402
-from tickforge.session import build_session, shared_dir  # noqa: E402
-from tickforge.sinks.files import write_trade_files  # noqa: E402
+from tickforge.session import build_session, remove_shared_dirs, shared_dir  # noqa: E402
+from tickforge.sinks.files import land, write_trade_files  # noqa: E402
 from tickforge.sources import views as V  # noqa: E402
 
 
-def join_window_fill(trades, tf: str):
-    """Textbook plan kept only as a benchmark baseline."""
-    t = B.parse_timeframe(tf)
-    bars = B.aggregate_bars(trades, tf, unique_ids=True).withColumnRenamed("open_time", "bar_time")
-    days = bars.select("symbol", F.to_date("bar_time").alias("d")).distinct()
-    grid = days.select(
-        "symbol",
-        F.explode(
-            F.sequence(
-                F.col("d").cast("timestamp_ntz"),
-                F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND"),
-                F.expr(f"INTERVAL {t.seconds} SECONDS"),
-            )
-        ).alias("bar_time"),
-    )
-    joined = grid.join(bars, ["symbol", "bar_time"], "left")
-    w = Window.partitionBy("symbol").orderBy("bar_time")
-    last = joined.select(
-        "symbol", "bar_time",
-        F.last(F.when(F.col("close").isNotNull() & ~F.isnan("close"), F.col("close")), ignorenulls=True).over(w).alias("last_close"),
-    )
-    out = joined.join(last, ["symbol", "bar_time"])
-    return out.select(
-        "symbol", F.col("bar_time").alias("open_time"),
-        *[F.coalesce(c, "last_close").alias(c) for c in ["open", "high", "low", "close"]],
-        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ["volume", "vwap", "quote_volume", "taker_buy_volume", "taker_buy_quote_volume"]],
-        F.coalesce("count", F.lit(0)).alias("count"),
-    )
+def ten_times(spark, trades, cpus: int) -> str:
+    """Ten copies of the trades, each under symbols of its own, in several files; returns the folder."""
+    path = shared_dir(spark, "bench-x10")
+    copies = trades.withColumn("_n", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    copies = copies.withColumn("symbol", F.concat("symbol", F.col("_n").cast("string"))).drop("_n")
+    copies.repartition(4 * cpus).write.parquet(path)
+    return path
 
 
 def main():
@@ -82,14 +57,20 @@ def main():
         "bars_1m_struct": lambda: B.aggregate_bars(ev(), "1m"),
         "bars_filled_1h": lambda: B.fill_bars(ev(), "1h", unique_ids=True),
         "bars_filled_1m": lambda: B.fill_bars(ev(), "1m", unique_ids=True),
-        "fill_1m_join_window": lambda: join_window_fill(ev(), "1m"),
         "bars_ties_1d": lambda: B.aggregate_bars(li(), "24h"),
         "bars_filled_ties_1m": lambda: B.fill_bars(li(), "1m"),
         "bars_multi": lambda: B.bars_for_durations(ev(), ["1m30s", "5m", "1h"], unique_ids=True),
-        "trade_count_report": lambda: trade_count_report(trade_counts(ev()), C.EVENT_DAYS),
+        "trade_count_report": lambda: C.q_trade_count_report(spark, sf_dir),
         "check_verdict": lambda: verdict(C._generated_bars(spark, sf_dir), C._reference_bars(spark, sf_dir)),
         "timeframe_parse": lambda: C.q_timeframe_parse(spark, sf_dir),
     }
+    many = spark.read.parquet(ten_times(spark, ev(), int(cpus)))
+    queries |= {
+        "x10_bars_1m": lambda: B.aggregate_bars(many, "1m", unique_ids=True),
+        "x10_bars_1m_struct": lambda: B.aggregate_bars(many, "1m"),
+        "x10_bars_filled_1m": lambda: B.fill_bars(many, "1m", unique_ids=True),
+        "x10_bars_multi": lambda: B.bars_for_durations(many, ["1m30s", "5m", "1h"], unique_ids=True),
+    }
 
     def run(fn):
         t0 = time.perf_counter()
@@ -104,7 +85,7 @@ def main():
 
     # Whole jobs on files: raw daily CSVs -> trades table (L1), trades table -> 1-minute bars table (L2).
     raw_root = shared_dir(spark, "bench-raw")
-    write_trade_files(V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp"))), raw_root).collect()
+    land(write_trade_files(V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp"))), raw_root))
     n_trades = spark.read.parquet(f"{sf_dir}/events.parquet").count()
 
     def job(fn):
@@ -123,7 +104,7 @@ def main():
     for name, fn in jobs.items():
         timings[name] = round(statistics.median(job(fn) for _ in range(runs)), 3)
 
-    headline = [k for k in timings if k not in ("bars_1m_struct", "fill_1m_join_window")]
+    headline = [k for k in timings if not k.endswith("_struct")]
     total = round(sum(timings[k] for k in headline), 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
@@ -137,6 +118,7 @@ def main():
         "trades": n_trades,
         "trades_per_sec": {k: round(n_trades / timings[k]) for k in ("job_preprocess", "job_bars_1m", "bars_1m", "bars_filled_1m")},
     }))
+    remove_shared_dirs(spark)
     spark.stop()
 
 

@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, digest, frame_rows
+from tickforge.plans import catalog
+from tools.oracle_check import TABLES, digest, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,13 +32,12 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    assert len(got) == len(want)
-    assert digest(frame_rows(got)) == digest(frame_rows(want))
+    got = E.queries()[key](spark, SF)
+    names, want = duck_rows(duck, E.oracle_sql()[key])
+    assert sorted(got.columns) == sorted(names)
+    assert digest(spark_rows(got)) == digest(want)
 
 
 def test_worker_code_ships_without_package_on_path(tmp_dir):
@@ -54,7 +54,7 @@ spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fals
 spec = importlib.util.spec_from_file_location("entry_mod", "{repo}/__spark_entry__.py")
 E = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(E)
-print("ROWS", E.queries()["archive_ingest"](spark, "{SF}").count())
+print("ROWS", E.queries()["raw_trades_scan"](spark, "{SF}").count())
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=600)

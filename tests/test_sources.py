@@ -102,3 +102,85 @@ def test_csv_file_writer_names_and_no_temp_left(spark, tmp_dir):
     assert len(names) == 1 and names[0].startswith("A-trades-2024-01-01-p") and names[0].endswith(".csv")
     with open(f"{tmp_dir}/{names[0]}") as fh:
         assert fh.read() == "id,price,qty,quote_qty,time,is_buyer_maker\n1,1.0,1.0,1.0,1704067200000,true\n"
+
+
+def test_broken_archives_give_no_rows(spark, tmp_dir):
+    """A checksum error and a cut-off file far into an archive: nothing of them is ingested."""
+    text = "id,price,qty,quote_qty,time,is_buyer_maker\n" + "".join(f"{i},10.{i},2,20,{1704067200000 + i},false\n" for i in range(5000))
+    with zipfile.ZipFile(f"{tmp_dir}/GOODUSDT-trades-2024-01-01.zip", "w", zipfile.ZIP_STORED) as zf:
+        zf.writestr("GOODUSDT-trades-2024-01-01.csv", text)
+    raw = bytearray(open(f"{tmp_dir}/GOODUSDT-trades-2024-01-01.zip", "rb").read())
+    open(f"{tmp_dir}/CUTUSDT-trades-2024-01-01.zip", "wb").write(raw[: len(raw) // 2])
+    raw[100_000] ^= 1
+    open(f"{tmp_dir}/CRCUSDT-trades-2024-01-01.zip", "wb").write(raw)
+    lines = archive_lines(spark, tmp_dir, chunk_bytes=10_000)
+    status = {os.path.basename(r["archive"])[:3]: (r["ok"], r["lines"]) for r in archive_status(lines).collect()}
+    assert status == {"GOO": (True, 5001), "CUT": (False, 0), "CRC": (False, 0)}
+    out = ingest_archives(spark, tmp_dir)
+    assert out.count() == 5000 and out.agg(F.sum("id")).first()[0] == sum(range(5000))
+
+
+def test_malformed_lines_are_dropped_alike_from_files_and_archives(spark, tmp_dir):
+    from tickforge.sources.trades import read_trades
+
+    text = "id,price,qty,quote_qty,time,is_buyer_maker\n1,1.0,1,1,1704067200000,false\n2,1.0,1,1,1704067200000,false,9\n3,x,1,1,1704067200000,true\n"
+    os.mkdir(f"{tmp_dir}/csv"), os.mkdir(f"{tmp_dir}/zip")
+    open(f"{tmp_dir}/csv/A-trades-2024-01-01.csv", "w").write(text)
+    with zipfile.ZipFile(f"{tmp_dir}/zip/A-trades-2024-01-01.zip", "w") as zf:
+        zf.writestr("A-trades-2024-01-01.csv", text)
+    assert [r["id"] for r in read_trades(spark, f"{tmp_dir}/csv").collect()] == [1]
+    assert [r["id"] for r in ingest_archives(spark, f"{tmp_dir}/zip").collect()] == [1]
+
+
+def test_klines_by_each_file_header(spark, tmp_dir):
+    import pytest
+
+    head = ["open_time", "open", "high", "low", "close", "volume", "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume"]
+    row = ["1704067200000", "8", "12", "7", "10", "1", "2", "3", "4", "5"]
+    swap = [1, 0, 3, 2, 4, 5, 6, 7, 8, 9]
+    for name, order in (("A", range(10)), ("B", swap)):
+        with open(f"{tmp_dir}/{name}USDT-1h-2024-01-01.csv", "w") as fh:
+            fh.write(",".join(head[i] for i in order) + "\n" + ",".join(row[i] for i in order) + "\n")
+    got = {(r["open"], r["high"], r["low"], r["close"], r["count"]) for r in read_klines(spark, tmp_dir).collect()}
+    assert got == {(8.0, 12.0, 7.0, 10.0, 3)}
+    with open(f"{tmp_dir}/CUSDT-1h-2024-01-01.csv", "w") as fh:
+        fh.write(",".join(head[:-1]) + "\n" + ",".join(row[:-1]) + "\n")
+    with pytest.raises(Exception, match="no column taker_buy_quote_volume"):
+        read_klines(spark, tmp_dir).collect()
+
+
+def test_written_files_do_not_follow_the_number_of_tasks(spark, tmp_dir):
+    from tickforge.sinks.files import land, write_trade_files
+
+    day = __import__("datetime").date(2024, 1, 1)
+    rows = [("A" if i % 2 else "B", day, i, 1.0, 1.0, 1.0, None if i == 3 else 1704067200000, True) for i in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, date date, id long, price double, qty double, quote_qty double, time long, is_buyer_maker boolean")
+    for n in (1, 4):
+        land(write_trade_files(df.repartition(n), f"{tmp_dir}/{n}"))
+        assert len([f for f in os.listdir(f"{tmp_dir}/{n}") if f.endswith(".csv")]) == 2
+    from tickforge.sources.trades import read_trades
+
+    back = {r["id"]: r["time"] for r in read_trades(spark, f"{tmp_dir}/4").collect()}
+    assert len(back) == 40 and back[3] is None and back[4] == 1704067200000
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from tickforge import session
+
+    class Bare:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = property(lambda self: self)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Bare(), "x")
+    path = session.shared_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.remove_shared_dirs(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:"))
