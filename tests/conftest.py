@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tickforge.session import ensure_utc  # noqa: E402
+from tickforge.session import ensure_utc, remove_shared_dirs  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -30,6 +30,7 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickforge-ckpt-"))
     yield s
+    remove_shared_dirs(s)
     s.stop()
 
 

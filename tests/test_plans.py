@@ -25,6 +25,19 @@ def test_fill_scans_trades_once(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan  # no join in the fill
 
 
+def test_pruned_fill_scans_trades_once(spark):
+    for frame in (B.forward_fill_close(events_trades(spark, SF), "1h", unique_ids=True), B.fill_bars(events_trades(spark, SF), "1h", columns=["volume"])):
+        plan = executed(frame).split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1 and "ReusedExchange" in plan, plan
+
+
+def test_report_reads_trades_once(spark):
+    from tickforge.operators.report import trade_count_report, trade_counts
+
+    plan = executed(trade_count_report(trade_counts(events_trades(spark, SF))))
+    assert "events.parquet" not in plan  # only the counts written before
+
+
 def test_partition_and_data_filters_reach_the_scan(spark, tmp_dir):
     write_trades(prepare_trades(events_raw_trades(spark, SF)), tmp_dir, num_partitions=4)
     df = load_trades(spark, tmp_dir, symbols=["VIEWUSDT"], start_date="2024-01-10", end_date="2024-01-12")
