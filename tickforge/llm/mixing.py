@@ -178,7 +178,7 @@ def mix(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float
     per_source = cells.groupBy("skey").agg(
         F.first("source").alias("source"),
         F.sum(F.col("n") * F.col("size")).alias("source_size"),
-        (F.sum(F.col("n") * F.col("size") * F.col("size").cast("double")) / F.sum(F.col("n") * F.col("size"))).alias("scale"),
+        F.try_divide(F.sum(F.col("n") * F.col("size") * F.col("size").cast("double")), F.sum(F.col("n") * F.col("size"))).alias("scale"),
     )
     sources = stored(targets(per_source, cap, weights), f"{path}/sources")
     lam = solve(spark, cells, sources, cap, path)
