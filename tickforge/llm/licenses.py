@@ -21,7 +21,7 @@ from .common import row_chunks, table, text_buffers, whole_text, worker_cache
 
 #: Words of a notice that look it up, its rarest; hits that place it; part of its weight that must match.
 ANCHORS, VOTES, COVERAGE = 8, 2, 0.6
-#: Words by which a key phrase may lie off its place in a notice.
+#: Words by which parts of a notice may lie off their place.
 SLACK = 8
 
 
@@ -135,7 +135,7 @@ class Index:
 
     def weigh(self, n_docs: int, frequency: dict[int, int]) -> "Index":
         """Inverse document frequencies, and postings of each text's rarest words."""
-        self.idf = np.array([math.log((1 + n_docs) / (1 + frequency.get(i, 0))) + 1e-6 for i in range(len(self.vocabulary))])
+        self.idf = np.array([math.log(2 + n_docs / (1 + frequency.get(i, 0))) for i in range(len(self.vocabulary))])
         postings: dict[int, list] = {}
         for t, words in enumerate(self.words):
             rare = sorted(set(words.tolist()), key=lambda w: (-self.idf[w], w))[: ANCHORS if self.templates[t].keys else 1]
@@ -182,9 +182,20 @@ class Index:
 
     def _notice(self, t, start, row, numbers, bounds):
         pair, votes = np.unique(np.stack([row, start]), axis=1, return_counts=True)
-        row, start = pair[0][votes >= VOTES], pair[1][votes >= VOTES]
+        # Hits whose relative positions differ by a few inserted or missing words vote together.
+        apart = np.ones(pair.shape[1], bool)
+        apart[1:] = (np.diff(pair[0]) != 0) | (np.diff(pair[1]) > SLACK)
+        group = np.cumsum(apart) - 1
+        together = np.bincount(group, votes)
+        order = np.lexsort((-votes, group))
+        top = order[np.flatnonzero(np.diff(group[order], prepend=-1))]
+        top = top[together[group[top]] >= VOTES]
+        row, start = pair[0][top], pair[1][top]
+        near = np.zeros((len(row), len(self.words[t])), bool)
+        for off in range(-SLACK, SLACK + 1):
+            near |= self._equal(self.words[t], start + off, row, numbers, bounds)
         weight = self.idf[self.words[t]]
-        cover = self._equal(self.words[t], start, row, numbers, bounds) @ (weight / weight.sum())
+        cover = near @ (weight / weight.sum())
         ok = cover >= COVERAGE
         row, start, cover = row[ok], start[ok], cover[ok]
         text = self.words[t].tolist()
