@@ -21,8 +21,10 @@ from .common import key_runs, stored, table, work_dir
 from .graph import connected_components
 
 THRESHOLD = 0.98
-#: Pivots per dimension: a sample of the classes, the bound of what reaches the driver.
-PIVOTS = 128
+#: Pivots per dimension, and how many sampled classes they are chosen from, which bounds
+#: what reaches the driver.  Pivots lie apart: no two with a cosine of APART or more, so
+#: that a dense cluster has one and its vectors agree on the others.
+PIVOTS, SAMPLE, APART = 128, 1024, 0.9
 #: Nearest pivots that describe a vector.
 NEAREST = 6
 #: A longer list is dealt into blocks of about this many classes.
@@ -59,15 +61,23 @@ def _unit(rows) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(classes: DataFrame, pivots: int) -> dict[int, np.ndarray]:
-    """Unit vectors per dimension: those with the smallest class keys, which are hashes."""
+def choose_pivots(classes: DataFrame, pivots: int, sample: int = SAMPLE) -> dict[int, np.ndarray]:
+    """Unit vectors per dimension: of the classes with the smallest keys, which are hashes, the
+    first ones that lie apart."""
     sized = classes.select("class", "vec", F.size("vec").alias("dim"))
     first = Window.partitionBy("dim").orderBy("class")
-    rows = sized.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= pivots).orderBy("dim", "_r").select("dim", "vec").collect()
+    rows = sized.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= sample).orderBy("dim", "_r").select("dim", "vec").collect()
     by_dim: dict[int, list] = {}
     for r in rows:
         by_dim.setdefault(r["dim"], []).append(r["vec"])
-    return {d: _unit(v) for d, v in by_dim.items()}
+    chosen = {}
+    for d, rows in by_dim.items():
+        units, taken = _unit(rows), []
+        for i, u in enumerate(units):
+            if len(taken) < pivots and not (taken and (units[taken] @ u >= APART).any()):
+                taken.append(i)
+        chosen[d] = units[taken]
+    return chosen
 
 
 def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
