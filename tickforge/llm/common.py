@@ -33,19 +33,22 @@ def whole_text(name: str = "text") -> Column:
 
 
 def text_buffers(column):
-    """(bytes as uint8 array, int64 offsets) of an Arrow string column, null as empty."""
+    """(bytes as uint8 array, int64 offsets) of an Arrow string column, null as empty.  The
+    bytes are those of the batch, not a copy."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
     if column.null_count:
         column = pc.fill_null(column, "")
-    _, offsets, data = column.buffers()
     n = len(column)
-    off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1] if n else np.zeros(1, np.int64)
+    if n == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    off = np.frombuffer(offsets, width)[column.offset : column.offset + n + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw, off
 
@@ -63,17 +66,16 @@ def row_chunks(offsets, limit: int):
 
 
 def worker_cache(key, build):
-    """``build()`` once per Python worker process.  Code is shipped by value, so module
-    globals of this package do not outlive a task; a module entry does."""
+    """``build()`` once per Python worker process and key, whose first part names the operator.
+    Code is shipped by value, so module globals of this package do not outlive a
+    task; a module entry does.  What another operator left is dropped."""
     import sys
     import types
 
     store = sys.modules.setdefault("_tickforge_worker_cache", types.ModuleType("_tickforge_worker_cache"))
-    if not hasattr(store, "values"):
-        store.values = {}
+    if getattr(store, "owner", None) != key[0]:
+        store.owner, store.values = key[0], {}
     if key not in store.values:
-        if len(store.values) >= 16:
-            store.values.clear()
         store.values[key] = build()
     return store.values[key]
 

@@ -50,7 +50,7 @@ def _letters():
 
 
 def letter_tables():
-    return worker_cache("letters", _letters)
+    return worker_cache(("langid", "letters"), _letters)
 
 
 def code_points(data, offsets):
@@ -114,19 +114,22 @@ class SuffixAutomaton:
 
     def parser(self, width: int):
         """Flat table: entry state * width + symbol holds twice the next row's start, plus 1
-        where the match ends and a new phrase begins with the symbol.  Symbol 0 pads."""
+        where a new phrase begins with the symbol.  Symbol 0 pads.  The last state has
+        no phrase open: it is the first one, and follows a symbol that the sample lacks."""
         import numpy as np
 
         n = len(self.next)
-        root = np.zeros(width, np.int64)
+        kind = np.int32 if (n + 1) * width < 1 << 29 else np.int64
+        begin = np.full(width, n, kind)
         for c, t in self.next[0].items():
-            root[c] = t
-        out = np.broadcast_to(root * width * 2 + 1, (n, width)).copy()
+            begin[c] = t
+        out = np.empty((n + 1, width), kind)
+        out[:] = begin * (width * 2) + 1
         for s, following in enumerate(self.next):
             if following:
-                out[s, list(following)] = np.fromiter(following.values(), np.int64, len(following)) * (width * 2)
-        out[:, 0] = np.arange(n) * (width * 2)
-        return out.ravel().astype(np.int32 if n * width < 1 << 29 else np.int64)
+                out[s, list(following)] = np.fromiter(following.values(), kind, len(following)) * (width * 2)
+        out[:, 0] = np.arange(n + 1, dtype=kind) * (width * 2)
+        return out.ravel()
 
 
 class Model:
@@ -141,8 +144,9 @@ class Model:
         texts = {k: self._fold(samples[k]) for k in self.langs}
         seen = Counter(c for t in texts.values() for c in t.tolist() if c)
         own = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:OWN_LETTERS]]
-        self.width = 2 + len(own) + HASHED
-        self.symbol = (2 + len(own) + np.arange(0x110000) % HASHED).astype(np.uint8)
+        others = HASHED if len(seen) > len(own) else 1
+        self.width = 2 + len(own) + others
+        self.symbol = (2 + len(own) + np.arange(0x110000) % others).astype(np.uint8)
         self.symbol[0] = 1
         self.symbol[own] = np.arange(2, 2 + len(own))
         self.parsers, self.cost = [], []
@@ -167,8 +171,8 @@ class Model:
             block = np.ascontiguousarray(symbols[a : a + LANES].T)
             longest = int((block != 0).any(axis=1).sum())
             for i, parser in enumerate(self.parsers):
-                at = np.zeros(block.shape[1], parser.dtype)
-                count = np.ones(block.shape[1], parser.dtype)
+                at = np.full(block.shape[1], len(parser) - self.width, parser.dtype)
+                count = np.zeros(block.shape[1], parser.dtype)
                 for row in block[:longest]:
                     step = parser.take(at + row)
                     count += step & 1
@@ -258,7 +262,7 @@ def predict(docs: DataFrame, samples: dict[str, str], keep_columns: bool = False
         model = worker_cache(("langid", key), lambda: Model(samples))
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            for a, b in row_chunks(offsets, 1 << 21):
+            for a, b in row_chunks(offsets, 1 << 19):
                 lang, score, bits = model.predict(data, offsets[a : b + 1])
                 part = batch.slice(a, b - a)
                 columns = part.columns if keep_columns else [part.column("doc_id")]
