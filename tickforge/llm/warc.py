@@ -25,6 +25,8 @@ from .common import stored, table, work_dir
 LEAST_REVISIT = 100
 LEVEL = 6
 READ = 1 << 20
+#: Beyond so many files a task takes several.
+MOST_TASKS = 20_000
 #: Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX_DDL = "file string, ordinal long, offset long, length long, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long"
@@ -173,6 +175,13 @@ def plan_revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return joined.select("file", "ordinal", F.coalesce(revisit, F.lit(False)).alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"))
 
 
+def by_file(rows: DataFrame) -> DataFrame:
+    """Rows dealt by file into about as many tasks as there are files.  The rows are few bytes
+    each but stand for a file's work, so tasks must not be merged by their size."""
+    files = rows.select("file").distinct().count()
+    return rows.repartition(max(1, min(files, MOST_TASKS)), "file")
+
+
 def normalise(plan: DataFrame, source: str, target: str) -> DataFrame:
     """Rewrites each monolithic file of ``source`` with a gzip member per record, makes the
     records that ``plan`` (file, ordinal, revisit, refers_to) names revisits, writes a
@@ -230,7 +239,7 @@ def normalise(plan: DataFrame, source: str, target: str) -> DataFrame:
         names = [x.split(" ")[0] for x in INDEX_DDL.split(", ")]
         return pa.table([pa.array([x[n] for x in index], k) for n, k in zip(names, kinds, strict=True)], names=names)
 
-    return plan.groupBy("file").applyInArrow(run, INDEX_DDL)
+    return by_file(plan).groupBy("file").applyInArrow(run, INDEX_DDL)
 
 
 def read_records(index: DataFrame, root: str) -> DataFrame:
@@ -272,14 +281,14 @@ def read_records(index: DataFrame, root: str) -> DataFrame:
             yield emit()
 
     schema = "page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
-    return index.select("file", "offset", "length").mapInArrow(run, schema)
+    return by_file(index.select("file", "offset", "length")).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, root: str, least: int = LEAST_REVISIT) -> DataFrame:
     """Writes pages to monolithic archives under ``root``/raw, normalises them into
     ``root``/warc with sidecar indexes, and returns the index (also ``root``/index, Parquet)."""
     records = stored(write_monolithic(pages, f"{root}/raw"), f"{root}/records")
-    plan = plan_revisits(records, least)
+    plan = stored(plan_revisits(records, least), f"{root}/plan")
     return stored(normalise(plan, f"{root}/raw", f"{root}/warc"), f"{root}/index")
 
 
