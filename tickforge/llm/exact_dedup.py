@@ -51,6 +51,10 @@ class DigestIndex:
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
 
+    def close(self) -> None:
+        """Forgets the table's name in this session; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -102,12 +106,15 @@ def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = Non
     With an index that already holds a text, no row of the batch is kept.
     """
     path = work_dir(spark, "exact-dedup")
-    index = index or DigestIndex(spark, f"{path}/index")
+    own = None if index else DigestIndex(spark, f"{path}/index")
+    index = index or own
     text = whole_text()
     digests = stored(
         docs.select("doc_id", text_digest(text).alias("digest"), F.length(text).cast("long").alias("points")), f"{path}/digests"
     )
     decided = index.add(digests, path)
+    if own:
+        own.close()
     # Rows that repeat id and text meet here, so that one of them can stay.
     cells = digests.groupBy("digest", "doc_id").agg(F.count("*").alias("_n"), F.max("points").alias("_p"))
     rows = cells.join(decided, "digest").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
@@ -123,11 +130,14 @@ def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = Non
 def keep_first(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows that stay, with all columns of ``docs``: one per distinct text."""
     path = work_dir(spark, "exact-keep")
-    index = index or DigestIndex(spark, f"{path}/index")
+    own = None if index else DigestIndex(spark, f"{path}/index")
+    index = index or own
     text = whole_text()
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_digest(text).alias("digest"), F.length(text).cast("long").alias("points"), F.col("doc_id").alias("_id"))
     digests = stored(keyed.select("digest", F.col("_id").alias("doc_id"), "points"), f"{path}/digests")
     decided = index.add(digests, path).where("fresh")
+    if own:
+        own.close()
     # One row per digest leaves each task, so a group of copies is thin before the shuffle.
     best = keyed.groupBy("digest").agg(F.min_by("_row", _rank(F.col("points"), F.col("_id"))).alias("_row"))
     return best.join(decided.select("digest"), "digest", "left_semi").select("_row.*")
