@@ -660,7 +660,7 @@ def _pairs_sql(gen: str, ref: str) -> str:
         ON g.symbol = r.symbol AND g.open_time = r.open_time AND g.copy = r.copy"""
 
 
-def verdict_sql(gen: str, ref: str) -> str:
+def verdict_sql(gen: str, ref: str, same_schema: str = "TRUE") -> str:
     differ = " + ".join(f"CASE WHEN abs(CAST({c}_gen AS DOUBLE) - CAST({c}_ref AS DOUBLE)) > 1e-5 THEN 1 ELSE 0 END" for c in _CMP_COLS)
     one_null = " + ".join(f"CASE WHEN ({c}_gen IS NULL) <> ({c}_ref IS NULL) THEN 1 ELSE 0 END" for c in _CMP_COLS)
     same = " AND ".join(f"{c}_gen IS NOT DISTINCT FROM {c}_ref" for c in _CMP_COLS)
@@ -669,11 +669,11 @@ def verdict_sql(gen: str, ref: str) -> str:
                  count(*) - count(in_gen) AS missing_in_generated, count(*) - count(in_ref) AS missing_in_reference,
                  CAST(sum(CASE WHEN in_gen AND in_ref THEN {differ} ELSE 0 END) AS BIGINT) AS differing_cells,
                  CAST(sum(CASE WHEN in_gen AND in_ref THEN {one_null} ELSE 0 END) AS BIGINT) AS null_cells,
-                 TRUE AS same_schema,
-                 bool_and(in_gen IS NOT NULL AND in_ref IS NOT NULL AND {same}) AS exact
+                 {same_schema} AS same_schema,
+                 {same_schema} AND bool_and(in_gen IS NOT NULL AND in_ref IS NOT NULL AND {same}) AS exact
           FROM j GROUP BY symbol)
-    SELECT *, missing_in_generated + missing_in_reference + differing_cells + null_cells = 0 AS equal,
-           CASE WHEN missing_in_generated + missing_in_reference + differing_cells + null_cells = 0 THEN 0 ELSE 1 END AS status
+    SELECT *, same_schema AND missing_in_generated + missing_in_reference + differing_cells + null_cells = 0 AS equal,
+           CASE WHEN same_schema AND missing_in_generated + missing_in_reference + differing_cells + null_cells = 0 THEN 0 ELSE 1 END AS status
     FROM v"""
 
 
@@ -712,6 +712,15 @@ def q_check_verdict_mixed(spark, sf_dir):
     return verdict(*_mixed_bars(spark, sf_dir))
 
 
+@register("check_verdict_schema", verdict_sql(_GEN_SQL, f"SELECT * REPLACE (NULL::DOUBLE AS taker_buy_volume) FROM ({_GEN_SQL}) g", "FALSE"))
+def q_check_verdict_schema(spark, sf_dir):
+    """A reference that lacks a compared column fails, whatever the values."""
+    from ..operators.quality import verdict
+
+    bars = _generated_bars(spark, sf_dir)
+    return verdict(bars, bars.drop("taker_buy_volume"))
+
+
 @register(
     "check_missing_mixed",
     f"""WITH j AS ({_pairs_sql(_MIXED_GEN_SQL, _MIXED_REF_SQL)})
