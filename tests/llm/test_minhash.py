@@ -62,6 +62,11 @@ def test_hot_group_in_blocks(spark, monkeypatch):
     check(spark, near_copies(2, 90, 100, 7), 0.8)
 
 
+def test_blocks_with_single_classes(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 1)
+    check(spark, near_copies(3, 5, 60, 3, seed=5), 0.8)
+
+
 def test_sets_too_large_to_travel(spark, monkeypatch):
     monkeypatch.setattr(M, "AT_HAND", 20)
     check(spark, near_copies(10, 8, 80, 6, seed=3), 0.85)

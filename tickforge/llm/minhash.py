@@ -249,7 +249,7 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
             left, right = _pairs_within(np.diff(np.append(np.flatnonzero(new), len(n))))
             width = marks.shape[1]
             least = width * (threshold - ERRORS * (threshold * (1 - threshold) / width) ** 0.5)
-            for s in range(0, len(left), 1 << 15):
+            for s in range(0, max(1, len(left)), 1 << 15):  # once even without pairs
                 i, j = left[s : s + (1 << 15)], right[s : s + (1 << 15)]
                 ok = (label[i] != label[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
                 ok &= np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
