@@ -20,10 +20,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, name)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch while a result is stored: whole texts and sets are wide rows.
+BATCH_ROWS = 2000
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage, and a lost
     executor costs a re-read instead of a recomputation."""
-    df.write.mode("overwrite").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH)
+    conf.set(BATCH, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
