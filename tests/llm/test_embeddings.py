@@ -60,6 +60,12 @@ def test_hot_list_in_blocks(spark, monkeypatch):
     assert run(spark, rows, pivots=16) == brute(rows, 0.98)
 
 
+def test_blocks_of_single_vectors(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK", 1)
+    rows = cluster(np.random.default_rng(7), 12, 16, 0.01, 1, 0)
+    assert run(spark, rows) == brute(rows, 0.98)
+
+
 def test_vectors_that_link_with_nothing(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, None), (2, v, None), (3, None, 1), (4, [], 1), (5, [0.0, 0.0, 0.0], 1), (6, [1.0, None, 3.0], 1), (7, [1.0, float("nan"), 3.0], 1),
