@@ -254,9 +254,9 @@ class Tokenizer:
             yield tokens[:stable]
             at += int(ends[stable - 1])
 
-    def encode_chunks(self, chunks) -> dict:
-        """(ids as bytes, decoded bytes) of each distinct chunk, through the cache."""
-        got, new, young, old = {}, [], self.young, self.old
+    def encode_chunks(self, chunks) -> tuple[dict, dict]:
+        """Ids as bytes, and decoded bytes, of each distinct chunk, through the cache."""
+        ids_of, text_of, new, young, old = {}, {}, [], self.young, self.old
         for c in chunks:
             hit = young.get(c)
             if hit is None:
@@ -265,7 +265,7 @@ class Tokenizer:
                     new.append(c)
                     continue
                 young[c] = hit
-            got[c] = hit
+            ids_of[c], text_of[c] = hit
         runs, number = [], []
         for c in new:
             if c.isalpha() and c.isascii():
@@ -282,12 +282,12 @@ class Tokenizer:
             ends = ends[np.concatenate([[0], np.cumsum(number)])].tolist()
             raw, ids, listing = flat.astype("<u4").tobytes(), flat.tolist(), self.listing
             for c, a, b in zip(new, ends[:-1], ends[1:], strict=True):
-                hit = got[c] = (raw[4 * a : 4 * b], listing(ids[a:b]))
+                hit = ids_of[c], text_of[c] = raw[4 * a : 4 * b], listing(ids[a:b])
                 if len(c) <= LONGEST:
                     young[c] = hit
         if len(young) > CACHE:
             self.old, self.young = young, {}
-        return got
+        return ids_of, text_of
 
     def segments(self, text: str):
         """Alternating (chunks of ordinary text, special token or None)."""
@@ -303,13 +303,17 @@ class Tokenizer:
     def encode_batch(self, texts: list[str]):
         """Per text: (ids as little-endian unsigned 32-bit integers, decoded bytes)."""
         rows = [list(self.segments(t)) for t in texts]
-        known = self.encode_chunks({c for row in rows for chunks, _ in row for c in chunks})
+        every: set = set()
+        for row in rows:
+            for chunks, _ in row:
+                every.update(chunks)
+        ids_of, text_of = self.encode_chunks(every)
         for row in rows:
             ids, text = [], []
             for chunks, special in row:
-                found = [known[c] for c in chunks]
-                ids += [f[0] for f in found]
-                text += [f[1] for f in found if f[1]]
+                if chunks:
+                    ids.append(b"".join(map(ids_of.__getitem__, chunks)))
+                    text.append(b" ".join(map(text_of.__getitem__, chunks)))
                 if special is not None:
                     one = self.special[special]
                     ids.append(one.to_bytes(4, "little"))
@@ -364,7 +368,7 @@ def load_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(raw)
 
 
-def _rows(batch, limit: int = 1 << 20):
+def _rows(batch, limit: int = 1 << 21):
     """Lists of (row number, text) of about ``limit`` characters."""
     part, size = [], 0
     for i, value in enumerate(batch.column("text")):
