@@ -226,18 +226,24 @@ def mix(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float
 
 
 def repeat(spark: SparkSession, docs: DataFrame, cap: int = 3, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it has copies, all columns kept."""
+    """The mix itself: each row of ``docs`` as often as it has copies, all columns kept.
+
+    Rows that repeat id, text and source lie in one cell, so their copies differ by one at
+    most: all get the least, and the first few of them one more.  The texts are
+    shuffled once, by the key that numbers such rows and meets their copies.
+    """
     path = work_dir(spark, "mix-rows")
-    keys = ["_tf_id", "_tf_text"]
-    n = Window.partitionBy(*keys).orderBy(F.lit(1))
-    copies = mix(spark, docs, cap, weights).select(F.col("doc_id").alias("_tf_id"), F.col("text_key").alias("_tf_text"), "copies")
-    copies = stored(copies.withColumn("_tf_n", F.row_number().over(Window.partitionBy(*keys).orderBy("copies"))), f"{path}/copies")
-    rows = docs.withColumns({"_tf_id": F.col("doc_id"), "_tf_text": F.xxhash64(whole_text())}).withColumn("_tf_n", F.row_number().over(n))
-    other = copies.select(*[F.col(k).alias(f"{k}_c") for k in [*keys, "_tf_n"]], F.col("copies").alias("_tf_copies"))
-    same = [F.col(k).eqNullSafe(F.col(f"{k}_c")) for k in [*keys, "_tf_n"]]
-    on = same[0] & same[1] & same[2]
-    joined = rows.join(other, on)
-    return joined.where("_tf_copies > 0").withColumn("_tf_copy", F.explode(F.sequence(F.lit(1), F.col("_tf_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = ["_tf_id", "_tf_text", "_tf_source"]
+    an_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # no null, which a join would not match
+    mine = mix(spark, docs, cap, weights).select(an_id.alias("_tf_id"), F.col("text_key").alias("_tf_text"), _source_key(F.col("source")).alias("_tf_source"), "copies")
+    least = F.min("copies")
+    copies = mine.groupBy(*key).agg(least.alias("_tf_least"), (F.sum("copies") - F.count("*") * least).alias("_tf_more"))
+    copies = stored(copies, f"{path}/copies")
+    rows = docs.withColumns({"_tf_id": an_id, "_tf_text": F.xxhash64(whole_text()), "_tf_source": _source_key(F.col("source"))})
+    rows = rows.withColumn("_tf_n", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))))
+    times = F.col("_tf_least") + (F.col("_tf_n") <= F.col("_tf_more")).cast("long")
+    joined = rows.join(copies, key).withColumn("_tf_times", times.cast("int")).where("_tf_times > 0")
+    return joined.withColumn("_tf_copy", F.explode(F.sequence(F.lit(1), F.col("_tf_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
