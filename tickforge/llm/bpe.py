@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, worker_cache
+from .common import table, to_workers, whole_text, worker_cache
 
 #: White space of the vocabulary's patterns, code points spelt out.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -405,7 +405,7 @@ def _encoded(docs: DataFrame, vocabulary, with_ids: bool) -> DataFrame:
 
     keep = docs.schema.names if with_ids else ["doc_id"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return docs.mapInArrow(run, f"{fields}, _tf_n long, _tf_ids array<int>, _tf_ids_sha string, _tf_text_sha string")
+    return to_workers(docs, run, f"{fields}, _tf_n long, _tf_ids array<int>, _tf_ids_sha string, _tf_text_sha string")
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
@@ -439,7 +439,7 @@ def decode_documents(spark: SparkSession, encoded: DataFrame, path: str) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "token_ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return to_workers(encoded.select("doc_id", "token_ids"), run, f"doc_id {kind}, text string")
 
 
 def default_path() -> str:

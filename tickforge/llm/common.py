@@ -21,20 +21,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Rows of an Arrow batch while a result is stored: whole texts and sets are wide rows.
+#: Rows of an Arrow batch: whole texts, sets and vectors are wide rows.
 BATCH_ROWS = 2000
 
 
+def to_workers(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of at most BATCH_ROWS rows, for the rest of the session: results are
+    lazy, and the size counts when they run."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH)) <= BATCH_ROWS:
+        conf.set(BATCH, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage, and a lost
     executor costs a re-read instead of a recomputation."""
-    conf = df.sparkSession.conf
-    before = conf.get(BATCH)
-    conf.set(BATCH, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
-    try:
-        df.write.mode("overwrite").parquet(path)
-    finally:
-        conf.set(BATCH, before)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -86,11 +89,27 @@ def worker_cache(key, build):
     store = sys.modules.setdefault("_tickforge_worker_cache", types.ModuleType("_tickforge_worker_cache"))
     if getattr(store, "owner", None) != key[0]:
         store.owner, store.values = key[0], {}
+        _give_back()
     if key not in store.values:
         store.values[key] = build()
     return store.values[key]
 
 
+def _give_back() -> None:
+    """Hands freed memory of a worker back to the system; workers live on between stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def key_runs(batches, names: list[str]):
     """For Arrow batches sorted by the named columns: lists of tables, each all rows of
     one key.  A run that spans batches is held until its end."""

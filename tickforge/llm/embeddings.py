@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_runs, stored, table, work_dir
+from .common import key_runs, stored, table, to_workers, work_dir
 from .graph import connected_components
 
 THRESHOLD = 0.98
@@ -52,7 +52,7 @@ def _classes(vectors: DataFrame) -> DataFrame:
             )
 
     src = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
-    return src.mapInArrow(run, "vec_id long, class binary, label string, vec array<double>")
+    return to_workers(src, run, "vec_id long, class binary, label string, vec array<double>")
 
 
 def _unit(rows) -> np.ndarray:
@@ -108,7 +108,7 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
                 [*batch.columns, pa.array(dims), pa.array(near, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], [*batch.schema.names, "dim", "near", "keys"]
             )
 
-    return classes.select("class", "label", "n", "vec").mapInArrow(run, "class binary, label string, n long, vec array<double>, dim int, near array<long>, keys array<long>")
+    return to_workers(classes.select("class", "label", "n", "vec"), run, "class binary, label string, n long, vec array<double>, dim int, near array<long>, keys array<long>")
 
 
 def _linked(lists: DataFrame, pivots: dict[int, int], threshold: float, shared: int) -> DataFrame:
@@ -167,7 +167,7 @@ def _linked(lists: DataFrame, pivots: dict[int, int], threshold: float, shared:
                 yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.binary()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.binary())], ["class", "n_links", "root"])
 
     by = ["label", "dim", "key", "low", "high"]
-    return lists.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by).mapInArrow(run, "class binary, n_links long, root binary")
+    return to_workers(lists.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by), run, "class binary, n_links long, root binary")
 
 
 def near_duplicates(

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import row_chunks, table, text_buffers, worker_cache
+from .common import row_chunks, table, text_buffers, to_workers, worker_cache
 
 UND = "und"
 #: Bounds of the training sample: rows and symbols per language, symbols in all.
@@ -274,7 +274,7 @@ def predict(docs: DataFrame, samples: dict[str, str], keep_columns: bool = False
 
     src = docs if keep_columns else docs.select("doc_id", "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema) if keep_columns else f"doc_id {src.schema['doc_id'].dataType.simpleString()}"
-    return src.mapInArrow(run, f"{fields}, _tf_lang string, _tf_score double, _tf_bits double")
+    return to_workers(src, run, f"{fields}, _tf_lang string, _tf_score double, _tf_bits double")
 
 
 def held_out(doc_id):

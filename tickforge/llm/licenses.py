@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import ALNUM, WordHasher
-from .common import row_chunks, table, text_buffers, whole_text, worker_cache
+from .common import row_chunks, table, text_buffers, to_workers, whole_text, worker_cache
 
 #: Words of a notice that look it up, its rarest; hits that place it; part of its weight that must match.
 ANCHORS, VOTES, COVERAGE = 8, 2, 0.6
@@ -232,7 +232,7 @@ def document_frequencies(docs: DataFrame, templates: tuple[Template, ...]) -> tu
                 n += b - a
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(count))), pa.array(np.append(n, count))], ["word", "n"])
 
-    got = docs.select(whole_text().alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    got = to_workers(docs.select(whole_text().alias("text")), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in got}
     return counts.pop(-1, 0), counts
 
@@ -288,7 +288,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans {SPANS}"
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
+    return to_workers(docs.select("doc_id", whole_text().alias("text")), run, schema)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

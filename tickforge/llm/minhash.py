@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import NON_SPACE, WordHasher, mix64
-from .common import row_chunks, stored, table, text_buffers, whole_text, work_dir, worker_cache
+from .common import row_chunks, stored, table, text_buffers, to_workers, whole_text, work_dir, worker_cache
 from .graph import connected_components
 
 WORDS = 5
@@ -138,7 +138,7 @@ def signatures(docs: DataFrame, words: int, rows: int, collections: int) -> Data
                 )
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return src.mapInArrow(run, "doc_id long, n_shingles long, class binary, groups array<long>, marks binary")
+    return to_workers(src, run, "doc_id long, n_shingles long, class binary, groups array<long>, marks binary")
 
 
 def slot_filter(ids: DataFrame, per_id: int = 16, most: int = FILTER_BITS):
@@ -182,7 +182,7 @@ def shingle_sets(docs: DataFrame, words: int, ids: DataFrame) -> DataFrame:
                 )
 
     slot = F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(slots)))
-    return docs.select("text", slot.alias("slot")).mapInArrow(run, "class binary, shingles array<long>")
+    return to_workers(docs.select("text", slot.alias("slot")), run, "class binary, shingles array<long>")
 
 
 def _routed(classes: DataFrame) -> DataFrame:
@@ -313,7 +313,7 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
             yield from emit(held)
 
     dealt = rows.repartition(*[F.col(c) for c in names]).sortWithinPartitions(*names, "class")
-    return dealt.mapInArrow(run, "a binary, b binary, sure boolean")
+    return to_workers(dealt, run, "a binary, b binary, sure boolean")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:

@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table, whole_text, work_dir, worker_cache
+from .common import stored, table, to_workers, whole_text, work_dir, worker_cache
 
 #: Lengths of one block of the two-level sums.
 SPAN = 1024
@@ -44,7 +44,7 @@ def encoded_lengths(spark: SparkSession, docs: DataFrame, ranks_path: str, patte
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long")
+    return to_workers(docs.select("doc_id", whole_text().alias("text")), run, f"doc_id {kind}, n_tokens long")
 
 
 def histogram(lengths: DataFrame) -> DataFrame:

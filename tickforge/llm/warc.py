@@ -19,7 +19,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, work_dir
+from .common import stored, table, to_workers, work_dir
 
 #: Smallest payload that is worth a revisit record, in bytes.
 LEAST_REVISIT = 100
@@ -156,7 +156,7 @@ def write_monolithic(pages: DataFrame, root: str) -> DataFrame:
             filesystem.move(part, f"{base}/{name}")
 
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return src.mapInArrow(run, "file string, ordinal long, page_id long, payload_digest string, payload_bytes long")
+    return to_workers(src, run, "file string, ordinal long, page_id long, payload_digest string, payload_bytes long")
 
 
 def plan_revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -281,7 +281,7 @@ def read_records(index: DataFrame, root: str) -> DataFrame:
             yield emit()
 
     schema = "page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
-    return by_file(index.select("file", "offset", "length")).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    return to_workers(by_file(index.select("file", "offset", "length")).sortWithinPartitions("file", "offset"), run, schema)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, root: str, least: int = LEAST_REVISIT) -> DataFrame:
