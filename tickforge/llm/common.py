@@ -111,25 +111,36 @@ def _give_back() -> None:
 
 
 def key_runs(batches, names: list[str]):
-    """For Arrow batches sorted by the named columns: lists of tables, each all rows of
-    one key.  A run that spans batches is held until its end."""
+    """For Arrow batches sorted by the named columns: (table, first row of each key), where
+    all rows of a key are in one table.  A key that spans batches is held until its end."""
     import numpy as np
     import pyarrow as pa
 
+    def starts(t):
+        change = np.zeros(max(0, t.num_rows - 1), bool)
+        for c in names:
+            values = t.column(c).to_numpy()
+            change |= values[1:] != values[:-1]
+        return np.concatenate([[0], np.flatnonzero(change) + 1])
+
     held = None
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        held = t if held is None else pa.concat_tables([held, t])
-        if held.num_rows == 0:
+        if batch.num_rows == 0:
             continue
-        held = held.combine_chunks()
-        change = np.zeros(held.num_rows - 1, bool)
-        for c in names:
-            values = held.column(c).to_numpy(zero_copy_only=False)
-            change |= values[1:] != values[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
-        if len(cuts) > 1:
-            yield [held.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        held = held.slice(cuts[-1])
-    if held is not None and held.num_rows:
-        yield [held]
+        held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        first = starts(held)
+        if len(first) > 1:
+            yield held.slice(0, int(first[-1])), first[:-1]
+            held = held.slice(int(first[-1]))
+    if held is not None:
+        yield held, starts(held)
+
+
+def pairs_within(sizes):
+    """Index pairs (lesser, greater) within consecutive runs of the given sizes."""
+    import numpy as np
+
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    after = sizes[run] - 1 - (np.arange(len(run)) - (np.cumsum(sizes) - sizes)[run])
+    left = np.repeat(np.arange(len(run)), after)
+    return left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_runs, stored, table, to_workers, work_dir
+from .common import key_runs, pairs_within, stored, table, to_workers, work_dir
 from .graph import connected_components
 
 THRESHOLD = 0.98
@@ -29,6 +29,8 @@ PIVOTS, SAMPLE, APART = 128, 1024, 0.9
 NEAREST = 6
 #: A longer list is dealt into blocks of about this many classes.
 BLOCK = 512
+#: Runs of up to so many rows are compared together.
+SHORT = 48
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
@@ -39,9 +41,11 @@ def _classes(vectors: DataFrame) -> DataFrame:
 
         for batch in batches:
             keys, vecs = [], []
-            for label, value in zip(batch.column("label").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
-                v = None if label is None or not value or None in value else np.asarray(value, np.float64) + 0.0
-                if v is None or not np.isfinite(v).all() or not v.any():
+            column = batch.column("embedding")
+            for label, value in zip(batch.column("label").to_pylist(), column, strict=True):
+                known = label is not None and value.values is not None and not value.values.null_count
+                v = value.values.to_numpy() + 0.0 if known else np.zeros(0)
+                if not (v.any() and np.isfinite(v).all()):
                     keys.append(None)
                     vecs.append(None)
                 else:
@@ -111,38 +115,63 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
     return to_workers(classes.select("class", "label", "n", "vec"), run, "class binary, label string, n long, vec array<double>, dim int, near array<long>, keys array<long>")
 
 
+def _near_pairs(vec, low, high, own, first_rows, threshold: float):
+    """Index pairs (i, j) of rows of the same run that reach the threshold; in a run of two
+    blocks, one from each.  Short runs are compared pair by pair together, long ones as matrices."""
+    sizes = np.diff(np.append(first_rows, len(vec)))
+    short = sizes <= SHORT
+    rows = np.flatnonzero(np.repeat(short, sizes))
+    left, right = pairs_within(sizes[short])
+    for s in range(0, max(1, len(left)), 1 << 13):
+        i, j = rows[left[s : s + (1 << 13)]], rows[right[s : s + (1 << 13)]]
+        ok = (low[i] == high[i]) | (own[i] != own[j])
+        i, j = i[ok], j[ok]
+        ok = np.einsum("ij,ij->i", vec[i], vec[j]) >= threshold
+        yield i[ok], j[ok]
+    for first, size in zip(first_rows[~short], sizes[~short], strict=True):
+        run = np.arange(first, first + size)
+        a = run[own[run] == low[first]]
+        same = low[first] == high[first]
+        b = a if same else run[own[run] == high[first]]
+        i, j = np.nonzero(vec[a] @ vec[b].T >= threshold)
+        if same:
+            i, j = i[i < j], j[i < j]
+        yield a[i], b[j]
+
+
 def _linked(lists: DataFrame, pivots: dict[int, int], threshold: float, shared: int) -> DataFrame:
-    """(class, n_links, root): per block and class, the vectors linked there and the least
-    class that its links in the block reach.  A pair counts in the list of its two least shared pivots."""
+    """(class, n_links, root): per run and class, the vectors linked there and the least
+    class that its links in the run reach.  A pair counts in the list of its two least shared pivots."""
+    by = ["label", "dim", "key", "low", "high"]
 
-    def links(t):
+    def links(t, first_rows):
+        dim = t.column("dim")[0].as_py()
         cls = t.column("class").to_pylist()
-        vec = _unit(t.column("vec").to_pylist())
-        near = np.array(t.column("near").to_pylist(), np.int64).view(np.uint64)
-        weight, own = t.column("n").to_numpy(), t.column("own").to_numpy()
-        low, high, key = (t.column(c)[0].as_py() for c in ("low", "high", "key"))
-        a = np.flatnonzero(own == low)
-        b = a if low == high else np.flatnonzero(own == high)
-        i, j = np.nonzero(vec[a] @ vec[b].T >= threshold)
-        if low == high:
-            i, j = i[i < j], j[i < j]
-        i, j = a[i], b[j]
-        p, q = divmod(key, pivots[len(vec[0])])
-        below = np.zeros(near.shape[1], np.uint64)  # pivots up to q, but for p and q
-        for x in range(q):
-            if x != p:
-                below[x // 64] |= np.uint64(1) << np.uint64(x % 64)
+        vec = _unit(t.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, dim))
+        near = t.column("near").combine_chunks().flatten().to_numpy().reshape(len(cls), -1).view(np.uint64)
+        low, high, own, key, weight = (t.column(c).to_numpy() for c in ("low", "high", "own", "key", "n"))
+        i, j = (np.concatenate(x) for x in zip(*_near_pairs(vec, low, high, own, first_rows, threshold), strict=True))
+        # In this list iff no pivot below the list's second one is shared but its first.
+        n = pivots[dim]
+        below = np.zeros((n + 1, near.shape[1]), np.uint64)
+        for x in range(n):
+            below[x + 1] = below[x]
+            below[x + 1, x // 64] |= np.uint64(1) << np.uint64(x % 64)
+        p, q = key[i] // n, key[i] % n
         both = near[i] & near[j]
-        ok = ~(both & below).any(axis=1)
+        earlier = both & below[q]
+        at = np.arange(len(i))
+        earlier[at, p // 64] &= ~(np.uint64(1) << (p % 64).astype(np.uint64))
+        ok = ~earlier.any(axis=1)
         if shared > 2:
             ok &= np.bitwise_count(both).sum(axis=1) >= shared
         i, j = i[ok], j[ok]
-        if not len(i):
-            return None
         count = np.zeros(len(cls), np.int64)
         np.add.at(count, i, weight[j])
         np.add.at(count, j, weight[i])
-        rank = np.argsort(np.argsort(np.array(cls, object), kind="stable"), kind="stable")
+        by_rank = sorted(range(len(cls)), key=cls.__getitem__)
+        rank = np.empty(len(cls), np.int64)
+        rank[by_rank] = np.arange(len(cls))
         while True:  # least rank along links
             least = rank.copy()
             np.minimum.at(least, i, rank[j])
@@ -150,23 +179,21 @@ def _linked(lists: DataFrame, pivots: dict[int, int], threshold: float, shared:
             if (least == rank).all():
                 break
             rank = least
-        by_rank = sorted(cls)
         some = np.flatnonzero(count)
-        return [cls[x] for x in some], count[some], [by_rank[rank[x]] for x in some]
+        return [cls[x] for x in some], count[some], [cls[by_rank[rank[x]]] for x in some]
 
     def run(batches):
         import pyarrow as pa
 
-        for t in key_runs(batches, ["label", "dim", "key", "low", "high"]):
-            got = ([], [], [])
-            for part in t:
-                if part.num_rows > 1 and (found := links(part)) is not None:
-                    for x, y in zip(got, found, strict=True):
-                        x.extend(y)
-            if got[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.binary()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.binary())], ["class", "n_links", "root"])
+        for t, first_rows in key_runs(batches, by):
+            dims = t.column("dim").to_numpy()
+            # Runs of one length of vectors at a time; a table holds several only where labels change.
+            cuts = [0, *(np.flatnonzero(dims[1:] != dims[:-1]) + 1).tolist(), t.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                got = links(t.slice(a, b - a), first_rows[(first_rows >= a) & (first_rows < b)] - a)
+                if got[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.binary()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.binary())], ["class", "n_links", "root"])
 
-    by = ["label", "dim", "key", "low", "high"]
     return to_workers(lists.repartition(*[F.col(c) for c in by]).sortWithinPartitions(*by), run, "class binary, n_links long, root binary")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import NON_SPACE, WordHasher, mix64
-from .common import row_chunks, stored, table, text_buffers, to_workers, whole_text, work_dir, worker_cache
+from .common import key_runs, pairs_within, row_chunks, stored, table, text_buffers, to_workers, whole_text, work_dir, worker_cache
 from .graph import connected_components
 
 WORDS = 5
@@ -198,14 +198,6 @@ def _routed(classes: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_within(sizes):
-    """Index pairs (lesser, greater) within consecutive runs of the given sizes."""
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    after = sizes[run] - 1 - (np.arange(len(run)) - (np.cumsum(sizes) - sizes)[run])
-    left = np.repeat(np.arange(len(run)), after)
-    return left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
-
-
 class _Forest:
     """Union-find over a block, to leave out pairs whose ends are joined already."""
 
@@ -239,14 +231,12 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
     def run(batches):
         import pyarrow as pa
 
-        def candidates(t):
+        def candidates(t, first_rows):
             value, low, high, own, n = (t.column(c).to_numpy() for c in ("value", "low", "high", "own", "n_shingles"))
             label = np.array(t.column("label").to_pylist(), object)
             groups = t.column("groups").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
             marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(len(n), -1)
-            new = np.ones(len(n), bool)
-            new[1:] = (value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            left, right = _pairs_within(np.diff(np.append(np.flatnonzero(new), len(n))))
+            left, right = pairs_within(np.diff(np.append(first_rows, len(n))))
             width = marks.shape[1]
             least = width * (threshold - ERRORS * (threshold * (1 - threshold) / width) ** 0.5)
             for s in range(0, max(1, len(left)), 1 << 15):  # once even without pairs
@@ -262,8 +252,8 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
                 ok = same >= least
                 yield i[ok], j[ok], same[ok]
 
-        def best(t):
-            i, j, same = (np.concatenate(x) for x in zip(*candidates(t), strict=True))
+        def best(t, first_rows):
+            i, j, same = (np.concatenate(x) for x in zip(*candidates(t, first_rows), strict=True))
             cls = np.array(t.column("class").to_pylist(), object)
             order = np.lexsort((cls[j], cls[i], same)) if len(i) else np.zeros(0, np.int64)
             rank = np.empty(len(order), np.int64)
@@ -274,13 +264,13 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
             take = order[np.unique(top[top >= 0])]
             return [(cls[x], cls[y], False) for x, y in zip(i[take], j[take], strict=True)]
 
-        def rest(t):
+        def rest(t, first_rows):
             cls, label = t.column("class").to_pylist(), t.column("label").to_pylist()
             column = t.column("shingles").combine_chunks()
             have = column.is_valid().to_numpy(zero_copy_only=False)
             flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
             forest, out = _Forest(), []
-            for i, j, same in candidates(t):
+            for i, j, same in candidates(t, first_rows):
                 for k in np.argsort(-same, kind="stable").tolist():
                     x, y = int(i[k]), int(j[k])
                     if not (have[x] and have[y]):
@@ -293,25 +283,11 @@ def _candidates(rows: DataFrame, threshold: float, best_only: bool) -> DataFrame
                             out.append((cls[x], cls[y], True))
             return out
 
-        def emit(t):
-            if t.num_rows > 1 and (found := best(t) if best_only else rest(t)):
+        for t, first_rows in key_runs(batches, names):
+            if t.num_rows > 1 and (found := (best if best_only else rest)(t, first_rows)):
                 a, b, sure = zip(*[(min(x, y), max(x, y), z) for x, y, z in found], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(sure, pa.bool_())], ["a", "b", "sure"])
 
-        held = None
-        for batch in batches:
-            held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            change = np.zeros(max(0, held.num_rows - 1), bool)
-            for c in names:
-                keys = held.column(c).to_numpy()
-                change |= keys[1:] != keys[:-1]
-            cut = np.flatnonzero(change)
-            if len(cut):
-                yield from emit(held.slice(0, int(cut[-1]) + 1))
-                held = held.slice(int(cut[-1]) + 1)
-        if held is not None and held.num_rows:
-            yield from emit(held)
-
     dealt = rows.repartition(*[F.col(c) for c in names]).sortWithinPartitions(*names, "class")
     return to_workers(dealt, run, "a binary, b binary, sure boolean")
 
