@@ -123,7 +123,8 @@ def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip", chunk_byt
                         with zipfile.ZipFile(fh) as zf:
                             broken = zf.testzip()
                         error = f"BadZipFile: {broken}" if broken else None
-                    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as exc:
+                    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, pa.ArrowInvalid) as exc:
+                        # What the bytes say; a file too short to hold an archive gives ArrowInvalid.
                         error = f"{type(exc).__name__}: {exc}"
                     if error is not None:
                         yield rows(archive, None, 0, pa.nulls(1, pa.string()), error)
