@@ -82,3 +82,23 @@ def test_sample_is_bounded_and_the_same_again(spark):
     a = L.learn(docs, rows_per_lang=20, chars_per_lang=2000)
     assert set(a) == {"en", "de", "fr", "es"} and all(len(v) <= 2000 + 20 for v in a.values())
     assert a == L.learn(docs.repartition(7), rows_per_lang=20, chars_per_lang=2000)
+
+
+def test_a_label_with_hardly_a_letter_takes_no_documents(spark):
+    """An empty, a digit-only and a two-letter row under a rare label are no cheap parse."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    learnt = [i for i in range(10**6, 10**6 + 99) if zlib.crc32(str(i).encode()) % 4 != 2]
+    foreign = "日本語の文章です " * 40 + "the house and a garden with trees " * 5
+    for texts in ([""], ["12 34 !!"], ["ok"], ["", "12 34 !!", "ok"], ["the ok of a"]):
+        rare = [(i, t, "aa") for i, t in zip(learnt, texts)] + [(learnt[-1], foreign, None)]
+        got = L.identify(spark, docs.unionByName(spark.createDataFrame(rare, docs.schema))).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
+        held = [r for r in got if r["held_out"] and r["lang"]]
+        assert len(held) > 100 and sum(r["lang_pred"] == r["lang"] for r in held) / len(held) > 0.97, texts
+        assert next(r for r in got if r["doc_id"] == learnt[-1])["lang_pred"] != "aa", texts
+
+
+def test_letterless_rows_do_not_use_up_the_sample(spark):
+    rows = [(i, "12 34", "de", "s", 0) for i in range(60)] + [(100 + i, f"{'7' * 300} der Garten {i}", "de", "s", 0) for i in range(3)]
+    got = L.learn(odd.frame(spark, rows, clash=False), rows_per_lang=3, chars_per_lang=256)
+    assert sorted(got["de"].split("\n")) == [f"der Garten {i}" for i in range(3)]
+    assert L.learn(odd.frame(spark, rows[:60], clash=False)) == {} and L.Model({"x": "12", "y": "ab"}).langs == ["y"]

@@ -7,7 +7,9 @@ length, which is the cost of naming a place in it, so
 
     bits(language) = phrases * log2(sample length) / text length
 
-estimates the cross entropy, and the language with the fewest bits wins.
+estimates the cross entropy, and the language with the fewest bits wins.  A phrase
+weighs no less than a symbol spelt out, and a symbol that the language's sample lacks
+weighs the same in all languages, so that a label with little text is no cheap parse.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ OWN_LETTERS, HASHED = 120, 64
 #: A text is parsed in strides of so many symbols, each from the automaton's root.
 STRIDE = 256
 LANES = 4096
+#: Bits of a symbol spelt out.
+SPELT = math.log2(OWN_LETTERS + HASHED + 1)
 
 
 def _letters():
@@ -140,8 +144,11 @@ class Model:
 
         from collections import Counter
 
-        self.langs = sorted(samples)
-        texts = {k: self._fold(samples[k]) for k in self.langs}
+        texts = {k: self._fold(samples[k]) for k in sorted(samples)}
+        # A label without any letter is no language.
+        letter = letter_tables()[1]
+        self.langs = [k for k in texts if letter[texts[k]].any()]
+        texts = {k: texts[k] for k in self.langs}
         seen = Counter(c for t in texts.values() for c in t.tolist() if c)
         own = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:OWN_LETTERS]]
         others = HASHED if len(seen) > len(own) else 1
@@ -150,10 +157,15 @@ class Model:
         self.symbol[0] = 1
         self.symbol[own] = np.arange(2, 2 + len(own))
         self.parsers, self.cost = [], []
-        for k in self.langs:
+        self.lacks = np.ones((len(self.langs), self.width))
+        for i, k in enumerate(self.langs):
             symbols = self.symbol[texts[k]].tolist()
             self.parsers.append(SuffixAutomaton(symbols).parser(self.width))
-            self.cost.append(math.log2(len(symbols) + 2))
+            self.cost.append(max(SPELT, math.log2(len(symbols) + 2)))
+            self.lacks[i, symbols] = 0
+        self.lacks[:, 0] = 0
+        # What a lacking symbol weighs beyond a phrase, for the same weight in all languages.
+        self.lacks *= np.array([max(self.cost) - c for c in self.cost])[:, None] if self.cost else 0
 
     @staticmethod
     def _fold(text: str):
@@ -180,8 +192,9 @@ class Model:
                 out[i, a : a + LANES] = count
         return out
 
-    def bits(self, data, offsets):
-        """(bits per symbol as languages x rows, letters per row) of UTF-8 rows."""
+    def bits(self, data, offsets, level: bool = False):
+        """(bits per symbol as languages x rows, letters per row) of UTF-8 rows; ``level``
+        weighs the symbols that a sample lacks the same in all languages."""
         import numpy as np
 
         folded, bounds, letters = normalise(*code_points(data, offsets))
@@ -189,7 +202,7 @@ class Model:
         strides = -(-size // STRIDE)
         first = np.zeros(len(size) + 1, np.int64)
         np.cumsum(strides, out=first[1:])
-        total = np.zeros((len(self.langs), len(size)))
+        total, beyond = np.zeros((len(self.langs), len(size))), 0.0
         if first[-1]:
             grid = np.zeros((first[-1], STRIDE), np.uint8)
             row = np.repeat(np.arange(len(size)), size)
@@ -198,13 +211,16 @@ class Model:
             found = self.phrases(grid)
             some = np.flatnonzero(strides)
             total[:, some] = np.add.reduceat(found, first[some], axis=1)
-        return total * np.array(self.cost)[:, None] / np.maximum(size, 1), letters
+            if level and self.lacks.any():
+                cells = np.bincount(row * self.width + self.symbol[folded], minlength=len(size) * self.width)
+                beyond = self.lacks @ cells.reshape(len(size), self.width).T
+        return (total * np.array(self.cost)[:, None] + beyond) / np.maximum(size, 1), letters
 
     def predict(self, data, offsets):
         """Per row: language, score, bits.  Ties go to the first language by name."""
         import numpy as np
 
-        bits, letters = self.bits(data, offsets)
+        bits, letters = self.bits(data, offsets, level=True)
         if not self.langs:
             n = len(letters)
             return [UND] * n, np.zeros(n), np.zeros(n)
@@ -220,13 +236,14 @@ class Model:
 
 
 def learn(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG, chars_in_all: int = CHARS_IN_ALL) -> dict[str, str]:
-    """Sample text per language from labelled rows (doc_id, text, lang), null labels left out.
+    """Sample text per language from labelled rows (doc_id, text, lang), null labels and
+    texts without a letter left out; a text counts from its first letter.
 
     The rows with the smallest hashes, at most ``rows_per_lang`` distinct ones for
     each language, ranked within hash buckets first so that a language with most
     rows is not sorted in one task.  Only this bounded sample reaches the driver.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id", "text").alias("h"))
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id", "text").alias("h"))
     keys = rows.select("lang", "h").distinct().withColumn("bucket", F.pmod(F.col("h"), F.lit(64)))
     part = keys.withColumn("r", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy("h"))).where(F.col("r") <= rows_per_lang)
     top = part.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= rows_per_lang)
@@ -239,7 +256,7 @@ def learn(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lan
     samples: dict[str, list[str]] = {}
     room = dict.fromkeys(cuts, limit)
     # A row gives at most a fifth of the sample, so that one very long text is not all of it.
-    for r in chosen.select("lang", "h", F.substring("text", 1, limit // 5).alias("text")).orderBy("lang", "h").toLocalIterator():
+    for r in chosen.select("lang", "h", F.substring(F.regexp_replace("text", r"^\P{L}++", ""), 1, limit // 5).alias("text")).orderBy("lang", "h").toLocalIterator():
         if room[r["lang"]] > 0:
             samples.setdefault(r["lang"], []).append(r["text"][: room[r["lang"]]])
             room[r["lang"]] -= len(r["text"])
