@@ -88,6 +88,28 @@ def test_keep_one_keeps_all_columns(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute(rows, 80)})
 
 
+def test_keep_one_without_ids_and_with_repeated_ids(spark):
+    rng = random.Random(12)
+    base = {g: [f"{g}{rng.randrange(5000)}" for _ in range(80)] for g in "abcdef"}
+
+    def text(group, tail=""):
+        return " ".join([*base[group], *tail.split()])
+
+    rows = [(1, text("a")), (None, text("a", "x")), (2, text("a", "y"))]  # mixed ids: 1 stays
+    rows += [(None, text("b")), (None, text("b", "x")), (None, text("b", "y"))]  # no ids: any one
+    rows += [(None, text("c")), (None, "alone without an id")]  # both stay
+    rows += [(3, text("d")), (4, text("d", "x")), (3, text("a", "z")), (4, text("e"))]  # ids with two texts
+    rows += [(5, text("f")), (5, text("f")), (5, text("f", "x"))]  # repeated rows: any one
+    rows += [(6, ""), (6, None), (None, " "), (None, " ")]  # without words: all stay
+    df = odd.frame(spark, [(*r, "en", "s", i) for i, r in enumerate(rows)])
+    for part in (df, df.repartition(5)):
+        kept = M.keep_one(spark, part)
+        assert kept.columns == df.columns
+        got = sorted(r["n_chars"] for r in kept.collect())
+        assert len([i for i in got if 3 <= i <= 5]) == 1 and len([i for i in got if 12 <= i <= 14]) == 1
+        assert [i for i in got if not (3 <= i <= 5 or 12 <= i <= 14)] == [0, 6, 7, 8, 11, 15, 16, 17, 18]
+
+
 def test_words_and_groups():
     assert M.rows_for(0.85) == 6 and M.miss_probability(0.85, 6, 20) < 0.002
     s = M.Shingler(5)

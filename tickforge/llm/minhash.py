@@ -109,8 +109,14 @@ def _tools(words: int, rows: int, collections: int):
     return worker_cache(("minhash", words, rows, collections), lambda: (Shingler(words), Signer(rows, collections)))
 
 
+def text_digest():
+    """16 bytes that name a text, null counting as empty."""
+    return F.unhex(F.md5(whole_text()))
+
+
 def signatures(docs: DataFrame, words: int, rows: int, collections: int) -> DataFrame:
-    """(doc_id, n_shingles, class, groups, bytes) per document; class null for an empty set."""
+    """(doc_id, digest, n_shingles, class, groups, marks) per document; digest of the text,
+    class null for an empty set."""
 
     def run(batches):
         import pyarrow as pa
@@ -129,16 +135,17 @@ def signatures(docs: DataFrame, words: int, rows: int, collections: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
+                        batch.column("digest").slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(groups, pa.list_(pa.int64())),
                         pa.array(marks, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "class", "groups", "marks"],
+                    ["doc_id", "digest", "n_shingles", "class", "groups", "marks"],
                 )
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return to_workers(src, run, "doc_id long, n_shingles long, class binary, groups array<long>, marks binary")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), text_digest().alias("digest"))
+    return to_workers(src, run, "doc_id long, digest binary, n_shingles long, class binary, groups array<long>, marks binary")
 
 
 def slot_filter(ids: DataFrame, per_id: int = 16, most: int = FILTER_BITS):
@@ -303,17 +310,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     return checked.select("a", "b").unionByName(pairs.where("sure").select("a", "b"))
 
 
-def near_duplicates(
-    spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, collections: int = COLLECTIONS, rows: int | None = None
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Links documents whose shingle sets reach the Jaccard ``threshold``; a component
-    holds all that links reach.  Null, empty and blank texts have an empty set and
-    link with nothing; equal non-empty sets always link.  Rows that repeat an id
-    share its component.  component_id is the smallest non-null doc_id reachable
-    (null if there is none); kept says doc_id = component_id, null-safe.
-    """
+def _components(spark: SparkSession, docs: DataFrame, threshold: float, words: int, collections: int, rows: int | None) -> DataFrame:
+    """(doc_id, digest, n_shingles, component, component_id) per document; component is
+    the smallest class reachable, null for an empty set."""
     percent = round(threshold * 100, 6)
     rows = rows or rows_for(threshold, collections)
     path = work_dir(spark, "minhash")
@@ -354,22 +353,49 @@ def near_duplicates(
     members = classes.select("class", "doc_id").join(labels.select(F.col("node").alias("class"), "component"), "class", "left")
     members = members.withColumn("component", F.coalesce("component", "class"))
     least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = stored(members.join(least, "component").select("class", "component_id"), f"{path}/named")
-    full = signed.where(F.col("class").isNotNull()).select("doc_id", "n_shingles", "class").join(named, "class").select("doc_id", "n_shingles", "component_id")
-    empty = signed.where(F.col("class").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = stored(members.join(least, "component").select("class", "component", "component_id"), f"{path}/named")
+    full = signed.where(F.col("class").isNotNull()).select("doc_id", "digest", "n_shingles", "class").join(named, "class").drop("class")
+    empty = signed.where(F.col("class").isNull()).select("doc_id", "digest", "n_shingles", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty)
+
+
+def near_duplicates(
+    spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, collections: int = COLLECTIONS, rows: int | None = None
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Links documents whose shingle sets reach the Jaccard ``threshold``; a component
+    holds all that links reach.  Null, empty and blank texts have an empty set and
+    link with nothing; equal non-empty sets always link.  Rows that repeat an id
+    with another text are in the component of their text.  component_id is the
+    smallest non-null doc_id reachable (null if there is none); kept says doc_id =
+    component_id, null-safe.
+    """
+    got = _components(spark, docs, threshold, words, collections, rows).select("doc_id", "n_shingles", "component_id")
+    return got.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose document stays: one of each group of near duplicates.
+    """One row of ``docs`` for each group of near duplicates, and all rows without words.
 
-    Rows without a doc_id have no component of their own and all stay when no
-    other row of their group has an id.
+    The row with the smallest doc_id stays, one without an id only if none of the
+    group has one; then the one with the smallest text digest, and one of rows that
+    repeat both.
     """
     path = work_dir(spark, "near-keep")
-    kept = near_duplicates(spark, docs, threshold).where("kept").select(F.col("doc_id").alias("_tf_id")).distinct()
-    kept = stored(kept, f"{path}/kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_tf_id")), "left_semi")
+    rows = _components(spark, docs, threshold, WORDS, COLLECTIONS, None)
+    blank = rows.where(F.col("component").isNull()).select("doc_id", "digest").distinct().withColumn("n", F.lit(1).cast("long"))
+    texts = rows.where(F.col("component").isNotNull()).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("n"))
+    least = texts.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n")).alias("least"))
+    kept = least.select("least.doc_id", "least.digest", "least.n").unionByName(blank)
+    kept = stored(kept.select(F.col("doc_id").alias("_tf_id"), F.col("digest").alias("_tf_digest"), F.col("n").alias("_tf_n")), f"{path}/kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_tf_id")) & (text_digest() == F.col("_tf_digest"))
+    once = docs.join(kept.where("_tf_n = 1"), same, "left_semi")
+    repeated = kept.where("_tf_n > 1")
+    if repeated.isEmpty():
+        return once
+    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_tf_row")
+    return once.unionByName(docs.join(repeated, same).groupBy("_tf_id", "_tf_digest").agg(row).select("_tf_row.*"))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
