@@ -102,3 +102,11 @@ def test_letterless_rows_do_not_use_up_the_sample(spark):
     got = L.learn(odd.frame(spark, rows, clash=False), rows_per_lang=3, chars_per_lang=256)
     assert sorted(got["de"].split("\n")) == [f"der Garten {i}" for i in range(3)]
     assert L.learn(odd.frame(spark, rows[:60], clash=False)) == {} and L.Model({"x": "12", "y": "ab"}).langs == ["y"]
+
+
+def test_documents_with_letters_stay_where_nothing_was_learned(spark):
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2)
+    texts = [(100, "some text", None, "s", 0), (101, "日本語", None, "s", 0), (102, "12 !!", None, "s", 0), (103, None, None, "s", 0), (104, "", None, "s", 0)]
+    for more in ([], [(held, "a labelled text that is held out", "en", "s", 0)], [(105, "12", "en", "s", 0)]):
+        kept = L.drop_unidentified(spark, odd.frame(spark, texts + more, clash=False))
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted([100, 101] + [r[0] for r in more if r[0] == held])

@@ -217,13 +217,13 @@ class Model:
         return (total * np.array(self.cost)[:, None] + beyond) / np.maximum(size, 1), letters
 
     def predict(self, data, offsets):
-        """Per row: language, score, bits.  Ties go to the first language by name."""
+        """Per row: language, score, bits, letters.  Ties go to the first language by name."""
         import numpy as np
 
         bits, letters = self.bits(data, offsets, level=True)
         if not self.langs:
             n = len(letters)
-            return [UND] * n, np.zeros(n), np.zeros(n)
+            return [UND] * n, np.zeros(n), np.zeros(n), letters
         best = bits.argmin(axis=0)
         least = bits.min(axis=0)
         if len(self.langs) > 1:
@@ -232,7 +232,7 @@ class Model:
         else:
             score = np.ones(len(best))
         known = letters > 0
-        return [self.langs[b] if k else UND for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0), np.where(known, least, 0.0)
+        return [self.langs[b] if k else UND for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0), np.where(known, least, 0.0), letters
 
 
 def learn(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG, chars_in_all: int = CHARS_IN_ALL) -> dict[str, str]:
@@ -264,7 +264,7 @@ def learn(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lan
 
 
 def predict(docs: DataFrame, samples: dict[str, str], keep_columns: bool = False) -> DataFrame:
-    """Adds lang_pred, score and bits to (doc_id, text), or to all columns of ``docs``.
+    """Adds _tf_lang, _tf_score, _tf_bits and _tf_letters to doc_id, or to all columns of ``docs``.
 
     ``und`` with score 0 where the text is null or has no letter, and where no
     language was learned.  ``score`` is second / (best + second) of the bits per
@@ -280,18 +280,18 @@ def predict(docs: DataFrame, samples: dict[str, str], keep_columns: bool = False
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for a, b in row_chunks(offsets, 1 << 19):
-                lang, score, bits = model.predict(data, offsets[a : b + 1])
+                lang, score, bits, letters = model.predict(data, offsets[a : b + 1])
                 part = batch.slice(a, b - a)
                 columns = part.columns if keep_columns else [part.column("doc_id")]
                 names = part.schema.names if keep_columns else ["doc_id"]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(lang, pa.string()), pa.array(np.asarray(score, np.float64)), pa.array(np.asarray(bits, np.float64))],
-                    [*names, "_tf_lang", "_tf_score", "_tf_bits"],
+                    [*columns, pa.array(lang, pa.string()), pa.array(np.asarray(score, np.float64)), pa.array(np.asarray(bits, np.float64)), pa.array(letters, pa.int64())],
+                    [*names, "_tf_lang", "_tf_score", "_tf_bits", "_tf_letters"],
                 )
 
     src = docs if keep_columns else docs.select("doc_id", "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema) if keep_columns else f"doc_id {src.schema['doc_id'].dataType.simpleString()}"
-    return to_workers(src, run, f"{fields}, _tf_lang string, _tf_score double, _tf_bits double")
+    return to_workers(src, run, f"{fields}, _tf_lang string, _tf_score double, _tf_bits double, _tf_letters long")
 
 
 def held_out(doc_id):
@@ -308,10 +308,11 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Pipeline stage: documents whose text has no language (null, or without a letter) go."""
+    """Pipeline stage: documents whose text has no language (null, or without a letter) go.
+    The others stay, also where no language was learned."""
     known = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
     got = predict(docs, learn(known), keep_columns=True)
-    return got.where(F.col("_tf_lang") != UND).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return got.where(F.col("_tf_letters") > 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
