@@ -74,6 +74,18 @@ def test_decoding_in_pieces(own):
     assert cut.feed([int(own.first["é".encode()[0]])]) == "" and cut.finish() == "�"
 
 
+def test_decoded_bytes_come_from_the_finished_ids(own, library, monkeypatch):
+    monkeypatch.setattr(B, "DECODED", 3)
+    texts = ["some words of a text, café 日本語", "<|endoftext|>x<|startoftext|> a", ""]
+    check(own, library, texts)
+    whole = B.Tokenizer.encode_ids
+    monkeypatch.setattr(B.Tokenizer, "encode_ids", lambda self, texts: (ids[4:] for ids in whole(self, texts)))  # a slip
+    for text, (ids, decoded) in zip(texts, own.encode_batch(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False).ids[1:]
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert decoded.decode() == library.decode(want, skip_special_tokens=False)
+
+
 def test_small_cache_gives_the_same(own, library, monkeypatch):
     monkeypatch.setattr(B, "CACHE", 3)
     fresh = B.Tokenizer(open(PATH, "rb").read())

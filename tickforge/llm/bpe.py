@@ -31,6 +31,8 @@ from .common import table, to_workers, whole_text, worker_cache
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Entries of one generation of the cache of encoded chunks, and longest chunk kept.
 CACHE, LONGEST = 100_000, 128
+#: Ids that are decoded at a time.
+DECODED = 1 << 16
 NONE = np.int32(2**31 - 1)
 
 
@@ -254,9 +256,9 @@ class Tokenizer:
             yield tokens[:stable]
             at += int(ends[stable - 1])
 
-    def encode_chunks(self, chunks) -> tuple[dict, dict]:
-        """Ids as bytes, and decoded bytes, of each distinct chunk, through the cache."""
-        ids_of, text_of, new, young, old = {}, {}, [], self.young, self.old
+    def encode_chunks(self, chunks) -> dict:
+        """Ids as bytes of each distinct chunk, through the cache."""
+        ids_of, new, young, old = {}, [], self.young, self.old
         for c in chunks:
             hit = young.get(c)
             if hit is None:
@@ -265,7 +267,7 @@ class Tokenizer:
                     new.append(c)
                     continue
                 young[c] = hit
-            ids_of[c], text_of[c] = hit
+            ids_of[c] = hit
         runs, number = [], []
         for c in new:
             if c.isalpha() and c.isascii():
@@ -280,14 +282,14 @@ class Tokenizer:
             ends = np.zeros(len(count) + 1, np.int64)
             np.cumsum(count, out=ends[1:])
             ends = ends[np.concatenate([[0], np.cumsum(number)])].tolist()
-            raw, ids, listing = flat.astype("<u4").tobytes(), flat.tolist(), self.listing
+            raw = flat.astype("<u4").tobytes()
             for c, a, b in zip(new, ends[:-1], ends[1:], strict=True):
-                hit = ids_of[c], text_of[c] = raw[4 * a : 4 * b], listing(ids[a:b])
+                hit = ids_of[c] = raw[4 * a : 4 * b]
                 if len(c) <= LONGEST:
                     young[c] = hit
         if len(young) > CACHE:
             self.old, self.young = young, {}
-        return ids_of, text_of
+        return ids_of
 
     def segments(self, text: str):
         """Alternating (chunks of ordinary text, special token or None)."""
@@ -300,25 +302,34 @@ class Tokenizer:
             at = m.end()
         yield self.chunks(text[at:]), None
 
-    def encode_batch(self, texts: list[str]):
-        """Per text: (ids as little-endian unsigned 32-bit integers, decoded bytes)."""
+    def encode_ids(self, texts: list[str]):
+        """Per text: ids as little-endian unsigned 32-bit integers."""
         rows = [list(self.segments(t)) for t in texts]
         every: set = set()
         for row in rows:
             for chunks, _ in row:
                 every.update(chunks)
-        ids_of, text_of = self.encode_chunks(every)
+        ids_of = self.encode_chunks(every)
         for row in rows:
-            ids, text = [], []
+            ids = []
             for chunks, special in row:
                 if chunks:
                     ids.append(b"".join(map(ids_of.__getitem__, chunks)))
-                    text.append(b" ".join(map(text_of.__getitem__, chunks)))
                 if special is not None:
-                    one = self.special[special]
-                    ids.append(one.to_bytes(4, "little"))
-                    text.append(self.listing([one]))
-            yield b"".join(ids), b" ".join(text)
+                    ids.append(self.special[special].to_bytes(4, "little"))
+            yield b"".join(ids)
+
+    def decoded(self, ids: bytes):
+        """Yields the decoded bytes of a document's finished ids, piece by piece."""
+        decoder, every = StreamDecoder(self, listing=True), np.frombuffer(ids, "<u4")
+        for a in range(0, len(every), DECODED):
+            yield decoder.feed(every[a : a + DECODED].tolist()).encode()
+        yield decoder.finish().encode()
+
+    def encode_batch(self, texts: list[str]):
+        """Per text: (ids as in ``encode_ids``, the bytes they decode to)."""
+        for ids in self.encode_ids(texts):
+            yield ids, b"".join(self.decoded(ids))
 
     def listing(self, ids) -> bytes:
         """Tokens as the vocabulary spells them, a space between: decoding for a file that
@@ -392,11 +403,14 @@ def _encoded(docs: DataFrame, vocabulary, with_ids: bool) -> DataFrame:
         for batch in batches:
             for part in _rows(batch):
                 n, ids_list, ids_sha, text_sha = [], [], [], []
-                for ids, text in tokenizer.encode_batch([t for _, t in part]):
+                for ids in tokenizer.encode_ids([t for _, t in part]):
                     n.append(len(ids) // 4)
                     ids_list.append(np.frombuffer(ids, "<u4").astype(np.int32) if with_ids else None)
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
-                    text_sha.append(hashlib.sha256(text).hexdigest())
+                    text = hashlib.sha256()
+                    for piece in tokenizer.decoded(ids):
+                        text.update(piece)
+                    text_sha.append(text.hexdigest())
                 rows = batch.slice(part[0][0], len(part))
                 columns = rows.columns if with_ids else [rows.column("doc_id")]
                 names = rows.schema.names if with_ids else ["doc_id"]
