@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import bars as B
 from tickforge.operators.report import chart_series
+from tickforge.plans import catalog
 from tickforge.plans.jobs import bars_job
 from tickforge.sinks.files import write_chart_series
 from tickforge.sinks.tables import write_trades
@@ -26,6 +27,15 @@ def test_stream_bars_match_batch(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_stream_query_counts_trades_of_any_span(spark, tmp_dir):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    wide = events.withColumn("ts", F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 5 * 100).cast("int")))
+    wide.write.parquet(f"{tmp_dir}/events.parquet")
+    got = catalog.q_stream_bars_1h(spark, tmp_dir).select("symbol", F.col("open_time").cast("timestamp_ntz").alias("open_time"), "count")
+    want = B.aggregate_bars(events_trades(spark, tmp_dir), "1h").select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_bars_job_seeds_close_from_stored_bars(spark, tmp_dir):
     t = spark.createDataFrame(
         [("A", 1, 10.0, 1.0, 10.0, False, dt.datetime(2024, 1, 1, 12), dt.date(2024, 1, 1)),

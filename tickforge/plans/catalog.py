@@ -1227,14 +1227,16 @@ def q_check_nulls(spark, sf_dir):
 @register("stream_bars_1h", _unfilled(EVENTS_TRADES_SQL, 3600))
 def q_stream_bars_1h(spark, sf_dir):
     """1-hour bars from a Structured Streaming run over the events trades, landed as
-    four files in no order of time and read one per micro-batch.  The watermark allows
-    for the 31 days a trade may come late; bars are upserted as they change, so all are there."""
+    four files in no order of time and read one per micro-batch.  A trade may come as late
+    as the trades span, which the watermark allows for; bars are upserted as they change, so all are there."""
     from ..session import shared_dir
     from ..streaming.bars import current_bars, stream_bars, upsert_bars
 
     root = shared_dir(spark, "stream")
     trades = V.events_trades(spark, sf_dir)
     trades.repartition(4, F.xxhash64("id")).write.parquet(f"{root}/in")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = spark.read.schema(trades.schema).parquet(f"{root}/in").agg(F.max(micros) - F.min(micros)).first()[0] or 0
     source = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    upsert_bars(stream_bars(source, "1h", watermark="31 days"), f"{root}/checkpoint", f"{root}/out")
+    upsert_bars(stream_bars(source, "1h", watermark=f"{span // 1_000_000 + 1} seconds"), f"{root}/checkpoint", f"{root}/out")
     return round_sums(current_bars(spark, f"{root}/out").select(*BAR_COLUMNS))
