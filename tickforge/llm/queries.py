@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embeddings, exact_dedup, langid, licenses, minhash, mixing, secret_scan, token_counts, warc
+from . import bpe, byte_bpe, embeddings, exact_dedup, langid, licenses, minhash, mixing, secret_scan, token_counts, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_language_id": langid.op10_language_id,
+    "op12_byte_bpe_round_trip": byte_bpe.op12_byte_bpe_round_trip,
 }
 
 ORACLE = {
