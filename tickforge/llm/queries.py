@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, byte_bpe, embeddings, exact_dedup, langid, licenses, minhash, mixing, secret_scan, token_counts, warc
+from . import bpe, byte_bpe, embeddings, exact_dedup, hard_negatives, langid, licenses, minhash, mixing, secret_scan, spelling, token_counts, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,11 +15,14 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_language_id": langid.op10_language_id,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_byte_bpe_round_trip": byte_bpe.op12_byte_bpe_round_trip,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE = {
     "op2_warc_round_trip": warc.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op8_secret_scan": secret_scan.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
 }
