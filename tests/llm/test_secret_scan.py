@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import time
 
 import odd
+from pyspark.sql import functions as F
 
 from tickforge.llm import secret_scan as S
 
@@ -24,6 +26,8 @@ PLAIN = [
     ("hex", "[0-9a-f]+", 0, 24),
     ("github", "gh[opsur]_[A-Za-z0-9]+", 0, 40),
     ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 1),
+    ("pem", "-----BEGIN ([A-Z]| )*PRIVATE KEY-----", 0, 1),
 ]
 
 
@@ -36,14 +40,15 @@ def spans(spark, rows, **options):
 def texts():
     rng = random.Random(8)
     parts = ["password", "Token", "API_KEY", "apikey", "secret", '"', "'", " ", ":", "=", "abc", "abcdef1234", "AKIA", "AKIA" + "Z" * 16, "AKIA" + "Z" * 15,
-             "0123456789abcdef" * 2, "0123456789abcdef", "é", "🙂", "ghp_" + "a1" * 18, "xoxb-123456789012", "\n", "secret: token: abcdefgh"]
+             "0123456789abcdef" * 2, "0123456789abcdef", "é", "🙂", "ghp_" + "a1" * 18, "xoxb-123456789012", "\n", "secret: token: abcdefgh", "eyJ", "eyJa", ".", ".eyJb.", "x.", "-----BEGIN ", "RSA ", "PRIVATE KEY-----"]
     return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(400)]
 
 
 def test_spans_match_the_definition(spark):
     rows = [(i, t, None, None, 0) for i, t in enumerate(texts())]
-    rules = tuple(r for r in S.RULES if r.kind in [p[0] for p in PLAIN])
-    got = {i: s for i, _, s in spans(spark, rows, rules=rules)}
+    assert [r.kind for r in S.RULES] == [p[0] for p in PLAIN]
+    got = {i: s for i, _, s in spans(spark, rows)}
+    assert {kind for s in got.values() for *_, kind in s} == {p[0] for p in PLAIN}
     assert any(got.values())
     for i, t, *_ in rows:
         assert got[i] == brute(t, PLAIN), t
@@ -57,6 +62,25 @@ def test_odd_rows(spark):
     assert next(s for i, _, s in got if i == 13) == [(2, 0, 24, "assign")]
 
 
+def test_long_runs_neither_crash_nor_take_long(spark, tmp_dir):
+    """Runs of the rules' own alphabets: no recursion, no scan that starts again at each place."""
+    runs = ["AB ", "eyJ", "eyJa.", "eyJa.eyJb ", "A", " ", "0123456789abcdef", "-----BEGIN ", "AKIA", "ghp_", "xoxb", "token ", "token=", "a-", "é"]
+    parts = spark.createDataFrame([(i, run, 500_000 // len(run)) for i, run in enumerate(runs)], "doc_id long, run string, n int")
+    S.stored(parts.select("doc_id", F.concat(F.lit("-----BEGIN "), F.expr("repeat(run, n)")).alias("text")), f"{tmp_dir}/long")
+    began = time.monotonic()
+    assert S.scan_documents(spark, spark.read.parquet(f"{tmp_dir}/long").repartition(8)).count() == len(runs)
+    assert time.monotonic() - began < 60
+
+
+def test_concurrent_scans_count_once(spark, tmp_dir):
+    a, b = (S.BlobLedger(spark, f"{tmp_dir}/{x}") for x in "ab")
+    rows = [(1, "token = abcdefgh", None, None, 0)]
+    want = spans(spark, rows, ledger=a)
+    spans(spark, rows, ledger=b)
+    b.entries().write.mode("append").parquet(a.path)
+    assert spans(spark, rows, ledger=a) == want
+
+
 def test_ledger_scans_only_unseen_pairs(spark, tmp_dir):
     ledger = S.BlobLedger(spark, f"{tmp_dir}/ledger")
     first = [(1, "token = abcdefgh", None, None, 0), (2, "nothing", None, None, 0), (3, "token = abcdefgh", None, None, 0)]

@@ -36,14 +36,16 @@ class Rule:
 #: Fixed patterns: the first three are the base kinds, the others are added spans.
 #: A run of one class that must have a least length is written with that length in
 #: the pattern, which gives the same spans: a run too short has no longer part.
+#: No pattern repeats a group, which Java matches by recursion, and none reads a run of
+#: characters again from each place in it: jwt takes any run and drops those that do not go on.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
     Rule("github", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+(\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?", 1),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE_KINDS = ("assign", "access", "hex")
 SPAN = "array<struct<kind:string,ord:int,at:int,gap:int,len:int,ok:boolean>>"
@@ -121,7 +123,8 @@ class BlobLedger:
         fresh.select("blob", "versions", "spans").write.mode("append").parquet(self.path)
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """(blob, spans) of the given rules for blobs with any; one row per blob."""
+        """(blob, spans) of the given rules for blobs with any; one row per blob.  Spans
+        that two scans at a time recorded twice count once."""
         wanted = F.array(*[F.lit(r.version) for r in rules])
         order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.version), F.lit(i))])
         found = self.entries().where(F.size("spans") > 0)
@@ -130,7 +133,7 @@ class BlobLedger:
             F.filter(spans, lambda s: F.array_contains(wanted, s["version"])),
             lambda s: F.struct(s["start"].alias("start"), order[s["version"]].alias("ord"), s["end"].alias("end"), s["kind"].alias("kind")),
         )
-        return found.groupBy("blob").agg(F.array_sort(mine).alias("spans")).where(F.size("spans") > 0)
+        return found.groupBy("blob").agg(F.array_sort(F.array_distinct(mine)).alias("spans")).where(F.size("spans") > 0)
 
 
 def scan_documents(spark: SparkSession, docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: BlobLedger | None = None) -> DataFrame:
