@@ -37,6 +37,15 @@ def test_random_texts_match_the_library(own, library):
     check(own, library, texts)
 
 
+def test_every_code_point(own, library):
+    """Between two letters all of the first planes, assigned or not; before and after others, those
+    on which the versions of Unicode differ."""
+    points = [chr(c) for c in range(0x32000) if not 0xD800 <= c <= 0xDFFF] + [chr(c) for c in range(0xE0000, 0xE0200)]
+    for i in range(0, len(points), 8192):
+        check(own, library, [" ".join(f"a{c}b" for c in points[i : i + 8192])])
+    check(own, library, [" ".join(f"{c}1 .{c} {c}{c}" for c in sorted(own.differing)[:4000])])
+
+
 def test_long_runs_are_encoded_in_windows(own, library):
     rng = random.Random(4)
     texts = ["x" * 5000, "!" * 3000, "ab" * 3000, "aaab" * 2000, "the" * 2000, "é" * 2000, "日本" * 1500]

@@ -18,6 +18,7 @@ UTF-8 sequence.
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
 import json
 
@@ -165,13 +166,61 @@ class Merges:
                 rank[rows[here], np.minimum(place[here], wide - 1)] = fresh[here]
 
 
+#: A class of characters in a pattern.
+ATOM = r"\[\^[^\]]*\]|\[\\p\{\w+\}\]|\\[sS]"
+
+
+def ranges(points: list[int]) -> str:
+    """Sorted code points as ranges of a character class."""
+    points = np.array(points, np.int64)
+    runs = np.split(points, np.flatnonzero(np.diff(points) != 1) + 1) if len(points) else []
+    return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
+
+
+@functools.cache
+def unicode_differences(raw: bytes) -> dict:
+    """Where the library's version of Unicode is not this Python's: ``classes``, code points (added,
+    dropped) per class of the pattern, and ``normal``, what the normaliser makes of a character."""
+    import regex
+    import tokenizers
+
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF], "<u4")
+    every = points.tobytes().decode("utf-32-le")
+    as_points = lambda runs: np.frombuffer("".join(runs).encode("utf-32-le"), "<u4")
+    classes = {}
+    for atom in dict.fromkeys(regex.findall(ATOM, json.loads(raw)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])):
+        split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{atom}+"), "removed", invert=True)
+        library = as_points(run for run, _ in split.pre_tokenize_str(every))
+        own = as_points(regex.findall(f"{atom}+".replace(r"\s", SPACES), every))
+        classes[atom] = (np.setdiff1d(library, own).tolist(), np.setdiff1d(own, library).tolist())
+    # A character at a time, behind a mark that neither joins it nor changes.
+    normal = {}
+    theirs = tokenizers.Tokenizer.from_buffer(raw).normalizer.normalize_str("|".join(every.replace("|", "/")))
+    for c, got in zip(every, theirs.split("|"), strict=True):
+        if not c.isascii() and not c.isspace() and got != plain_normal(c):
+            normal[c] = got
+    return {"classes": classes, "normal": normal}
+
+
+def plain_normal(text: str) -> str:
+    """NFC, then lower case one character at a time, by this Python's version of Unicode."""
+    if not text.isascii():
+        import unicodedata
+
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        text = text.replace("Σ", "σ")  # lower-cased one by one, without the final form
+    return text.lower()
+
+
 class Tokenizer:
     """Encoder and decoder of a vocabulary file (BPE over bytes with an end-of-word suffix)."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, differences: dict | None = None):
         import regex
 
         spec = json.loads(raw)
+        differences = differences or unicode_differences(raw)
         model, suffix = spec["model"], spec["model"]["end_of_word_suffix"] or ""
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
         split, level = spec["pre_tokenizer"]["pretokenizers"]
@@ -199,17 +248,23 @@ class Tokenizer:
         self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACES))
         self.specials = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.odd = regex.compile("[\x1c-\x1f]")
+        # Texts with characters on which the versions of Unicode differ take the longer way.
+        written = split["pattern"]["Regex"]
+        for atom, (add, drop) in differences["classes"].items():
+            listed = [ranges(x) for x in (add, drop)]
+            own = atom.replace(r"\s", SPACES)
+            own = f"[{own}{listed[0]}]" if listed[0] else own
+            written = written.replace(atom, f"[{own}--[{listed[1]}]]" if listed[1] else own)
+        self.exact = regex.compile(written, regex.V1)
+        self.normal = str.maketrans(differences["normal"])
+        self.differing = frozenset(differences["normal"]) | {chr(c) for both in differences["classes"].values() for x in both for c in x}
         self.young: dict = {}
         self.old: dict = {}
 
     def normalise(self, text: str) -> str:
-        if not text.isascii():
-            import unicodedata
-
-            if not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
-            text = text.replace("Σ", "σ")  # lower-cased one by one, without the final form
-        return text.lower()
+        if self.normal and not text.isascii() and not self.differing.isdisjoint(text):
+            text = text.translate(self.normal)
+        return plain_normal(text)
 
     def chunks(self, text: str) -> list[str]:
         """Parts between white space; no token spans two."""
@@ -274,7 +329,7 @@ class Tokenizer:
                 runs.append(c.encode())
                 number.append(1)
             else:
-                found = self.pattern.findall(c)
+                found = (self.pattern if c.isascii() or self.differing.isdisjoint(c) else self.exact).findall(c)
                 runs += [x.encode("utf-8", "replace") for x in found]
                 number.append(len(found))
         if new:
@@ -366,17 +421,17 @@ class StreamDecoder:
 
 def tokenizer_of(vocabulary) -> Tokenizer:
     """In a task: the tokenizer of a broadcast vocabulary file, built once per worker."""
-    raw = vocabulary.value
-    return worker_cache(("bpe", hashlib.sha256(raw).hexdigest()), lambda: Tokenizer(raw))
+    raw, differences = vocabulary.value
+    return worker_cache(("bpe", hashlib.sha256(raw).hexdigest()), lambda: Tokenizer(raw, differences))
 
 
 def load_vocabulary(spark: SparkSession, path: str):
-    """Broadcast of a vocabulary file that the driver reads (a few MB, fixed)."""
+    """Broadcast of a vocabulary file that the driver reads (a few MB, fixed) and of its ``unicode_differences``."""
     with open(path, "rb") as f:
         raw = f.read()
     if len(raw) > 64 << 20:
         raise ValueError("vocabulary file of more than 64 MB")
-    return spark.sparkContext.broadcast(raw)
+    return spark.sparkContext.broadcast((raw, unicode_differences(raw)))
 
 
 def _rows(batch, limit: int = 1 << 21):
