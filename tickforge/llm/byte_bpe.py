@@ -22,6 +22,7 @@ import json
 import re
 import zlib
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ FOLDED = 64
 BUCKETS, WORD_BUCKETS = 1 << 14, 1 << 14
 #: Words of the dictionary, and how many documents they are counted in: bounds of what
 #: reaches the driver.  Both decide the speed alone.
-WORDS, DOCUMENTS = 1 << 16, 20_000
+WORDS, DOCUMENTS = 1 << 15, 20_000
 #: A class of characters in a pattern.
 ATOM = re.compile(r"\[\^[^\]]*\]|\\[pP]\{\w+\}|\\[sS]")
 
@@ -52,14 +53,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-def _ranges(chars: set[str]) -> str:
-    out, points = [], sorted(map(ord, chars))
-    for i, c in enumerate(points):
-        if i and c == points[i - 1] + 1:
-            out[-1][1] = c
-        else:
-            out.append([c, c])
-    return "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out)
+def _ranges(points: np.ndarray) -> str:
+    runs = np.split(points, np.flatnonzero(np.diff(points) != 1) + 1) if len(points) else []
+    return "".join(f"\\x{{{r[0]:X}}}" if len(r) == 1 else f"\\x{{{r[0]:X}}}-\\x{{{r[-1]:X}}}" for r in runs)
 
 
 def java_pattern(spark: SparkSession, pattern: str) -> str:
@@ -68,29 +64,26 @@ def java_pattern(spark: SparkSession, pattern: str) -> str:
     the differences are written out."""
     import tiktoken
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF], "<u4")
+    every = points.tobytes().decode("utf-32-le")
+    as_points = lambda text: np.frombuffer(text.encode("utf-32-le"), "<u4")
     single = {bytes([b]): b for b in range(256)}
     written = {}
     for atom in dict.fromkeys(ATOM.findall(pattern)):
-        asked = tiktoken.Encoding("class", pat_str=atom, mergeable_ranks=single, special_tokens={})
-        library = set(asked.decode_bytes(asked.encode_ordinary(every)).decode())
+        asked = tiktoken.Encoding("class", pat_str=f"{atom}+", mergeable_ranks=single, special_tokens={})
+        library = as_points(asked.decode_bytes(asked.encode_ordinary(every)).decode())
         here = spark.range(1).select(F.array_join(F.regexp_extract_all(F.lit(every), F.lit(f"{atom}+"), 0), "").alias("c"))
-        java = set(here.first()["c"])
-        # ASCII is settled first: the ranges that differ are many and lie above it.
-        parts, above = [atom], [{c for c in x if not c.isascii()} for x in (library - java, java - library)]
-        if (library ^ java) - above[0] - above[1]:
+        java = as_points(here.first()["c"])
+        add, drop = np.setdiff1d(library, java), np.setdiff1d(java, library)
+        if min(add.min(initial=128), drop.min(initial=128)) < 128:
             raise ValueError(f"the engines differ on ASCII characters of {atom}")
-        if above[0]:
-            parts.append(f"[[^\\x00-\\x7F]&&[{_ranges(above[0])}]]")
-        kept = f"&&[[\\x00-\\x7F][^{_ranges(above[1])}]]" if above[1] else ""
-        written[atom] = f"[{''.join(parts)}{kept}]"
+        # ASCII is settled first: the ranges that differ are many and lie above it.
+        more = f"[[^\\x00-\\x7F]&&[{_ranges(add)}]]" if len(add) else ""
+        kept = f"&&[[\\x00-\\x7F][^{_ranges(drop)}]]" if len(drop) else ""
+        written[atom] = f"[{atom}{more}{kept}]"
     return ATOM.sub(lambda m: written[m.group()], pattern)
 
 
-def _bucket(value: Column, buckets: int) -> Column:
-    return F.crc32(value).bitwiseAND(F.lit(buckets - 1)).cast("int")
-
-
 def _let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
