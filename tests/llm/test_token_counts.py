@@ -37,3 +37,17 @@ def test_empty_table(spark):
     hist = C.histogram(C.encoded_lengths(spark, odd.empty(spark), PATH, public_tokenizers.PATTERN))
     assert C.limits(hist).count() == 0
     assert hist.agg(F.sum("n_docs")).first()[0] is None
+
+
+def test_very_long_runs(spark):
+    """The library gives up on a million blanks; elsewhere the counts are its own."""
+    rng = np.random.default_rng(1)
+    mixed = ["".join(rng.choice(list(" \n\t\u3000\x1c"), n)) for n in (999, 1000, 1001, 5000)]
+    edges = [f"{a}{m}{b}" for m in mixed for a in ("", "x", "1 ") for b in ("", "x", ".", "7", "'s")]
+    known = [*edges, "x" * 50_000, "7" * 50_000, "x " * 50_000, " " * 100_000, "a" + " " * 100_000 + "b"]
+    ranks = C.encoded_lengths(spark, odd.frame(spark, [(i, t, None, None, 0) for i, t in enumerate(known)]), PATH, public_tokenizers.PATTERN)
+    assert [r["n_tokens"] for r in ranks.orderBy("doc_id").collect()] == lengths(known).tolist()
+    size = 2_000_000
+    long = [" " * size, "x" + "\n" * size + "y", "ab " * (size // 3), "7" * (size // 10), "x" * (size // 10)]
+    got = C.encoded_lengths(spark, odd.frame(spark, [(i, t, None, None, 0) for i, t in enumerate(long)]), PATH, public_tokenizers.PATTERN)
+    assert got.where("n_tokens > 1000").count() == len(long)

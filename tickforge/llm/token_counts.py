@@ -14,15 +14,31 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bpe import SPACES
 from .common import stored, table, to_workers, whole_text, work_dir, worker_cache
 
+#: White space that is cut off by hand from this length on: the library's pattern engine keeps a
+#: step per blank for the look-ahead and gives up on about a million.
+BLANKS, LOOK_AHEAD = 1000, r"\s+(?!\S)|\s+"
 #: Lengths of one block of the two-level sums.
 SPAN = 1024
 
 
+def count_tokens(encoding, blanks, text: str) -> int:
+    """Tokens of a text.  ``blanks`` finds long white space, or is None.  Of such a run the pattern
+    makes one piece, but for the last blank if something follows; what stands before it ends there."""
+    at = n = 0
+    for m in blanks.finditer(text) if blanks is not None else ():
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(encoding.encode_ordinary(text[at : m.start()])) + len(encoding._encode_single_piece(m.group()[: end - m.start()]))
+        at = end
+    return n + len(encoding.encode_ordinary(text[at:]))
+
+
 def encoded_lengths(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens): tokens of each whole text by a byte-level BPE given as ranks
-    (null: empty, no tokens).  Text that spells a special token is ordinary text."""
+    (null: empty, no tokens).  Text that spells a special token is ordinary text.  Texts may be of
+    any length; an empty table gives no rows."""
     with open(ranks_path, "rb") as f:
         raw = f.read()
     if len(raw) > 64 << 20:
@@ -36,11 +52,14 @@ def encoded_lengths(spark: SparkSession, docs: DataFrame, ranks_path: str, patte
         return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table_, special_tokens={})
 
     def run(batches):
+        import re
+
         import pyarrow as pa
 
+        blanks = re.compile(f"[{SPACES}]{{{BLANKS},}}") if LOOK_AHEAD in pattern else None
         encoding = worker_cache(("ranks", hashlib.sha256(ranks.value).hexdigest(), pattern), lambda: build(ranks.value))
         for batch in batches:
-            counts = [len(encoding.encode_ordinary(t.as_py())) for t in batch.column("text")]
+            counts = [count_tokens(encoding, blanks, t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
