@@ -16,6 +16,7 @@ from ..operators.bars import compute_bars
 from ..operators.prepare import DEFAULT_CM_RATIO, prepare_trades
 from ..session import ensure_utc
 from ..sinks.tables import write_bars, write_trades
+from ..sinks.zones import touched, update_zones
 from ..sources.trades import load_trades, read_trades
 
 log = logging.getLogger(__name__)
@@ -60,40 +61,38 @@ def preprocess(
 
 
 def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fmt: str = "parquet") -> DataFrame | None:
-    """Last valid close per symbol from stored bars dated before ``before``.
-
-    Reads no history: each symbol's latest stored ``bucket`` before ``before``
-    comes from the partition values alone (no data column is touched), and
-    only those buckets are read.  The join on the partition columns lets
-    dynamic partition pruning skip every other directory.  In tables written
-    by the bars job every stored day after a symbol's first trade has a valid
-    close (filled slots carry it; prepared trades hold no NaN), so the latest
-    day is enough.
+    """(symbol, close, day): the last valid close per symbol from stored bars dated before
+    ``before``, a date, or before the first day of each run of days of a list of dates,
+    whose own days are passed over.
+
+    Reads no history: each symbol's latest stored ``bucket`` before a run comes from
+    the partition values alone (no data column is touched), and only those buckets are
+    read.  The join on the partition columns lets dynamic partition pruning skip
+    every other directory.  In tables written by the bars job every stored day after a
+    symbol's first trade has a valid close (filled slots carry it; prepared trades
+    hold no NaN), so the latest day is enough.
     """
+    import datetime as dt
+
     from pyspark.sql import functions as F
 
     from ..operators.filters import _as_date, filter_symbols
 
+    days = [_as_date(d) for d in (before if isinstance(before, (list, tuple)) else [before])]
+    starts = sorted(d for d in days if d - dt.timedelta(days=1) not in set(days))
     try:
         stored = filter_symbols(spark.read.format(fmt).load(bars_path), symbols)
     except AnalysisException as exc:
         if _missing(exc):
             return None
         raise
-    older = stored.where(F.col("bucket") < F.lit(_as_date(before)))
-    last_bucket = older.select("symbol", "bucket").groupBy("symbol").agg(F.max("bucket").alias("bucket"))
+    older = stored.where((F.col("bucket") < F.lit(starts[-1])) & ~F.col("bucket").isin(days))
+    run = F.array_min(F.filter(F.array(*[F.lit(d) for d in starts]), lambda d: d > F.col("bucket")))
+    last_bucket = older.select("symbol", "bucket").groupBy("symbol", run.alias("_run")).agg(F.max("bucket").alias("bucket")).select("symbol", "bucket")
     last_rows = older.join(last_bucket, ["symbol", "bucket"])
     valid = F.col("close").isNotNull() & ~F.isnan("close")
-    return last_rows.groupBy("symbol").agg(F.max_by(F.when(valid, F.col("close")), F.when(valid, F.col("open_time"))).alias("close"))
-
-
-def _touched_days(trades: DataFrame) -> tuple | None:
-    """First and last day of the trades' own times, None without any."""
-    from pyspark.sql import functions as F
-
-    day = F.to_date("ts")
-    lo, hi = trades.agg(F.min(day), F.max(day)).first()
-    return None if lo is None else (lo, hi)
+    close = F.max_by(F.when(valid, F.col("close")), F.when(valid, F.col("open_time"))).alias("close")
+    return last_rows.groupBy("symbol", F.col("bucket").alias("day")).agg(close).select("symbol", "close", "day")
 
 
 def bars_frame(
@@ -103,18 +102,18 @@ def bars_frame(
     fill: bool = True,
     fmt: str = "parquet",
     symbols=None,
-    days: tuple | None = None,
+    days: list | None = None,
+    file_dates: list | None = None,
     unique_ids: bool = False,
     seed_close: DataFrame | None = None,
 ) -> DataFrame | None:
     """Bars with ``bucket`` from a stored trades table (the symbol filter prunes partitions).
 
-    ``days`` (first, last) limits the trades by their own time, whatever file date
-    they are stored under, so every bar of those days is complete.
-    ``seed_close`` (symbol, close) carries a close from before the first
-    trade read, e.g. ``seed_from_bars`` when ``days`` cuts history."""
-    import datetime as dt
-
+    ``days`` (a list of dates) limits the trades by their own time, whatever file date
+    they are stored under, so every bar of those days is complete; ``file_dates`` are
+    the file dates that hold them all, and prune the scan.
+    ``seed_close`` (symbol, close, day) carries closes from days that are not read,
+    e.g. ``seed_from_bars`` when ``days`` cuts history."""
     from pyspark.sql import functions as F
 
     ensure_utc(spark)
@@ -126,8 +125,9 @@ def bars_frame(
             return None
         raise
     if days is not None:
-        lo, hi = days
-        trades = trades.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi + dt.timedelta(days=1)).cast("timestamp_ntz")))
+        if file_dates is not None:
+            trades = trades.where(F.col("date").isin(file_dates))
+        trades = trades.where(F.to_date("ts").isin(days))
     if trades.isEmpty():
         log.warning("no trades match at %s", trades_path)
         return None
@@ -159,31 +159,33 @@ def bars_job(
     """Stored trades -> bars table at ``{output_root}/{duration label}``.
 
     ``start_date`` and ``end_date`` pick trades by file date.  Bars belong to the
-    days of the trades' own times, which may differ, so the run recomputes all days
-    from the first to the last that the picked trades touch, from all trades of
-    those days: only complete days are overwritten.  With stored bars of the
-    same duration, the fill of the first day starts from their last close.
+    days of the trades' own times, which may differ, so the run recomputes the days
+    that the picked trades touch, no others, from all trades of those days: only
+    complete days are overwritten.  Which days those are, and which file dates hold
+    them, comes from the table's zone map, so that the scan opens those partitions only.
+    With stored bars of the same duration, the fill of each run of days starts from the
+    last close stored before it.
 
     ``unique_ids=True`` uses the hash-aggregate open/close, which needs
     (symbol, ts, id) to be unique; the default is exact for any data.
     """
     from ..sinks.tables import bars_path
 
-    days = seed = None
+    days = dates = seed = None
     if start_date or end_date:
         try:
-            days = _touched_days(load_trades(spark, trades_path, fmt, symbols, start_date, end_date))
+            days, dates = touched(update_zones(spark, trades_path, fmt), symbols, start_date, end_date)
         except AnalysisException as exc:
             if _missing(exc):
                 log.warning("nothing stored at %s", trades_path)
                 return None
             raise
-        if days is None:
+        if not days:
             log.warning("no trades match at %s", trades_path)
             return None
         if fill and seed_from_stored:
-            seed = seed_from_bars(spark, bars_path(output_root, timeframe), days[0], symbols, fmt)
-    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, days, unique_ids, seed)
+            seed = seed_from_bars(spark, bars_path(output_root, timeframe), days, symbols, fmt)
+    bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, days, dates, unique_ids, seed)
     if bars is None:
         return None
     return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records)
