@@ -67,11 +67,42 @@ def test_verdict_fails_null_cells_duplicates_and_missing_columns(spark):
     assert schema_mismatch(whole.drop("volume"), whole) == ["volume: missing in generated"]
 
 
-def test_comparison_joins_once(spark):
+def test_digests_agree_only_on_equal_rows(spark):
+    """Days with odd values are never settled by their digests; nulls in other places differ."""
+    day = [bar("A", h, float(h)) for h in range(4)]
+    for change in (bar("A", 2, float("nan")), bar("A", 2, float("inf")), bar("A", 2, None), bar("A", 2, 2.0, volume=None)):
+        rows = spark.createDataFrame([*day[:2], change, day[3]], DDL)
+        v = verdict(rows, spark.createDataFrame(day, DDL)).first()
+        assert v["status"] == 1 and v["differing_cells"] + v["null_cells"] == 1
+    odd = spark.createDataFrame([*day[:2], bar("A", 2, float("nan")), day[3]], DDL)
+    assert verdict(odd, odd).first()["status"] == 1  # NaN equals nothing
+    a, b = (spark.createDataFrame([bar("A", 1, 1.0, **{c: None})], DDL) for c in ("volume", "quote_volume"))
+    assert verdict(a, b).first()["null_cells"] == 2
+    none = (None, *day[0][1:])
+    v = {r["symbol"]: r for r in verdict(spark.createDataFrame([none, *day], DDL), spark.createDataFrame([none, *day[::-1]], DDL)).collect()}
+    assert v["A"]["exact"] and (v[None]["missing_in_generated"], v[None]["missing_in_reference"]) == (1, 1)
+    twice = spark.createDataFrame([*day, day[0]], DDL)
+    assert verdict(twice, spark.createDataFrame(day, DDL)).first()["missing_in_reference"] == 1
+
+
+def test_days_that_agree_are_not_aligned(spark, monkeypatch):
+    from tickforge.operators import quality as Q
+
+    later = lambda r, days: (r[0], r[1] + dt.timedelta(days=days), *r[2:])
+    rows = [later(bar("A", h, 1.0), d) for d in range(5) for h in range(3)]
+    other = [r if r[1].day != 3 else (*r[:5], 9.0, *r[6:]) for r in rows]
+    alike, joined, _ = Q._differing(spark.createDataFrame(rows, DDL), spark.createDataFrame(other, DDL), "time")
+    assert alike.count() == 4 and joined.select("open_time").distinct().count() == 3
+    assert {r["open_time"].day for r in joined.collect()} == {3}
+    v = verdict(spark.createDataFrame(rows, DDL), spark.createDataFrame(other, DDL)).first()
+    assert (v["rows_generated"], v["rows_reference"], v["differing_cells"]) == (15, 15, 3)
+
+
+def test_comparison_joins_rows_once(spark):
     from test_plans import executed
 
     a = spark.createDataFrame([bar("A", h, 1.0) for h in range(3)], DDL)
     b = spark.createDataFrame([bar("A", h, 1.0) for h in range(1, 4)], DDL)
     for frame in (missing_rows(a, b), verdict(a, b), value_diffs(a, b)):
         plan = executed(frame).split("== Initial Plan ==")[0]
-        assert plan.count("Join") == 1
+        assert plan.count("FullOuter") == 1 and plan.count("Join") - plan.count("LeftSemi") == 1

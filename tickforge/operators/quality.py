@@ -67,22 +67,75 @@ def schema_mismatch(generated: DataFrame, reference: DataFrame) -> list[str]:
     return out
 
 
-def _aligned(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, list[str]]:
+def _projected(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The compared columns of both sides with ``chunk``, the part of a series that has a digest:
+    a day, or 4,096 positions."""
+    by_place = align == "position"
+    chunk = F.floor(F.col("idx") / 4096) if by_place else F.to_date("open_time")
+    sides = [comparison_projection(df, index=by_place).withColumn("chunk", chunk) for df in (generated, reference)]
+    return *sides, ["symbol", "idx"] if by_place else ["symbol", "open_time"]
+
+
+def _paired(generated: DataFrame, reference: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, gen, ref): rows of both sides as structs, null where a side has none.
 
     Each side is grouped by key first, so a bar that a side holds twice meets
     only as many rows as the other side has; the rest is missing there.
     """
-    keys = ["symbol", "idx"] if align == "position" else ["symbol", "open_time"]
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        rows = comparison_projection(df, index=align == "position")
+    def side(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*KLINE_VALUE_COLUMNS))).alias(name))
 
     joined = side(generated, "gen").join(side(reference, "ref"), keys, "full_outer")
     none = F.array().cast(joined.schema["gen"].dataType)
     pairs = F.arrays_zip(F.coalesce("gen", none).alias("gen"), F.coalesce("ref", none).alias("ref"))
-    return joined.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.gen", "p.ref"), keys
+    return joined.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.gen", "p.ref")
+
+
+def _aligned(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, list[str]]:
+    gen, ref, keys = _projected(generated, reference, align)
+    return _paired(gen, ref, keys), keys
+
+
+def digests(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per (symbol, chunk): rows ``n``, an order-free checksum of the rounded rows (sums of the halves of
+    a 64-bit hash, so that a row held twice counts twice) and ``odd``, rows that are no equal even to
+    themselves: a null key, or a value that is no finite number.
+
+    Hashing passes over nulls, so which values are null is hashed beside them.
+    """
+    nulls = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(KLINE_VALUE_COLUMNS)), F.lit(0))
+    h = F.xxhash64(*keys[1:], *KLINE_VALUE_COLUMNS, nulls)
+    odd = F.col(keys[0]).isNull() | F.col(keys[1]).isNull()
+    for c in DOUBLE_COLUMNS:
+        odd = odd | F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False))
+    return rows.groupBy("symbol", "chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+        F.sum(F.shiftright(h, 32)).alias("high"),
+        F.count_if(odd).alias("odd"),
+    )
+
+
+def _differing(generated: DataFrame, reference: DataFrame, align: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(alike, joined, keys): the chunks whose digests agree (symbol, chunk, n), and the aligned rows of
+    all others.  The digests, a row per symbol and chunk, are written to the shared folder;
+    rows of chunks that agree are read once, hashed and never shuffled."""
+    spark = generated.sparkSession
+    gen, ref, keys = _projected(generated, reference, align)
+    columns = ["n", "low", "high", "odd"]
+    a, b = (digests(x, keys).select("symbol", "chunk", F.struct(*columns).alias(name)) for x, name in ((gen, "a"), (ref, "b")))
+    same = F.coalesce((F.col("a") == F.col("b")) & (F.col("a.odd") == 0), F.lit(False))
+    both = a.join(b, ["symbol", "chunk"], "full_outer").select("symbol", "chunk", F.col("a.n").alias("n"), same.alias("same"))
+    path = shared_dir(spark, "digests")
+    both.write.parquet(path)
+    both = spark.read.schema(both.schema).parquet(path)
+    others = both.where(~F.col("same")).select(F.col("symbol").alias("_s"), F.col("chunk").alias("_c")).distinct()
+
+    def of_others(rows: DataFrame) -> DataFrame:
+        return rows.join(others, F.col("symbol").eqNullSafe(F.col("_s")) & F.col("chunk").eqNullSafe(F.col("_c")), "left_semi")
+
+    return both.where("same"), _paired(of_others(gen), of_others(ref), keys), keys
 
 
 def full_outer(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
@@ -110,7 +163,7 @@ def _missing_rows(joined: DataFrame, keys: list[str]) -> DataFrame:
 
 def missing_rows(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
     """Rows present on one side only; ``missing_in`` names the side lacking them."""
-    return _missing_rows(*_aligned(generated, reference, align))
+    return _missing_rows(*_differing(generated, reference, align)[1:])
 
 
 def _cells(joined: DataFrame, keys: list[str], wanted) -> DataFrame:
@@ -138,12 +191,12 @@ def _one_null(g, r):
 
 def value_diffs(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> DataFrame:
     """(keys, column, generated, reference) where both are non-null and differ by more than ``tolerance``."""
-    return _cells(*_aligned(generated, reference, align), _differs(tolerance))
+    return _cells(*_differing(generated, reference, align)[1:], _differs(tolerance))
 
 
 def null_mismatches(generated: DataFrame, reference: DataFrame, align: str = "time") -> DataFrame:
     """Aligned cells where exactly one side is null."""
-    return _cells(*_aligned(generated, reference, align), _one_null)
+    return _cells(*_differing(generated, reference, align)[1:], _one_null)
 
 
 def first_diffs(diffs: DataFrame, n: int = 10, order: str = "open_time") -> DataFrame:
@@ -163,21 +216,23 @@ def first_diffs(diffs: DataFrame, n: int = 10, order: str = "open_time") -> Data
     return ranked.where(F.col("rank") <= n)
 
 
-def _verdict(joined: DataFrame, same_schema: bool, tolerance: float) -> DataFrame:
+def _verdict(alike: DataFrame, joined: DataFrame, same_schema: bool, tolerance: float) -> DataFrame:
     has_gen, has_ref = F.col("gen").isNotNull(), F.col("ref").isNotNull()
     pairs = [(F.col(f"gen.{c}").cast("double"), F.col(f"ref.{c}").cast("double")) for c in KLINE_VALUE_COLUMNS]
-    total = lambda cond: F.count_if(cond)
     cells = lambda test: F.sum(F.when(has_gen & has_ref, sum((F.when(test(g, r), 1).otherwise(0) for g, r in pairs), F.lit(0))).otherwise(0)).cast("bigint")
-    per = joined.groupBy("symbol").agg(
-        total(has_gen).alias("rows_generated"),
-        total(has_ref).alias("rows_reference"),
-        total(~has_gen).alias("missing_in_generated"),
-        total(~has_ref).alias("missing_in_reference"),
+    rows = joined.groupBy("symbol").agg(
+        F.count_if(has_gen).alias("rows_generated"),
+        F.count_if(has_ref).alias("rows_reference"),
+        F.count_if(~has_gen).alias("missing_in_generated"),
+        F.count_if(~has_ref).alias("missing_in_reference"),
         cells(_differs(tolerance)).alias("differing_cells"),
         cells(_one_null).alias("null_cells"),
-        F.lit(same_schema).alias("same_schema"),
-        (F.lit(same_schema) & F.bool_and(F.coalesce(F.col("gen").eqNullSafe(F.col("ref")), F.lit(False)))).alias("exact"),
+        F.bool_and(F.coalesce(F.col("gen").eqNullSafe(F.col("ref")), F.lit(False))).alias("exact"),
     )
+    none = [F.lit(0).cast("bigint").alias(c) for c in rows.columns[3:7]]
+    whole = alike.groupBy("symbol").agg(F.sum("n").alias("n")).select("symbol", F.col("n").alias("rows_generated"), F.col("n").alias("rows_reference"), *none, F.lit(True).alias("exact"))
+    per = rows.unionByName(whole).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in rows.columns[1:7]], F.bool_and("exact").alias("_exact"))
+    per = per.select("symbol", *rows.columns[1:7], F.lit(same_schema).alias("same_schema"), (F.lit(same_schema) & F.col("_exact")).alias("exact"))
     faults = F.col("missing_in_generated") + F.col("missing_in_reference") + F.col("differing_cells") + F.col("null_cells")
     equal = F.col("same_schema") & (faults == 0)
     return per.select("*", equal.alias("equal"), F.when(equal, 0).otherwise(1).alias("status"))
@@ -189,17 +244,18 @@ def verdict(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAU
     same, nulls included), ``equal`` (no fault within the tolerance) and
     ``status`` 0 (pass) / 1 (fail).  A bar held twice is missing once on the other side.
 
-    One full outer join and one aggregate of conditional counts.
+    Days of a symbol whose digests agree are settled by them; only the rows of the others
+    are joined (one full outer join) and counted.
     """
-    joined, _ = _aligned(generated, reference, align)
-    return _verdict(joined, not schema_mismatch(generated, reference), tolerance)
+    alike, joined, _ = _differing(generated, reference, align)
+    return _verdict(alike, joined, not schema_mismatch(generated, reference), tolerance)
 
 
 def compare_bars(generated: DataFrame, reference: DataFrame, tolerance: float = DEFAULT_TOLERANCE, align: str = "time") -> dict[str, DataFrame]:
-    """All comparison frames.  The sides are joined once, the aligned rows are written to
-    the shared folder, and every frame derives from them."""
+    """All comparison frames.  The days whose digests differ are joined once, their aligned rows
+    are written to the shared folder, and every frame derives from them."""
     spark = generated.sparkSession
-    joined, keys = _aligned(generated, reference, align)
+    alike, joined, keys = _differing(generated, reference, align)
     path = shared_dir(spark, "aligned")
     joined.write.parquet(path)
     joined = spark.read.schema(joined.schema).parquet(path)
@@ -210,5 +266,5 @@ def compare_bars(generated: DataFrame, reference: DataFrame, tolerance: float =
         "diffs": diffs,
         "nulls": _cells(joined, keys, _one_null),
         "first_diffs": first_diffs(diffs, order=keys[1]),
-        "verdict": _verdict(joined, not schema_mismatch(generated, reference), tolerance),
+        "verdict": _verdict(alike, joined, not schema_mismatch(generated, reference), tolerance),
     }
