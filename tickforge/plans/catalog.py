@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import bars as B
-from ..schema import BAR_COLUMNS
+from ..schema import BAR_COLUMNS, RAW_TRADE_COLUMNS
 from ..sources import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,16 +139,19 @@ def unfilled_select(step_us: int, src: str = "b") -> str:
   FROM {src}"""
 
 
-def filled_sql(trades_sql: str, step_us: int, rounded: bool = True, seed_sql: str | None = None) -> str:
+def filled_sql(trades_sql: str, step_us: int, rounded: bool = True, seed_sql: str | None = None, full_range: bool = False) -> str:
     """Reference-style fill: grid per (symbol, day) LEFT JOIN bars, carry last valid close per symbol.
 
     ``seed_sql`` (symbol, seed) supplies a close for slots before a symbol's first trade."""
     rr = r4 if rounded else (lambda e: e)
+    days = "SELECT DISTINCT symbol, bar_us - bar_us % 86400000000 AS day_us FROM b"
+    if full_range:
+        days = f"SELECT symbol, unnest(range(min(day_us), max(day_us) + 1, 86400000000)) AS day_us FROM ({days}) d GROUP BY symbol"
     carried = "last_close" if seed_sql is None else "coalesce(last_close, (SELECT seed FROM s WHERE s.symbol = f.symbol))"
     seed_cte = "" if seed_sql is None else f"s AS ({seed_sql}),"
     body = f"""
 WITH b AS ({bars_sql(trades_sql, step_us)}),
-days AS (SELECT DISTINCT symbol, bar_us - bar_us % 86400000000 AS day_us FROM b),
+days AS ({days}),
 grid AS (SELECT symbol, unnest(range(day_us, day_us + 86400000000, {step_us})) AS slot_us FROM days),
 j AS (SELECT g.symbol, g.slot_us, b.open, b.high, b.low, b.close, b.volume, b.quote_volume,
              b.taker_buy_volume, b.taker_buy_quote_volume, b."count", b.vwap
@@ -944,6 +947,77 @@ def _add_broken(spark, root: str) -> str:
 _LANDED_SQL = f"SELECT DISTINCT symbol, strftime(date, '%Y-%m-%d') AS date FROM ({EVENTS_TRADES_SQL}) t"
 
 
+# Every symbol trades every day in the events: some days are left out, other ones per symbol.
+_SPARSE_SQL = f"""SELECT * FROM ({EVENTS_TRADES_SQL}) e
+  WHERE (dayofmonth(ts) + length(symbol)) % 5 < 2 AND NOT (symbol = 'VIEWUSDT' AND dayofmonth(ts) BETWEEN 6 AND 24)"""
+
+
+@register("bars_full_range_1h", filled_sql(_SPARSE_SQL, 3600 * 1_000_000, full_range=True))
+def q_bars_full_range_1h(spark, sf_dir):
+    """Filled bars of symbols with idle days, which are filled too (Q4)."""
+    day = F.dayofmonth("ts")
+    t = V.events_trades(spark, sf_dir).where((day + F.length("symbol")) % 5 < 2)
+    t = t.where(~((F.col("symbol") == "VIEWUSDT") & day.between(6, 24)))
+    return round_sums(B.fill_bars(t, "1h", unique_ids=True, full_range=True))
+
+
+# ---------------------------------------------------------------- dropped rows and guards
+
+_DROP_SQL = f"""
+SELECT CASE WHEN price IS NULL THEN 'price is null' WHEN isnan(price) THEN 'price is NaN' WHEN price <= 0 THEN 'price is not positive'
+            WHEN ts IS NULL THEN 'time is null' WHEN is_buyer_maker IS NULL THEN 'is_buyer_maker is null' END AS reason,
+       count(*) AS rows
+FROM ({UNCLEAN_TRADES_SQL}) u GROUP BY 1 HAVING reason IS NOT NULL
+UNION ALL SELECT 'malformed line', count(*) FROM events WHERE event_id % 31 = 9"""
+
+
+@register("dropped_rows", _DROP_SQL)
+def q_dropped_rows(spark, sf_dir):
+    """Raw trade files with unclean rows and, beside them, files of malformed lines: how many rows the
+    preprocessing left out and why, from its quarantine table (S1, P6)."""
+    from ..plans.jobs import preprocess
+    from ..session import shared_dir
+    from ..sinks.files import land, write_csv_files, write_trade_files
+
+    root, quarantine = shared_dir(spark, "unclean"), shared_dir(spark, "quarantine")
+    unclean = V.events_unclean(spark, sf_dir)
+    land(write_trade_files(unclean, root))
+    bad = V.events_trades(spark, sf_dir).where(F.col("id") % 31 == 9)
+    bad = bad.select(F.concat(F.lit("no number "), F.col("id").cast("string")).alias("id"), "price", "qty", "quote_qty", F.lit(0).alias("time"), "is_buyer_maker", "date")
+    land(write_csv_files(bad, root, F.concat(F.lit("BADUSDT-trades-"), F.col("date").cast("string")), ["id", "price", "qty", "quote_qty", "time", "is_buyer_maker"]))
+    preprocess(spark, root, shared_dir(spark, "trades"), quarantine=quarantine)
+    return spark.read.parquet(quarantine).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register(
+    "job_guards",
+    f"""SELECT * FROM (VALUES ('missing folder', FALSE, CAST(0 AS BIGINT)), ('empty folder', FALSE, CAST(0 AS BIGINT)), ('header only', FALSE, CAST(0 AS BIGINT)))
+       g(source, written, bars)
+    UNION ALL SELECT 'one day', TRUE, count(*) FROM (SELECT DISTINCT symbol, date_trunc('hour', ts) FROM ({PREPARED_SQL}) p WHERE date = TIMESTAMP '2024-01-10') x""",
+)
+def q_job_guards(spark, sf_dir):
+    """Both jobs over a missing folder, an empty one, a file without rows and one day of trades: what
+    they wrote (S11)."""
+    from ..plans.jobs import bars_job, preprocess
+    from ..session import shared_dir
+    from ..sinks.files import land, write_trade_files
+
+    trades = V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp")))
+    roots = {name: shared_dir(spark, "guard") for name in ("missing folder", "empty folder", "header only", "one day")}
+    land(write_trade_files(trades.where(F.to_date("ts") == "2024-01-10"), roots["one day"]))
+    trades.limit(0).select(*RAW_TRADE_COLUMNS).coalesce(1).write.option("header", True).csv(roots["header only"])
+    spark.range(0).write.parquet(roots["empty folder"])
+    out = None
+    for name, root in roots.items():
+        stored = shared_dir(spark, "guard-trades")
+        written = preprocess(spark, root, stored)
+        path = bars_job(spark, stored, shared_dir(spark, "guard-bars"), "1h", fill=False)
+        bars = spark.range(0).select(F.lit(0)) if path is None else spark.read.parquet(path)
+        row = bars.agg(F.lit(name).alias("source"), F.lit(written is not None and path is not None).alias("written"), F.count(F.lit(1)).alias("bars"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register(
     "kline_manifest",
     f"""WITH l AS ({_LANDED_SQL}),

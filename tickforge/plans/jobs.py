@@ -9,11 +9,12 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.timeframe import parse_timeframe
 from ..operators.bars import compute_bars
-from ..operators.prepare import DEFAULT_CM_RATIO, prepare_trades
+from ..operators.prepare import DEFAULT_CM_RATIO, prepare_trades, reasoned
 from ..session import ensure_utc
 from ..sinks.tables import write_bars, write_trades
 from ..sinks.zones import touched, update_zones
@@ -39,11 +40,17 @@ def preprocess(
     fmt: str = "parquet",
     sort_within_partitions: bool = True,
     header: bool = True,
+    quarantine: str | None = None,
 ) -> str | None:
-    """Raw trade CSVs -> prepared, partitioned trades table."""
+    """Raw trade CSVs -> prepared, partitioned trades table.
+
+    With ``quarantine``, a path, the rows that are left out are counted by reason in the
+    pass that writes the table, and logged; if there are any, they are written there,
+    with ``reason`` and their file, and replace what was there before.
+    """
     ensure_utc(spark)
     try:
-        raw = read_trades(spark, input_path, header=header)
+        raw = read_trades(spark, input_path, header=header, bad_col=None if quarantine is None else "_bad")
         if raw.isEmpty():
             log.warning("no trade rows in the files of %s", input_path)
             return None
@@ -52,12 +59,21 @@ def preprocess(
             log.warning("no folder %s", input_path)
             return None
         raise
+    if quarantine is not None:
+        rejected = Observation("rejected")
+        rows = reasoned(raw, ratio)
+        raw = rows.observe(rejected, F.count("reason").alias("rows")).where(F.col("reason").isNull()).drop("reason", "_bad")
     trades = prepare_trades(raw, ratio)
-    return write_trades(
+    out = write_trades(
         trades, output_path, fmt=fmt, mode=mode, partition_cols=partition_cols,
         num_partitions=num_partitions, max_records=max_records,
         sort_within_partitions=sort_within_partitions,
     )
+    if quarantine is not None:
+        log.warning("%s rows of %s left out", rejected.get["rows"], input_path)
+        some = rows if rejected.get["rows"] else rows.limit(0)
+        some.where(F.col("reason").isNotNull()).write.mode("overwrite").parquet(quarantine)
+    return out
 
 
 def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fmt: str = "parquet") -> DataFrame | None:
@@ -74,8 +90,6 @@ def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fm
     """
     import datetime as dt
 
-    from pyspark.sql import functions as F
-
     from ..operators.filters import _as_date, filter_symbols
 
     days = [_as_date(d) for d in (before if isinstance(before, (list, tuple)) else [before])]
@@ -114,8 +128,6 @@ def bars_frame(
     the file dates that hold them all, and prune the scan.
     ``seed_close`` (symbol, close, day) carries closes from days that are not read,
     e.g. ``seed_from_bars`` when ``days`` cuts history."""
-    from pyspark.sql import functions as F
-
     ensure_utc(spark)
     try:
         trades = load_trades(spark, trades_path, fmt, symbols)
