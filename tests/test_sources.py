@@ -184,3 +184,45 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     spark.range(3).write.parquet(path)
     assert session.remove_shared_dirs(spark) >= 1
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_archives_are_inflated_once(spark, tmp_dir):
+    """A member's bytes are read through once for trades and status together: lines come from the stored pass."""
+    with zipfile.ZipFile(f"{tmp_dir}/A-trades-2024-01-01.zip", "w") as z:
+        z.writestr("A-trades-2024-01-01.csv", "id,price\n1,2\n")
+        z.writestr("notes.txt", "not a trade file")
+    lines = archive_lines(spark, tmp_dir)
+    os.remove(f"{tmp_dir}/A-trades-2024-01-01.zip")  # nothing goes back to the archive
+    assert sorted(r["line"] for r in lines.collect()) == ["1,2", "id,price"]
+    assert archive_status(lines).first()["ok"]
+
+
+def test_quarantine_names_each_row_left_out(spark, tmp_dir):
+    from tickforge.plans.jobs import preprocess
+
+    head = "id,price,qty,quote_qty,time,is_buyer_maker\n"
+    good = "1,2.0,1,2,1704067200000,false\n"
+    bad = ["x,2.0,1,2,1704067200000,false", "2,,1,2,1704067200000,false", "3,NaN,1,2,1704067200000,false", "4,0,1,2,1704067200000,true", "5,2,NaN,2,1704067200000,true",
+           "6,2,1,2,,true", "7,2,1,2,1704067200000,"]
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/A-trades-2024-01-01.csv", "w") as f:
+        f.write(head + good + "\n".join(bad) + "\n")
+    with open(f"{tmp_dir}/raw/A-trades.csv", "w") as f:
+        f.write(head + good)
+    out = preprocess(spark, f"{tmp_dir}/raw", f"{tmp_dir}/trades", quarantine=f"{tmp_dir}/bad")
+    assert [r["id"] for r in spark.read.parquet(out).collect()] == [1]
+    got = sorted((r["id"] or 0, r["reason"]) for r in spark.read.parquet(f"{tmp_dir}/bad").collect())
+    assert got == [(0, "malformed line"), (1, "no date in the file name"), (2, "price is null"), (3, "price is NaN"), (4, "price is not positive"), (5, "qty is NaN"),
+                   (6, "time is null"), (7, "is_buyer_maker is null")]
+    preprocess(spark, f"{tmp_dir}/raw", f"{tmp_dir}/plain")
+    assert spark.read.parquet(f"{tmp_dir}/plain").exceptAll(spark.read.parquet(out)).count() == 0
+
+
+def test_a_clean_run_empties_the_quarantine(spark, tmp_dir):
+    from tickforge.plans.jobs import preprocess
+
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/A-trades-2024-01-01.csv", "w") as f:
+        f.write("id,price,qty,quote_qty,time,is_buyer_maker\n1,2.0,1,2,1704067200000,false\n")
+    preprocess(spark, f"{tmp_dir}/raw", f"{tmp_dir}/trades", quarantine=f"{tmp_dir}/bad")
+    assert spark.read.parquet(f"{tmp_dir}/bad").count() == 0

@@ -218,15 +218,16 @@ def check_flow(
     ``verdict``) and ``archives``, the status of each archive, of which broken
     ones give no trades; or ``None`` when there is nothing to compare.
 
-    Each stage writes its table under ``work_root``, which cuts lineage and
-    lets any stage be rerun alone.
+    Each archive is inflated once, for its trades and its status.  Each stage writes its
+    table under ``work_root``, which cuts lineage and lets any stage be rerun alone.
     """
     from ..operators.quality import compare_bars
-    from ..sources.files import archive_lines, archive_status, ingest_archives, read_klines
+    from ..sources.files import archive_lines, archive_status, archive_trades, read_klines
 
     ensure_utc(spark)
     trades_root, bars_root = f"{work_root.rstrip('/')}/trades", f"{work_root.rstrip('/')}/bars"
-    raw = ingest_archives(spark, archives_path)
+    lines = archive_lines(spark, archives_path)
+    raw = archive_trades(lines)
     if raw.isEmpty():
         log.warning("no trade rows in the archives of %s", archives_path)
         return None
@@ -236,4 +237,4 @@ def check_flow(
         return None
     generated = spark.read.parquet(out)
     frames = compare_bars(generated, read_klines(spark, klines_path), tolerance)
-    return frames | {"archives": archive_status(archive_lines(spark, archives_path))}
+    return frames | {"archives": archive_status(lines)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..schema import KLINE_VALUE_COLUMNS, MANIFEST_SCHEMA, TRADE_SCHEMA
-from ..session import ensure_utc
+from ..session import ensure_utc, shared_dir
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -75,11 +75,12 @@ def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip", chunk_byt
     """Text lines of every CSV member of the zip archives under ``path``.
 
     The listing runs in Spark; each task opens its archives through
-    ``pyarrow.fs`` (seekable, streamed).  An archive is read to its end and
-    checked before anything of it is emitted, so a broken or truncated one
-    yields one row with ``error`` set and no lines.  Then its text is read in
-    chunks and split into lines by Arrow.  Errors of the storage itself are raised,
-    so that Spark tries the task again.  Non-zip files are ignored.
+    ``pyarrow.fs`` (seekable, streamed), reads each once and emits its lines in chunks that
+    Arrow splits.  Whether an archive is whole is known only at its end, where a row
+    with ``error`` follows if it is not.  What the tasks emit is written to the shared
+    folder, and there the lines of broken archives are left out: such an archive yields one
+    row with ``error`` set and no lines.  Errors of the storage itself are raised, so
+    that Spark tries the task again.  Non-zip files are ignored.
     """
     listing = list_files(spark, path, glob).select("path")
 
@@ -115,31 +116,34 @@ def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip", chunk_byt
             if rest:
                 yield pc.utf8_rtrim(pa.array([rest], pa.binary()).cast(pa.string()), "\r")
 
+        def members(fh, archive):
+            with zipfile.ZipFile(fh) as zf:
+                for member in zf.namelist():
+                    start = 0
+                    with zf.open(member) as raw:
+                        if not member.lower().endswith(".csv"):
+                            while raw.read(chunk_bytes):  # for its checksum
+                                pass
+                            continue
+                        for lines in lines_of(raw):
+                            yield rows(archive, member, start, lines, None)
+                            start += len(lines)
+
         for batch in batches:
             for archive in batch.column("path").to_pylist():
                 filesystem, p = pafs.FileSystem.from_uri(archive)
                 with filesystem.open_input_file(p) as fh:
                     try:
-                        with zipfile.ZipFile(fh) as zf:
-                            broken = zf.testzip()
-                        error = f"BadZipFile: {broken}" if broken else None
+                        yield from members(fh, archive)
                     except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, pa.ArrowInvalid) as exc:
                         # What the bytes say; a file too short to hold an archive gives ArrowInvalid.
-                        error = f"{type(exc).__name__}: {exc}"
-                    if error is not None:
-                        yield rows(archive, None, 0, pa.nulls(1, pa.string()), error)
-                        continue
-                    with zipfile.ZipFile(fh) as zf:
-                        for member in zf.namelist():
-                            if not member.lower().endswith(".csv"):
-                                continue
-                            start = 0
-                            with zf.open(member) as raw:
-                                for lines in lines_of(raw):
-                                    yield rows(archive, member, start, lines, None)
-                                    start += len(lines)
-
-    return listing.mapInArrow(unzip, LINES_SCHEMA)
+                        yield rows(archive, None, 0, pa.nulls(1, pa.string()), f"{type(exc).__name__}: {exc}")
+
+    out = shared_dir(spark, "archive-lines")
+    listing.mapInArrow(unzip, LINES_SCHEMA).write.parquet(out)
+    read = spark.read.schema(LINES_SCHEMA).parquet(out)
+    broken = read.where(F.col("error").isNotNull())
+    return read.join(broken.select("archive"), "archive", "left_anti").unionByName(broken)
 
 
 def archive_status(lines: DataFrame) -> DataFrame:
