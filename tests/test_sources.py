@@ -226,3 +226,23 @@ def test_a_clean_run_empties_the_quarantine(spark, tmp_dir):
         f.write("id,price,qty,quote_qty,time,is_buyer_maker\n1,2.0,1,2,1704067200000,false\n")
     preprocess(spark, f"{tmp_dir}/raw", f"{tmp_dir}/trades", quarantine=f"{tmp_dir}/bad")
     assert spark.read.parquet(f"{tmp_dir}/bad").count() == 0
+
+
+def test_ledger_lists_only_new_files(spark, tmp_dir):
+    from tickforge.sources.files import update_listing
+
+    def add(name):
+        with open(f"{tmp_dir}/in/{name}", "w") as f:
+            f.write("x")
+
+    os.makedirs(f"{tmp_dir}/in")
+    add("A-trades-2024-01-01.zip")
+    add("notes.txt")
+    assert update_listing(spark, f"{tmp_dir}/in", f"{tmp_dir}/ledger", "*.zip").count() == 1
+    parts = set(os.listdir(f"{tmp_dir}/ledger/files"))
+    update_listing(spark, f"{tmp_dir}/in", f"{tmp_dir}/ledger", "*.zip")
+    add("A-trades-2024-01-02.zip")
+    got = update_listing(spark, f"{tmp_dir}/in", f"{tmp_dir}/ledger", "*.zip")
+    assert sorted(r["file"] for r in landed_files(got).collect()) == ["A-trades-2024-01-01.zip", "A-trades-2024-01-02.zip"]
+    new = [f for f in os.listdir(f"{tmp_dir}/ledger/files") if f not in parts and f.endswith(".parquet")]
+    assert spark.read.parquet(*[f"{tmp_dir}/ledger/files/{f}" for f in new]).count() == 1

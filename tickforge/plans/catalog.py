@@ -1049,6 +1049,32 @@ def q_manifest_missing(spark, sf_dir):
     return missing_files(_manifest(spark, sf_dir), landed)
 
 
+@register(
+    "manifest_ledger",
+    f"""SELECT 'first half' AS after, m.* FROM ({MANIFEST_SQL}) m
+    WHERE NOT EXISTS (SELECT 1 FROM ({_LANDED_SQL}) l WHERE l.symbol = m.symbol AND l.date = m.date AND l.date < '2024-01-16')
+    UNION ALL SELECT 'all', m.* FROM ({MANIFEST_SQL}) m
+    WHERE NOT EXISTS (SELECT 1 FROM ({_LANDED_SQL}) l WHERE l.symbol = m.symbol AND l.date = m.date)""",
+)
+def q_manifest_ledger(spark, sf_dir):
+    """Outstanding archives after each of two landings, from a ledger of landed files that a stream
+    brings up to date: the second update lists the new files only (S10, M3, J6)."""
+    from ..operators.manifest import landed_files, missing_files
+    from ..session import shared_dir
+    from ..sinks.files import land, write_trade_files
+    from ..sources.files import update_listing
+
+    root, ledger = shared_dir(spark, "archives"), shared_dir(spark, "ledger")
+    trades = V.events_trades(spark, sf_dir).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp")))
+    out = None
+    for after, part in (("first half", trades.where(F.col("date") < "2024-01-16")), ("all", trades.where(F.col("date") >= "2024-01-16"))):
+        land(write_trade_files(part, root, archive=True))
+        landed = _stored_rows(spark, landed_files(update_listing(spark, root, ledger, "*.zip")))
+        missing = missing_files(_manifest(spark, sf_dir), landed).withColumn("after", F.lit(after))
+        out = missing if out is None else out.unionByName(missing)
+    return out
+
+
 @register("archive_ingest", f"SELECT * FROM ({PREPARED_UNCLEAN_SQL}) p")
 def q_archive_ingest(spark, sf_dir):
     """Zipped daily trade files -> prepared trades (S9 + L1 transforms).  Broken archives
@@ -1248,6 +1274,27 @@ def q_bars_job_rerun(spark, sf_dir):
     return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
 
 
+@register(
+    "bars_job_append",
+    f"""SELECT *, CAST(CAST(open_time AS DATE) AS TIMESTAMP) AS bucket
+    FROM ({filled_sql(PREPARED_SQL, 3600 * 1_000_000)}) b""",
+)
+def q_bars_job_append(spark, sf_dir):
+    """Bars job appended twice over all days, and a third run over some of them: read back, each
+    (symbol, day) is there once, of its latest run (L2, Q6)."""
+    from ..plans.jobs import bars_job
+    from ..schema import BAR_COLUMNS_WITH_BUCKET
+    from ..session import shared_dir
+    from ..sources.trades import load_bars
+
+    trades_root, bars_root = _prepared_table(spark, sf_dir), shared_dir(spark, "bars")
+    for run in (1, 2):
+        bars_job(spark, trades_root, bars_root, "1h", mode="append", run=run)
+    bars_job(spark, trades_root, bars_root, "1h", mode="append", run=3, start_date="2024-01-07", end_date="2024-01-09")
+    bars = load_bars(spark, bars_root, "1h").select(*BAR_COLUMNS_WITH_BUCKET)
+    return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
+
+
 @register(
     "table_file_order",
     f"""SELECT symbol, CAST(CAST(open_time AS DATE) AS TIMESTAMP) AS bucket, count(*) AS rows, CAST(0 AS BIGINT) AS inversions

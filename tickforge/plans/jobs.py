@@ -16,7 +16,7 @@ from ..functions.timeframe import parse_timeframe
 from ..operators.bars import compute_bars
 from ..operators.prepare import DEFAULT_CM_RATIO, prepare_trades, reasoned
 from ..session import ensure_utc
-from ..sinks.tables import write_bars, write_trades
+from ..sinks.tables import RUN, write_bars, write_trades
 from ..sinks.zones import touched, update_zones
 from ..sources.trades import load_trades, read_trades
 
@@ -100,12 +100,13 @@ def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fm
         if _missing(exc):
             return None
         raise
+    newest_run = F.coalesce(RUN, F.lit(-1)) if RUN in stored.columns else F.lit(-1)
     older = stored.where((F.col("bucket") < F.lit(starts[-1])) & ~F.col("bucket").isin(days))
     run = F.array_min(F.filter(F.array(*[F.lit(d) for d in starts]), lambda d: d > F.col("bucket")))
     last_bucket = older.select("symbol", "bucket").groupBy("symbol", run.alias("_run")).agg(F.max("bucket").alias("bucket")).select("symbol", "bucket")
     last_rows = older.join(last_bucket, ["symbol", "bucket"])
     valid = F.col("close").isNotNull() & ~F.isnan("close")
-    close = F.max_by(F.when(valid, F.col("close")), F.when(valid, F.col("open_time"))).alias("close")
+    close = F.max_by(F.when(valid, F.col("close")), F.when(valid, F.struct(newest_run, "open_time"))).alias("close")
     return last_rows.groupBy("symbol", F.col("bucket").alias("day")).agg(close).select("symbol", "close", "day")
 
 
@@ -167,6 +168,7 @@ def bars_job(
     max_records: int | None = None,
     unique_ids: bool = False,
     seed_from_stored: bool = True,
+    run: int | None = None,
 ) -> str | None:
     """Stored trades -> bars table at ``{output_root}/{duration label}``.
 
@@ -178,6 +180,9 @@ def bars_job(
     With stored bars of the same duration, the fill of each run of days starts from the
     last close stored before it.
 
+    With ``mode="append"`` and the number of the ``run``, bars are added beside those of earlier
+    runs, and ``load_bars`` reads the latest run of each (symbol, bucket).
+
     ``unique_ids=True`` uses the hash-aggregate open/close, which needs
     (symbol, ts, id) to be unique; the default is exact for any data.
     """
@@ -200,7 +205,7 @@ def bars_job(
     bars = bars_frame(spark, trades_path, timeframe, fill, fmt, symbols, days, dates, unique_ids, seed)
     if bars is None:
         return None
-    return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records)
+    return write_bars(bars, output_root, timeframe, fmt=fmt, mode=mode, num_partitions=num_partitions, max_records=max_records, run=run)
 
 
 def check_flow(

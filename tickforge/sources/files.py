@@ -23,6 +23,30 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+LISTING_DDL = "path string, modificationTime timestamp, length long, content binary"
+
+
+def update_listing(spark: SparkSession, path: str, ledger: str, glob: str = "*") -> DataFrame:
+    """(path, length, modificationTime) of all files that were ever found under ``path``, from a ledger.
+
+    A file-source stream that ends when it has seen what is there finds the files its checkpoint
+    does not know and appends them to the ledger, exactly once even if a run is broken off
+    and repeated.  Contents are not read.  Files that go stay in the ledger.
+    """
+    stream = (
+        spark.readStream.format("binaryFile")
+        .schema(LISTING_DDL)
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length", "modificationTime")
+    )
+    root = ledger.rstrip("/")
+    writing = stream.writeStream.format("parquet").option("path", f"{root}/files").option("checkpointLocation", f"{root}/checkpoint")
+    writing.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("path string, length long, modificationTime timestamp").parquet(f"{root}/files")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest JSON documents (market, start, end, entries[date, symbol, url])."""
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
