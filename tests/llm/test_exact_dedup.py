@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import odd
+from pyspark.sql import functions as F
 
 from tickforge.llm import exact_dedup as X
 
@@ -49,6 +50,23 @@ def test_later_batches_meet_the_stored_index(spark, tmp_dir):
     assert spark.table(again.name).count() == 25
 
 
+def test_a_batch_that_is_run_again_keeps_its_rows(spark, tmp_dir):
+    part = lambda a, b: odd.frame(spark, [(i, f"text {i % 40}", None, None, 0) for i in range(a, b)], clash=False)
+    index = X.DigestIndex(spark, f"{tmp_dir}/index", buckets=4)
+    keep = lambda docs, batch: sorted(r["doc_id"] for r in X.keep_first(spark, docs, index, batch).collect())
+    first, second = part(0, 30), part(20, 60)
+    assert keep(first, "one") == list(range(30)) == keep(first, "one")
+    assert keep(second, "two") == list(range(30, 40))
+    assert keep(first, "one") == list(range(30)) and keep(second, "two") == list(range(30, 40))
+    assert index.entries().count() == 40
+    # An attempt that was broken off while it entered its digests.
+    third = part(100, 140).withColumn("text", F.concat("text", F.lit(" new")))
+    half = third.limit(15).select(X.text_digest(F.col("text")).alias("digest"), F.col("doc_id").alias("keep_id"))
+    index.append(half, "three")
+    assert keep(third, "three") == list(range(100, 140)) and index.entries().count() == 80
+    assert [r["kept"] for r in X.assign(spark, first, index, "one").collect()] == [True] * 30
+
+
 def test_anti_join_reads_the_index_without_a_shuffle(spark, tmp_dir):
     index = X.DigestIndex(spark, f"{tmp_dir}/index", buckets=8)
     docs = odd.frame(spark, [(i, f"text {i}", None, None, 0) for i in range(50)], clash=False)

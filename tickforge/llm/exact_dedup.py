@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, stored, whole_text, work_dir
 
-INDEX_DDL = "digest binary, keep_id bigint"
+INDEX_DDL = "digest binary, keep_id bigint, batch string"
 
 
 def normalised(text: Column) -> Column:
@@ -58,14 +58,22 @@ class DigestIndex:
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def unseen(self, candidates: DataFrame) -> DataFrame:
-        """Candidates (one row per digest) that the index does not hold yet."""
-        return candidates.hint("merge").join(self.entries().select("digest"), "digest", "left_anti")
+    def unseen(self, candidates: DataFrame, batch: str | None = None) -> DataFrame:
+        """Candidates (one row per digest) that the index does not hold yet, but for entries of ``batch``."""
+        return candidates.hint("merge").join(self._others(batch).select("digest"), "digest", "left_anti")
 
-    def append(self, entries: DataFrame) -> None:
-        """Adds rows of unseen digests; each bucket is written by one task."""
+    def _others(self, batch: str | None) -> DataFrame:
+        entries = self.entries()
+        return entries if batch is None else entries.where(~F.col("batch").eqNullSafe(F.lit(batch)))
+
+    def append(self, entries: DataFrame, batch: str | None = None) -> None:
+        """Adds rows of unseen digests; each bucket is written by one task.  What an earlier attempt at
+        the same batch has entered is not entered again."""
+        if batch is not None:
+            own = self.entries().where(F.col("batch") == batch).select("digest")
+            entries = entries.hint("merge").join(own, "digest", "left_anti")
         (
-            entries.select("digest", "keep_id")
+            entries.select("digest", "keep_id", F.lit(batch).cast("string").alias("batch"))
             .repartition(self.buckets, "digest")
             .write.mode("append")
             .format("parquet")
@@ -75,35 +83,41 @@ class DigestIndex:
             .saveAsTable(self.name)
         )
 
-    def add(self, digests: DataFrame, path: str) -> DataFrame:
+    def add(self, digests: DataFrame, path: str, batch: str | None = None) -> DataFrame:
         """Enters a batch (digest, doc_id, points) and returns per digest of the batch
         (digest, keep_id, group_size, fresh).  ``fresh`` is false where an earlier
-        batch holds the digest; keep_id is then the earlier document."""
+        batch holds the digest; keep_id is then the earlier document.
+
+        With the name of the ``batch``, a stage may be run again after a failure: its own entries do
+        not count as seen, so the same batch gets the same answer as before, however far the first
+        attempt came and whatever batches came after it.  Without a name, a second run of a batch
+        finds all its texts seen."""
         groups = stored(
             digests.groupBy("digest").agg(
                 F.min(_rank(F.col("points"), F.col("doc_id"))).getField("id").alias("keep_id"), F.count("*").alias("group_size")
             ),
             f"{path}/groups",
         )
-        fresh = stored(self.unseen(groups), f"{path}/fresh")
-        seen = groups.select("digest", "group_size").hint("merge").join(self.entries(), "digest")
+        fresh = stored(self.unseen(groups, batch), f"{path}/fresh")
+        seen = groups.select("digest", "group_size").hint("merge").join(self._others(batch).select("digest", "keep_id"), "digest")
         out = stored(
             fresh.select("digest", "keep_id", "group_size", F.lit(True).alias("fresh")).unionByName(
                 seen.select("digest", "keep_id", "group_size", F.lit(False).alias("fresh"))
             ),
             f"{path}/decided",
         )
-        self.append(fresh)
+        self.append(fresh, batch)
         return out
 
 
-def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty; all empty or white-space-only texts are equal.
     Of rows that repeat both id and text exactly one is kept.  Null ids sort
     last; if all ids of a group are null, keep_id is null and one row is kept.
-    With an index that already holds a text, no row of the batch is kept.
+    With an index that already holds a text, no row of the batch is kept; ``batch`` names the batch,
+    so that it can be run again (see ``DigestIndex.add``).
     """
     path = work_dir(spark, "exact-dedup")
     own = None if index else DigestIndex(spark, f"{path}/index")
@@ -112,7 +126,7 @@ def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = Non
     digests = stored(
         docs.select("doc_id", text_digest(text).alias("digest"), F.length(text).cast("long").alias("points")), f"{path}/digests"
     )
-    decided = index.add(digests, path)
+    decided = index.add(digests, path, batch)
     if own:
         own.close()
     # Rows that repeat id and text meet here, so that one of them can stay.
@@ -127,7 +141,7 @@ def assign(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = Non
     )
 
 
-def keep_first(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def keep_first(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """The rows that stay, with all columns of ``docs``: one per distinct text."""
     path = work_dir(spark, "exact-keep")
     own = None if index else DigestIndex(spark, f"{path}/index")
@@ -135,7 +149,7 @@ def keep_first(spark: SparkSession, docs: DataFrame, index: DigestIndex | None =
     text = whole_text()
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_digest(text).alias("digest"), F.length(text).cast("long").alias("points"), F.col("doc_id").alias("_id"))
     digests = stored(keyed.select("digest", F.col("_id").alias("doc_id"), "points"), f"{path}/digests")
-    decided = index.add(digests, path).where("fresh")
+    decided = index.add(digests, path, batch).where("fresh")
     if own:
         own.close()
     # One row per digest leaves each task, so a group of copies is thin before the shuffle.
