@@ -50,3 +50,14 @@ def test_odd_rows(spark):
     for r, (n, base, first, last, labels) in ((r, brute(t)) for r in got for t in [dict((x[0], x[1]) for x in odd.rows() if x[0] is not None).get(r["doc_id"])] if r["doc_id"] is not None):
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (n, base, first, last, labels)
     assert L.scan(odd.empty(spark)).count() == 0
+
+
+def test_notices_of_a_family_are_told_apart(spark):
+    """Each notice, wrapped and in capitals, gives its own label: an LGPL or AGPL notice is no GPL one."""
+    notices = [t for t in L.TEMPLATES if t.keys]
+    texts = [f"Copyright 2020 somebody\n\n{t.text.upper()}\n\nand more words" for t in notices]
+    got = results(spark, odd.frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)], clash=False))
+    found = {t.label: {x for x in got[i]["labels"].split(",") if x in {n.label for n in notices}} for i, t in enumerate(notices)}
+    assert {k: v for k, v in found.items() if k in ("lgpl", "agpl", "boost", "zlib", "bsd", "bsd-3-clause", "mit", "isc")} == {
+        k: {k} for k in ("lgpl", "agpl", "boost", "zlib", "bsd", "bsd-3-clause", "mit", "isc")}
+    assert "gpl" in found["gpl"] and not {"lgpl", "agpl"} & found["gpl"]

@@ -74,7 +74,38 @@ TEMPLATES = (
         "gpl",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation",
-        ("free software", "redistribute it and or modify it under the terms"),
+        ("free software", "redistribute it and or modify it under the terms", "gnu general public license"),
+    ),
+    Template(
+        "lgpl",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation",
+        ("free software", "redistribute it and or modify it under the terms", "gnu lesser general public license"),
+    ),
+    Template(
+        "agpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation",
+        ("free software", "redistribute it and or modify it under the terms", "gnu affero general public license"),
+    ),
+    Template(
+        "boost",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+        "and transmit the Software",
+        ("free of charge to any person or organization obtaining a copy",),
+    ),
+    Template(
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software",
+        ("without any express or implied warranty", "liable for any damages arising from the use of this software"),
+    ),
+    Template(
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+        ("may be used to endorse or promote products derived from this software",),
     ),
     Template(
         "bsd",
