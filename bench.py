@@ -50,6 +50,7 @@ def main():
 
     ev = lambda: V.events_trades(spark, sf_dir)
     li = lambda: V.lineitem_trades(spark, sf_dir)
+    generated, reference = C._generated_bars(spark, sf_dir), C._stored_rows(spark, C._reference_bars(spark, sf_dir))
     queries = {
         "prepare_trades": lambda: prepare_trades(V.events_raw_trades(spark, sf_dir)),
         "bars_1h": lambda: B.aggregate_bars(ev(), "1h", unique_ids=True),
@@ -61,7 +62,9 @@ def main():
         "bars_filled_ties_1m": lambda: B.fill_bars(li(), "1m"),
         "bars_multi": lambda: B.bars_for_durations(ev(), ["1m30s", "5m", "1h"], unique_ids=True),
         "trade_count_report": lambda: C.q_trade_count_report(spark, sf_dir),
-        "check_verdict": lambda: verdict(C._generated_bars(spark, sf_dir), C._reference_bars(spark, sf_dir)),
+        # The two bars tables are written beforehand, as the check finds them.
+        "check_verdict": lambda: verdict(generated, reference),
+        "check_verdict_equal": lambda: verdict(generated, generated),
         "timeframe_parse": lambda: C.q_timeframe_parse(spark, sf_dir),
     }
     many = spark.read.parquet(ten_times(spark, ev(), int(cpus)))

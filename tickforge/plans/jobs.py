@@ -101,7 +101,9 @@ def seed_from_bars(spark: SparkSession, bars_path: str, before, symbols=None, fm
             return None
         raise
     newest_run = F.coalesce(RUN, F.lit(-1)) if RUN in stored.columns else F.lit(-1)
-    older = stored.where((F.col("bucket") < F.lit(starts[-1])) & ~F.col("bucket").isin(days))
+    older = stored.where(F.col("bucket") < F.lit(starts[-1]))
+    if between := [d for d in days if d < starts[-1]]:
+        older = older.where(~F.col("bucket").isin(between))
     run = F.array_min(F.filter(F.array(*[F.lit(d) for d in starts]), lambda d: d > F.col("bucket")))
     last_bucket = older.select("symbol", "bucket").groupBy("symbol", run.alias("_run")).agg(F.max("bucket").alias("bucket")).select("symbol", "bucket")
     last_rows = older.join(last_bucket, ["symbol", "bucket"])
