@@ -24,6 +24,9 @@ COLUMNS = {
     "op8_secret_scan": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_mix_sources": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op11_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+    "op12_byte_bpe_round_trip": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op13_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
 
