@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -74,3 +75,38 @@ def test_heap_and_fold_agree(library):
     for n in (1, 2, 3, 63, 64, 65, 500):
         word = "".join(rng.choice("etaoinsh") for _ in range(n))
         assert [ord(c) - B.FIRST for c in B.merge_long(word.encode(), ranks)] == library.encode_ordinary(word)
+
+
+def test_plans_hold_no_tables(spark):
+    """Ranks and dictionary are broadcast: as literals they were in every plan that the driver keeps."""
+    plan = B.round_trip(spark, odd.frame(spark), PATH, PATTERN)._jdf.queryExecution().toString()
+    assert len(plan) < 200_000
+
+
+@pytest.mark.parametrize("tokens", [["abc", "bc", " a", "xyz"], ["ab", "bc", "abc", " a", "xyz", "aa", "aaa", "é"]])
+def test_tokens_that_merges_make_late_or_never(spark, tmp_path, monkeypatch, tokens):
+    """abc is made of a later token in the first list; xyz by no merge, so it is a token as a whole word alone."""
+    ranks = {bytes([b]): b for b in range(256)} | {t.encode(): 256 + i for i, t in enumerate(tokens)}
+    path = tmp_path / "own.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(t).decode()} {r}\n" for t, r in ranks.items()))
+    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["abc xyz", "xyz", "abcabc aabc wxyz xyzabc", "aaaa aaaaa aaabc", "caféé bcab", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert B.Vocabulary(B.read_ranks(str(path))).in_order == (tokens[0] == "ab")
+    rows = lambda: sorted(map(tuple, B.round_trip(spark, docs, str(path), PATTERN).collect()))
+    assert rows() == [(i, *digests(own, t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(B.ByteBpe, "dictionary", lambda self, docs, f=B.ByteBpe.dictionary: f(self, docs, words=1))
+    assert rows() == [(i, *digests(own, t)) for i, t in enumerate(texts)]
+
+
+def test_pieces_change_nothing(spark, monkeypatch):
+    df = odd.frame(spark)
+    rows = lambda: sorted(map(tuple, B.round_trip(spark, df, PATH, PATTERN).collect()), key=str)
+    whole = rows()
+    monkeypatch.setattr(B, "PIECE", 3)
+    assert rows() == whole
+
+
+def test_decoding_skips_ids_of_no_token(spark):
+    own = spark.createDataFrame([(1, [B.read_ranks(PATH)[b"a"], None, -1, 1 << 20, B.read_ranks(PATH)[b"b"]]), (2, [])], "doc_id long, token_ids array<int>")
+    assert [r["text"] for r in B.decode_documents(spark, own, PATH).orderBy("doc_id").collect()] == ["ab", ""]

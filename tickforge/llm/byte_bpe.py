@@ -37,8 +37,9 @@ FOLDED = 64
 #: Words of the dictionary, and how many documents they are counted in: bounds of what
 #: reaches the driver.  Both decide the speed alone.
 WORDS, DOCUMENTS = 1 << 19, 20_000
-#: Words, or ids, that an Arrow function works on at a time.
-PIECE = 1 << 17
+#: Rows of an Arrow batch, as their words take several times the texts' bytes; words, or ids, that an
+#: Arrow function works on at a time.
+ROWS, PIECE = 1000, 1 << 17
 #: A class of characters in a pattern.
 ATOM = re.compile(r"\[\^[^\]]*\]|\\[pP]\{\w+\}|\\[sS]")
 
@@ -217,7 +218,8 @@ class Vocabulary:
             found.append(owner[is_made] << 32 | rank[is_made])
             more = at < end
             at, owner, end, node = at[more], owner[more], end[more], node[more]
-        found = np.unique(np.concatenate(found))
+        found = np.sort(np.concatenate(found))
+        found = found[np.diff(found, prepend=-1) != 0]
         lists = np.searchsorted(found, np.arange(len(n) + 1) << 32).astype(np.int32)
         merges = pa.ListArray.from_arrays(pa.array(lists), self.merges.take(pa.array(found & 0xFFFFFFFF)))
         starts = pa.py_buffer((4 * (off - base)).astype(np.int32))
@@ -380,7 +382,7 @@ class ByteBpe:
         vocabulary = Vocabulary(self.ranks)
         self.folded = FOLDED if vocabulary.in_order else 0
         self.vocabulary = vocabulary.share(spark)
-        small_batches(spark)
+        small_batches(spark, ROWS)
 
     def words(self, text: Column) -> Column:
         """The matches of the pattern in turn.  No text is lost, as every character matches."""
@@ -436,7 +438,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: s
 def decode_documents(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, token_ids); bytes that are no UTF-8 become U+FFFD, null ids an empty text."""
     ids = F.coalesce("token_ids", F.array().cast("array<int>"))
-    small_batches(spark)
+    small_batches(spark, ROWS)
     decoded = _decoder(Vocabulary(read_ranks(path)).share(spark))(ids)
     return encoded.select("doc_id", F.make_valid_utf8(decoded.cast("string")).alias("text"))
 
