@@ -1250,25 +1250,27 @@ def _stored_rows(spark, df: DataFrame) -> DataFrame:
     FROM ({filled_sql(PREPARED_SQL, 3600 * 1_000_000)}) b""",
 )
 def q_bars_job_rerun(spark, sf_dir):
-    """Bars job over all days, then again for the file dates 2024-01-05 and 2024-01-20 after their
-    stored bars, and those of the days between, were falsified.  The last three hours of each
-    day are in the next day's file, so each rerun recomputes two days whole, from three files;
-    the days between stay as they were, and a last rerun mends them (L2, K3, Q20)."""
+    """Bars job over all days, then again for the file dates 2024-01-05, 2024-01-20 and 2024-01-12 after
+    the stored bars of the days that their trades touch were falsified.  The last three hours of each
+    day are in the next day's file, so a rerun recomputes two days whole, from three files, or one
+    where those hours had no trade; the other days stay as they were (L2, K3, Q20)."""
     from ..operators.prepare import prepare_trades
     from ..plans.jobs import bars_job
     from ..schema import BAR_COLUMNS_WITH_BUCKET
     from ..session import shared_dir
     from ..sinks.tables import write_bars, write_trades
+    from ..sinks.zones import touched, update_zones
 
     late = V.events_trades(spark, sf_dir, late_hours=3).withColumn("time", F.unix_millis(F.col("ts").cast("timestamp")))
     trades_root, bars_root = shared_dir(spark, "trades"), shared_dir(spark, "bars")
     write_trades(prepare_trades(V.raw_of(late)), trades_root)
     out = bars_job(spark, trades_root, bars_root, "1h")
-    days = [dt.date(2024, 1, d) for d in (4, 5, 12, 19, 20)]
+    reruns, zones = ("2024-01-05", "2024-01-20", "2024-01-12"), update_zones(spark, trades_root)
+    days = sorted({day for date in reruns for day in touched(zones, None, date, date)[0]})
     stored = spark.read.parquet(out)
     wrong = stored.where(F.col("bucket").isin(days)).withColumn("high", F.col("high") + 1)
     write_bars(_stored_rows(spark, wrong), bars_root, "1h")
-    for day in ("2024-01-05", "2024-01-20", "2024-01-12"):
+    for day in reruns:
         bars_job(spark, trades_root, bars_root, "1h", start_date=day, end_date=day)
     bars = spark.read.parquet(out).select(*BAR_COLUMNS_WITH_BUCKET)
     return round_sums(bars.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn("close_time", F.col("close_time").cast("timestamp_ntz")))
