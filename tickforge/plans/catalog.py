@@ -10,7 +10,6 @@ values (open/high/low/close) are compared as they are.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
